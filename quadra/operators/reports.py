@@ -308,14 +308,17 @@ def filter_options(df: DataFrame) -> DataFrame:
     de-duplicated with a partial aggregate, so the distinct values never
     gather in one task. Nulls are dropped, and ``'NULL'`` for periods.
     """
+    def pair(option: str, value: Column) -> Column:
+        return F.struct(F.lit(option).alias("option"), value.cast("string").alias("value"))
+
     pairs = X.city(df).select(
         F.inline(
             F.array(
-                F.struct(F.lit("anos").alias("option"), F.col(M.ANO).cast("string").alias("value")),
-                F.struct(F.lit("trimestres"), F.col(M.TRIMESTRE).cast("string")),
-                F.struct(F.lit("bairros"), F.col(M.BAIRRO)),
-                F.struct(F.lit("tipos_crime"), F.col(M.RUBRICA_MOD)),
-                F.struct(F.lit("periodos"), F.col(M.DESCR_PERIODO)),
+                pair("anos", F.col(M.ANO)),
+                pair("trimestres", F.col(M.TRIMESTRE)),
+                pair("bairros", F.col(M.BAIRRO)),
+                pair("tipos_crime", F.col(M.RUBRICA_MOD)),
+                pair("periodos", F.col(M.DESCR_PERIODO)),
             )
         )
     )
