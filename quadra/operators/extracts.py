@@ -160,13 +160,24 @@ def map_tiles(df: DataFrame, s: M.Scope, zoom: int = MAP_ZOOM) -> DataFrame:
     """
     pts = map_points(df, s)
     x, y = tile_xy(F.col(M.LATITUDE), F.col(M.LONGITUDE), zoom)
+    n = F.count(F.lit(1))
     return (
         pts.select(x.alias("tile_x"), y.alias("tile_y"), M.LATITUDE, M.LONGITUDE)
         .groupBy("tile_x", "tile_y")
         .agg(
-            F.count(F.lit(1)).alias("points"),
-            F.bround(F.avg(M.LATITUDE), 6).alias("mean_lat"),
-            F.bround(F.avg(M.LONGITUDE), 6).alias("mean_lon"),
+            n.alias("points"),
+            _centroid(M.LATITUDE, n).alias("mean_lat"),
+            _centroid(M.LONGITUDE, n).alias("mean_lon"),
         )
         .withColumn("zoom", F.lit(zoom))
     )
+
+
+def _centroid(c: str, n: Column) -> Column:
+    """Mean of a coordinate at micro-degree precision.
+
+    Coordinates are summed as whole micro-degrees (an exact integer sum), so
+    the result does not depend on the order partial sums are combined in.
+    """
+    micro = F.sum(F.round(F.col(c) * F.lit(1_000_000.0)).cast("bigint"))
+    return F.bround(micro.cast("double") / n, 0) / F.lit(1_000_000.0)

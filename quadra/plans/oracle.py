@@ -276,8 +276,8 @@ FROM stats ORDER BY DATA_OCORRENCIA_BO DESC NULLS FIRST, {_DETAIL_REST} LIMIT {M
     + f"""SELECT CAST(floor((LONGITUDE + 180.0) / 360.0 * {_TILE_SCALE}) AS INTEGER) AS tile_x,
        CAST(floor((1.0 - asinh(tan(radians(LATITUDE))) / pi()) / 2.0 * {_TILE_SCALE}) AS INTEGER) AS tile_y,
        count(*) AS points,
-       round_even(avg(LATITUDE), 6) AS mean_lat,
-       round_even(avg(LONGITUDE), 6) AS mean_lon,
+       round_even(CAST(sum(CAST(round(LATITUDE * 1000000.0) AS BIGINT)) AS DOUBLE) / count(*), 0) / 1000000.0 AS mean_lat,
+       round_even(CAST(sum(CAST(round(LONGITUDE * 1000000.0) AS BIGINT)) AS DOUBLE) / count(*), 0) / 1000000.0 AS mean_lon,
        {MAP_ZOOM} AS zoom
 FROM incidents WHERE {_scope_where(STATS_SCOPE)} AND HAS_COORDINATES
 GROUP BY 1, 2""",
