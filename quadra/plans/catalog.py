@@ -41,18 +41,6 @@ def _incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return etl.incidents(spark, sf_dir)
 
 
-def _stats(spark: SparkSession, sf_dir: str, scope: M.Scope = STATS_SCOPE) -> DataFrame:
-    return X.stats_extract(_incidents(spark, sf_dir), scope)
-
-
-def _comparison(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, R.Comparison]:
-    inc = _incidents(spark, sf_dir)
-    cmp = R.resolve_comparison(inc)
-    if cmp is None:
-        raise ValueError("no two years with a common quarter to compare")
-    return inc, cmp
-
-
 # --- landing / lake ----------------------------------------------------------------
 def _landing_groups(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The landing rows as two file groups with drifting schemas."""
@@ -95,14 +83,6 @@ def schema_merge_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def manifest_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake.manifest_partitions(_incidents(spark, sf_dir))
-
-
-def manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake.manifest_summary(_incidents(spark, sf_dir))
-
-
 # --- derivations -----------------------------------------------------------------------
 def coord_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 on every landing row: text in, double out."""
@@ -164,193 +144,86 @@ def district_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.groupBy(M.BAIRRO_ORIGINAL, M.BAIRRO).agg(F.count(F.lit(1)).alias("rows"))
 
 
-# --- extracts ---------------------------------------------------------------------------
-def map_points(spark, sf_dir):
-    return X.map_points(_incidents(spark, sf_dir), STATS_SCOPE)
-
-
-def stats_extract(spark, sf_dir):
-    return _stats(spark, sf_dir)
-
-
-def stats_extract_filtered(spark, sf_dir):
-    return _stats(spark, sf_dir, FILTERED_SCOPE)
-
-
-def detail_table(spark, sf_dir):
-    return X.detail_table(_incidents(spark, sf_dir), STATS_SCOPE)
-
-
-def detail_table_page(spark, sf_dir):
-    return X.detail_table_page(_incidents(spark, sf_dir), STATS_SCOPE)
-
-
-def map_tiles(spark, sf_dir):
-    return X.map_tiles(_incidents(spark, sf_dir), STATS_SCOPE)
-
-
-# --- aggregates ---------------------------------------------------------------------------
-def coverage(spark, sf_dir):
-    return R.coverage(_incidents(spark, sf_dir), STATS_SCOPE.year, STATS_SCOPE.quarters)
-
-
-def partition_counts(spark, sf_dir):
-    return R.partition_counts(_incidents(spark, sf_dir))
-
-
-def partition_coverage(spark, sf_dir):
-    return R.partition_coverage(_incidents(spark, sf_dir))
-
-
-def default_years(spark, sf_dir):
-    return R.default_years(R.partition_counts(_incidents(spark, sf_dir)))
-
-
-def comparable_quarters(spark, sf_dir):
-    inc, cmp = _comparison(spark, sf_dir)
-    return R.comparable_quarters(R.partition_counts(inc), cmp.year_a, cmp.year_b)
-
-
-def monthly_comparison(spark, sf_dir):
-    inc, cmp = _comparison(spark, sf_dir)
-    return R.monthly_comparison(inc, cmp)
-
-
-def district_year_counts(spark, sf_dir):
-    inc, cmp = _comparison(spark, sf_dir)
-    return R.district_year_counts(inc, cmp)
-
-
-def monthly_overlay(spark, sf_dir):
-    inc, cmp = _comparison(spark, sf_dir)
-    return R.monthly_overlay(R.monthly_comparison(inc, cmp))
-
-
-def category_by_year(spark, sf_dir):
-    inc, cmp = _comparison(spark, sf_dir)
-    return R.category_by_year(R.monthly_comparison(inc, cmp))
-
-
-def year_kpis(spark, sf_dir):
-    inc, cmp = _comparison(spark, sf_dir)
-    return R.year_kpis(R.monthly_comparison(inc, cmp), cmp)
-
-
-def district_variation(spark, sf_dir):
-    inc, cmp = _comparison(spark, sf_dir)
-    return R.district_variation(R.district_year_counts(inc, cmp))
-
-
-def district_comparison(spark, sf_dir):
-    inc, cmp = _comparison(spark, sf_dir)
-    return R.district_comparison(R.district_year_counts(inc, cmp))
-
-
-def period_distribution(spark, sf_dir):
-    return R.period_distribution(_stats(spark, sf_dir))
-
-
-def category_distribution(spark, sf_dir):
-    return R.category_distribution(_stats(spark, sf_dir))
-
-
-def monthly_series(spark, sf_dir):
-    return R.monthly_series(_stats(spark, sf_dir))
-
-
-def top_districts(spark, sf_dir):
-    return R.top_districts(_stats(spark, sf_dir))
-
-
-def top_brands(spark, sf_dir):
-    return R.top_brands(_stats(spark, sf_dir))
-
-
-def top_one(spark, sf_dir):
-    return R.top_one(_stats(spark, sf_dir))
-
-
-def filter_options(spark, sf_dir):
-    return R.filter_options(_incidents(spark, sf_dir))
-
-
-# --- quality -----------------------------------------------------------------------------
-def quality_metrics(spark, sf_dir):
-    return Q.quality_metrics(_incidents(spark, sf_dir))
-
-
-def quality_report(spark, sf_dir):
-    return Q.quality_report(_incidents(spark, sf_dir))
-
-
-def district_variants(spark, sf_dir):
-    return Q.district_variants(_incidents(spark, sf_dir))
-
+# --- dashboard reports: functions of the transformed rows ----------------------------------
+def _cmp(inc: DataFrame) -> R.Comparison:
+    cmp = R.resolve_comparison(inc)
+    if cmp is None:
+        raise ValueError("no two years with a common quarter to compare")
+    return cmp
 
-def latest_record(spark, sf_dir):
-    return Q.latest_record(_incidents(spark, sf_dir))
 
+def _stats_of(inc: DataFrame, scope: M.Scope = STATS_SCOPE) -> DataFrame:
+    return X.stats_extract(inc, scope)
 
-def transform_stats(spark, sf_dir):
-    return etl.transform_stats(_incidents(spark, sf_dir))
 
+# Each report takes the transformed incident rows — derived lazily from the
+# tables in ``QUERIES``, or read from the partitioned lake in the bench.
+REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    # extracts
+    "map_points": lambda inc: X.map_points(inc, STATS_SCOPE),
+    "stats_extract": lambda inc: _stats_of(inc),
+    "stats_extract_filtered": lambda inc: _stats_of(inc, FILTERED_SCOPE),
+    "detail_table": lambda inc: X.detail_table(inc, STATS_SCOPE),
+    "detail_table_page": lambda inc: X.detail_table_page(inc, STATS_SCOPE),
+    "map_tiles": lambda inc: X.map_tiles(inc, STATS_SCOPE),
+    # aggregates and rankings
+    "coverage": lambda inc: R.coverage(inc, STATS_SCOPE.year, STATS_SCOPE.quarters),
+    "partition_counts": R.partition_counts,
+    "partition_coverage": R.partition_coverage,
+    "default_years": lambda inc: R.default_years(R.partition_counts(inc)),
+    "comparable_quarters": lambda inc: (
+        lambda c: R.comparable_quarters(R.partition_counts(inc), c.year_a, c.year_b)
+    )(_cmp(inc)),
+    "monthly_comparison": lambda inc: R.monthly_comparison(inc, _cmp(inc)),
+    "district_year_counts": lambda inc: R.district_year_counts(inc, _cmp(inc)),
+    "monthly_overlay": lambda inc: R.monthly_overlay(R.monthly_comparison(inc, _cmp(inc))),
+    "category_by_year": lambda inc: R.category_by_year(R.monthly_comparison(inc, _cmp(inc))),
+    "year_kpis": lambda inc: (lambda c: R.year_kpis(R.monthly_comparison(inc, c), c))(_cmp(inc)),
+    "district_variation": lambda inc: R.district_variation(R.district_year_counts(inc, _cmp(inc))),
+    "district_comparison": lambda inc: R.district_comparison(R.district_year_counts(inc, _cmp(inc))),
+    "period_distribution": lambda inc: R.period_distribution(_stats_of(inc)),
+    "category_distribution": lambda inc: R.category_distribution(_stats_of(inc)),
+    "monthly_series": lambda inc: R.monthly_series(_stats_of(inc)),
+    "top_districts": lambda inc: R.top_districts(_stats_of(inc)),
+    "top_brands": lambda inc: R.top_brands(_stats_of(inc)),
+    "top_one": lambda inc: R.top_one(_stats_of(inc)),
+    "filter_options": R.filter_options,
+    # quality and run statistics
+    "quality_metrics": Q.quality_metrics,
+    "quality_report": Q.quality_report,
+    "district_variants": Q.district_variants,
+    "latest_record": Q.latest_record,
+    "transform_stats": etl.transform_stats,
+    "category_counts": etl.category_counts,
+    "health_check": etl.health_check,
+    "manifest_partitions": lake.manifest_partitions,
+    "manifest_summary": lake.manifest_summary,
+}
 
-def category_counts(spark, sf_dir):
-    return etl.category_counts(_incidents(spark, sf_dir))
 
+def _from_tables(report: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return report(_incidents(spark, sf_dir))
 
-def health_check(spark, sf_dir):
-    return etl.health_check(_incidents(spark, sf_dir))
+    run.__doc__ = report.__doc__
+    return run
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    # sources and sinks
+# Queries that exercise the landing scan, the lake and the derivations.
+PIPELINE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_union": landing_union,
     "harmonise_columns": harmonise_columns,
     "lake_roundtrip": lake_roundtrip,
     "schema_merge_scan": schema_merge_scan,
-    "manifest_partitions": manifest_partitions,
-    "manifest_summary": manifest_summary,
-    # derivations
     "coord_parse": coord_parse,
     "quarter_derive": quarter_derive,
     "has_coordinates": has_coordinates,
     "category_map": category_map,
     "district_normalise": district_normalise,
     "district_alias": district_alias,
-    # extracts
-    "map_points": map_points,
-    "stats_extract": stats_extract,
-    "stats_extract_filtered": stats_extract_filtered,
-    "detail_table": detail_table,
-    "detail_table_page": detail_table_page,
-    "map_tiles": map_tiles,
-    # aggregates and rankings
-    "coverage": coverage,
-    "partition_counts": partition_counts,
-    "partition_coverage": partition_coverage,
-    "default_years": default_years,
-    "comparable_quarters": comparable_quarters,
-    "monthly_comparison": monthly_comparison,
-    "district_year_counts": district_year_counts,
-    "monthly_overlay": monthly_overlay,
-    "category_by_year": category_by_year,
-    "year_kpis": year_kpis,
-    "district_variation": district_variation,
-    "district_comparison": district_comparison,
-    "period_distribution": period_distribution,
-    "category_distribution": category_distribution,
-    "monthly_series": monthly_series,
-    "top_districts": top_districts,
-    "top_brands": top_brands,
-    "top_one": top_one,
-    "filter_options": filter_options,
-    # quality and run statistics
-    "quality_metrics": quality_metrics,
-    "quality_report": quality_report,
-    "district_variants": district_variants,
-    "latest_record": latest_record,
-    "transform_stats": transform_stats,
-    "category_counts": category_counts,
-    "health_check": health_check,
+}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **PIPELINE_QUERIES,
+    **{name: _from_tables(report) for name, report in REPORTS.items()},
 }
