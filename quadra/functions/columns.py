@@ -176,18 +176,25 @@ def _abbreviation_map() -> Column:
     return F.create_map(*[F.lit(x) for kv in ABBREVIATIONS.items() for x in kv])
 
 
+# ASCII characters outside the output alphabet ``[A-Z0-9 ]`` (generated).
+_ASCII_BLANKED = "".join(
+    chr(i) for i in range(128) if not ("A" <= chr(i) <= "Z" or "0" <= chr(i) <= "9" or chr(i) == " ")
+)
+
+
 def normalise_district(c: Column) -> Column:
     """Trim, upper, strip accents, punctuation to space, collapse, expand.
 
-    Null stays null and a blank name stays ``''``.
+    Null stays null and a blank name stays ``''``. Names that are pure ASCII
+    after upper-casing (the vast majority) skip the accent folding; blanks
+    are collapsed by dropping empty tokens, which also trims both ends.
     """
-    cleaned = F.trim(
-        F.regexp_replace(
-            F.regexp_replace(strip_accents(F.upper(F.trim(c))), r"[^A-Z0-9 ]", " "),
-            r" +",
-            " ",
-        )
+    up = F.upper(c)
+    ascii_only = F.length(up) == F.octet_length(up)
+    folded = F.when(ascii_only, up).otherwise(
+        F.regexp_replace(strip_accents(up), r"[^A-Z0-9 ]", " ")
     )
+    cleaned = F.translate(folded, _ASCII_BLANKED, " " * len(_ASCII_BLANKED))
+    tokens = F.filter(F.split(cleaned, " "), lambda t: t != "")
     abbrev = _abbreviation_map()
-    tokens = F.transform(F.split(cleaned, " "), lambda t: F.coalesce(abbrev[t], t))
-    return F.array_join(tokens, " ")
+    return F.array_join(F.transform(tokens, lambda t: F.coalesce(abbrev[t], t)), " ")

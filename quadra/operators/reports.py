@@ -98,20 +98,29 @@ class Comparison:
 def resolve_comparison(df: DataFrame, year_a: int | None = None, year_b: int | None = None) -> Comparison | None:
     """Pick the years (U3) and the common quarters (U2), as the page does.
 
-    Only the per-partition counts (a few rows per year) are collected; the
-    quarters then become a static filter, so the comparison queries prune
-    partitions instead of joining against a computed table.
+    One job collects the distinct (year, quarter) keys of the city — one row
+    per lake partition, so a few rows per year at any data size — and the
+    choice is made on those keys. The quarters then become a static filter,
+    so the comparison queries prune partitions instead of joining against a
+    computed table.
     """
-    parts = partition_counts(df).select(M.ANO, M.TRIMESTRE).cache()
-    try:
-        if year_a is None or year_b is None:
-            row = default_years(parts).first()
-            if row is None or row["ano_anterior"] is None:
-                return None
-            year_a, year_b = row["ano_base"], row["ano_anterior"]
-        qs = sorted(r[M.TRIMESTRE] for r in comparable_quarters(parts, year_a, year_b).collect())
-    finally:
-        parts.unpersist()
+    keys = (
+        X.city(df)
+        .where(F.col(M.ANO).isNotNull() & F.col(M.TRIMESTRE).isNotNull())
+        .select(M.ANO, M.TRIMESTRE)
+        .distinct()
+        .collect()
+    )
+    by_year: dict[int, set[int]] = {}
+    for r in keys:
+        by_year.setdefault(r[M.ANO], set()).add(r[M.TRIMESTRE])
+    if year_a is None or year_b is None:
+        years = sorted(by_year, reverse=True)
+        if len(years) < 2:
+            return None
+        year_a = years[0]
+        year_b = year_a - 1 if year_a - 1 in by_year else years[1]
+    qs = sorted(by_year.get(year_a, set()) & by_year.get(year_b, set()))
     if not qs:
         return None
     return Comparison(year_a, year_b, tuple(qs))
