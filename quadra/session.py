@@ -53,3 +53,24 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared scratch root."""
     return f"{scratch_root(spark)}/quadra/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input volume.
+
+    Shuffle partitions are chosen so one partition holds about
+    ``target_partition_bytes`` (and at least two waves of tasks), scan splits
+    and AQE's advisory size match that, and skew handling splits any
+    partition five times the median — e.g. 100 TB on 8,000 cores gives
+    ~400,000 partitions of 256 MB, each sorting and spilling within an
+    executor's memory.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **ENGINE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

@@ -126,3 +126,12 @@ def test_transform_stats_and_health(spark, sample):
         etl.assert_healthy(df.limit(0))
     empty = etl.transform_stats(df.limit(0)).first()
     assert empty["rows"] == 0 and empty["pct_with_coordinates"] is None
+
+
+def test_cluster_conf_sizes_partitions():
+    from quadra.session import cluster_conf
+
+    conf = cluster_conf(100 * 2**40, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_conf(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
