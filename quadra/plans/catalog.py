@@ -210,7 +210,7 @@ def _from_tables(report: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSes
 
 
 # Queries that exercise the landing scan, the lake and the derivations.
-PIPELINE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+SOURCE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_union": landing_union,
     "harmonise_columns": harmonise_columns,
     "lake_roundtrip": lake_roundtrip,
@@ -224,6 +224,6 @@ PIPELINE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    **PIPELINE_QUERIES,
+    **SOURCE_QUERIES,
     **{name: _from_tables(report) for name, report in REPORTS.items()},
 }
