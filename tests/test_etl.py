@@ -135,3 +135,18 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert int(cluster_conf(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_batch_job_all_layers(spark, scratch):
+    from quadra.plans import jobs
+
+    land = f"{scratch}/2026.csv"
+    with open(land, "w", encoding="utf-8") as fh:
+        fh.write("NUM_BO,ANO,MES,CIDADE,RUBRICA,BAIRRO,LATITUDE,LONGITUDE\n")
+        fh.write('A1,2026,1,S.PAULO,Roubo,VL X,"-23,5","-46,6"\nA2,2026,5,S.PAULO,Furto,,,\n')
+    manifest = jobs.run(spark, [land], f"{scratch}/lake")
+    assert manifest["total_rows"] == 2 and manifest["anos_processados"] == [2026]
+    raw_root, out_root, manifest_path = jobs.layer_roots(f"{scratch}/lake")
+    assert lake.read_manifest(spark, manifest_path)["total_rows"] == 2
+    row = lake.read_layer(spark, out_root).where(F.col(M.NUM_BO) == "A1").first()
+    assert row[M.BAIRRO] == "VILA X" and row[M.HAS_COORDINATES]
