@@ -150,3 +150,23 @@ def test_batch_job_all_layers(spark, scratch):
     assert lake.read_manifest(spark, manifest_path)["total_rows"] == 2
     row = lake.read_layer(spark, out_root).where(F.col(M.NUM_BO) == "A1").first()
     assert row[M.BAIRRO] == "VILA X" and row[M.HAS_COORDINATES]
+
+
+def test_hot_partition_is_split_over_writers(spark, scratch):
+    """One (year, quarter) holding most rows is written by several tasks."""
+    big = spark.range(200_000).select(
+        F.col("id").cast("string").alias("NUM_BO"),
+        F.when(F.col("id") % 3 == 0, F.lit(2025)).otherwise(F.lit(2026)).cast("int").alias("ANO"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 4 + 1).otherwise(F.lit(1)).cast("int").alias("TRIMESTRE"),
+        F.concat(F.lit("payload-"), F.col("id").cast("string")).alias("BAIRRO"),
+    )
+    root = f"{scratch}/hot"
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        lake.write_layer(big, root)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot_files = [f for f in os.listdir(f"{root}/ano=2026/trimestre=1") if f.endswith(".parquet")]
+    assert len(hot_files) > 1
+    assert lake.read_layer(spark, root).count() == 200_000
