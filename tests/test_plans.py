@@ -1,0 +1,57 @@
+"""Plan-shape guards for every report and registered query.
+
+No Python evaluation, no cartesian or nested-loop joins, no unpartitioned
+window (no window at all), and the lake scans of scoped reports carry partition filters and
+pushed-down predicates.
+"""
+
+from __future__ import annotations
+
+import pytest
+
+from quadra.plans import catalog, etl
+from quadra.sources import lake
+
+SF_DIR = "/root/testdata/sf0.001"
+FORBIDDEN = (
+    "BatchEvalPython",
+    "ArrowEvalPython",
+    "FlatMapGroupsInPandas",
+    "MapInPandas",
+    "CartesianProduct",
+    "BroadcastNestedLoopJoin",
+)
+SCOPED = {
+    "map_points", "stats_extract", "stats_extract_filtered", "detail_table", "detail_table_page",
+    "map_tiles", "coverage", "period_distribution", "category_distribution", "monthly_series",
+    "top_districts", "top_brands", "top_one", "monthly_comparison", "district_year_counts",
+}
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def lake_rows(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("plans") / "transformed")
+    lake.write_layer(etl.incidents(spark, SF_DIR), root)
+    return lake.read_layer(spark, root)
+
+
+@pytest.mark.parametrize("name", sorted(catalog.REPORTS))
+def test_report_plan_shape(lake_rows, name):
+    plan = _plan(catalog.REPORTS[name](lake_rows))
+    for node in FORBIDDEN:
+        assert node not in plan, f"{name}: {node}"
+    assert "Window [" not in plan, name  # shares use a scalar subquery, not a window
+    if name in SCOPED:
+        assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan, name
+        assert "EqualTo(CIDADE,S.PAULO)" in plan, name
+
+
+@pytest.mark.parametrize("name", sorted(catalog.SOURCE_QUERIES))
+def test_table_query_plan_shape(spark, name):
+    plan = _plan(catalog.QUERIES[name](spark, SF_DIR))
+    for node in FORBIDDEN:
+        assert node not in plan, f"{name}: {node}"
