@@ -36,8 +36,9 @@ ABBREVIATIONS: dict[str, str] = {
 
 # Text that a decimal number must look like before it is cast (trap 6).
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-# Text that must start like an ISO date before it is cast to a date (trap 8).
-DATE_PATTERN = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+# Text that must look like an ISO date, optionally with a time of day,
+# before it is cast to a date (trap 8).
+DATE_PATTERN = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?\s*$"
 
 # Highest code point the generated accent table covers.
 _ACCENT_TABLE_LIMIT = 0x3000

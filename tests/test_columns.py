@@ -158,8 +158,10 @@ def test_safe_int(spark, text, value):
 
 
 @pytest.mark.parametrize(
-    ("text", "ok"), [("2024-03-05", True), ("2024-3-5", True), ("2024", False), ("2024-01", False),
-                     ("sem data", False), (None, False)]
+    ("text", "ok"),
+    [("2024-03-05", True), ("2024-3-5", True), ("2024", False), ("2024-01", False),
+     ("sem data", False), (None, False), ("2024-01-05 10:32:00", True), ("2024-01-05T10:32", True),
+     (" 2024-01-05 ", True), ("2024-01-05 xx", False), ("2024-02-30", False), ("05/01/2024", False)]
 )
 def test_safe_date(spark, text, ok):
     assert (_one(spark, text, C.safe_date) is not None) == ok
