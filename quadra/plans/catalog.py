@@ -156,6 +156,16 @@ def _stats_of(inc: DataFrame, scope: M.Scope = STATS_SCOPE) -> DataFrame:
     return X.stats_extract(inc, scope)
 
 
+def _comparable_quarters(inc: DataFrame) -> DataFrame:
+    cmp = _cmp(inc)
+    return R.comparable_quarters(R.partition_counts(inc), cmp.year_a, cmp.year_b)
+
+
+def _year_kpis(inc: DataFrame) -> DataFrame:
+    cmp = _cmp(inc)
+    return R.year_kpis(R.monthly_comparison(inc, cmp), cmp)
+
+
 # Each report takes the transformed incident rows — derived lazily from the
 # tables in ``QUERIES``, or read from the partitioned lake in the bench.
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -171,14 +181,12 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "partition_counts": R.partition_counts,
     "partition_coverage": R.partition_coverage,
     "default_years": lambda inc: R.default_years(R.partition_counts(inc)),
-    "comparable_quarters": lambda inc: (
-        lambda c: R.comparable_quarters(R.partition_counts(inc), c.year_a, c.year_b)
-    )(_cmp(inc)),
+    "comparable_quarters": _comparable_quarters,
     "monthly_comparison": lambda inc: R.monthly_comparison(inc, _cmp(inc)),
     "district_year_counts": lambda inc: R.district_year_counts(inc, _cmp(inc)),
     "monthly_overlay": lambda inc: R.monthly_overlay(R.monthly_comparison(inc, _cmp(inc))),
     "category_by_year": lambda inc: R.category_by_year(R.monthly_comparison(inc, _cmp(inc))),
-    "year_kpis": lambda inc: (lambda c: R.year_kpis(R.monthly_comparison(inc, c), c))(_cmp(inc)),
+    "year_kpis": _year_kpis,
     "district_variation": lambda inc: R.district_variation(R.district_year_counts(inc, _cmp(inc))),
     "district_comparison": lambda inc: R.district_comparison(R.district_year_counts(inc, _cmp(inc))),
     "period_distribution": lambda inc: R.period_distribution(_stats_of(inc)),

@@ -56,6 +56,15 @@ def test_normalise_district_unicode(spark, raw, expected):
     assert _one(spark, raw, C.normalise_district) == expected
 
 
+@pytest.mark.parametrize(
+    ("raw", "expected"),
+    # Spark-only cases (trap 3): Spark upper-cases ß to SS and the fi ligature to FI
+    [("Straße", "STRASSE"), ("ﬁgueira", "FIGUEIRA")],
+)
+def test_normalise_district_full_case_mapping(spark, raw, expected):
+    assert _one(spark, raw, C.normalise_district) == expected
+
+
 def test_accent_table_is_generated_by_rule():
     src, dst, expansions = C.accent_table()
     assert len(src) == len(dst) > 200
