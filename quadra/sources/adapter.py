@@ -1,9 +1,12 @@
 """Incident-shaped landing rows derived from the driver's star-schema tables.
 
 The checks run on TPC-H-like tables, not on incident reports, so the landing
-rows are derived from ``lineitem`` joined to its dimensions. The same mapping
-is written in SQL in :mod:`quadra.plans.oracle` so both engines start from the
-same rows.
+rows are derived from ``lineitem`` joined to its dimensions: every line item
+becomes one incident row. The key arithmetic below (``l_partkey % 41`` ...)
+only *assigns* attribute values — spellings, blanks, placeholders, bad texts,
+the second city — so every data-quality case of the reference occurs; it never
+removes a row. The same mapping is written in SQL in
+:mod:`quadra.plans.oracle` so both engines start from the same rows.
 
 Join plan (designed for the fact table being by far the largest input):
 
