@@ -1,0 +1 @@
+"""Column -> Column expressions for the derived fields."""

@@ -1,0 +1 @@
+"""Extracts, dashboard reports and data-quality reports (DataFrame -> DataFrame)."""

@@ -1,0 +1 @@
+"""ETL jobs, the registered queries and their SQL oracles."""

@@ -1,0 +1 @@
+"""Incremental landing ingest with Structured Streaming."""
