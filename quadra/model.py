@@ -66,6 +66,18 @@ TRANSFORMED_TYPES: dict[str, T.DataType] = {
     BAIRRO_ORIGINAL: T.StringType(),
 }
 
+
+def layer_schema(transformed: bool = True) -> T.StructType:
+    """Declared schema of a lake layer as stored (partition keys last, in the
+    lower-case names of the directory keys)."""
+    types = dict(RAW_TYPES)
+    if transformed:
+        types.update(TRANSFORMED_TYPES)
+    fields = [T.StructField(n, t, True) for n, t in types.items() if n not in (ANO, TRIMESTRE)]
+    fields += [T.StructField("ano", T.IntegerType(), True), T.StructField("trimestre", T.IntegerType(), True)]
+    return T.StructType(fields)
+
+
 ALIAS_SCHEMA = T.StructType(
     [
         T.StructField("bairro_variante", T.StringType(), True),

@@ -170,3 +170,16 @@ def test_hot_partition_is_split_over_writers(spark, scratch):
     hot_files = [f for f in os.listdir(f"{root}/ano=2026/trimestre=1") if f.endswith(".parquet")]
     assert len(hot_files) > 1
     assert lake.read_layer(spark, root).count() == 200_000
+
+
+def test_declared_schema_read_equals_merged_read(spark, scratch):
+    root = f"{scratch}/lake"
+    a = spark.createDataFrame([("A", 2024, 1)], "NUM_BO string, ANO int, MES int")
+    b = spark.createDataFrame([("B", 2025, 1, "3")], "NUM_BO string, ANO int, MES int, VERSAO string")
+    etl.run_raw(a, root)
+    etl.run_raw(b, root)
+    merged = lake.read_layer(spark, root)
+    declared = lake.read_layer(spark, root, schema=M.layer_schema(transformed=False))
+    cols = [M.NUM_BO, M.VERSAO, M.ANO, M.TRIMESTRE, M.MES]
+    assert sorted(map(tuple, merged.select(cols).collect())) == sorted(map(tuple, declared.select(cols).collect()))
+    assert dict(declared.dtypes)[M.ANO] == "int" and M.TRIMESTRE in declared.columns
