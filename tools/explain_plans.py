@@ -14,6 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from quadra import model as M  # noqa: E402
 from quadra.plans import catalog, etl  # noqa: E402
 from quadra.session import fresh_path, local_session  # noqa: E402
 from quadra.sources import adapter, lake  # noqa: E402
@@ -56,7 +57,7 @@ def main() -> None:
     print("```\n")
     root = fresh_path(spark, "plans-lake")
     lake.write_layer(etl.incidents(spark, sf_dir), root)
-    inc = lake.read_layer(spark, root)
+    inc = lake.read_layer(spark, root, schema=M.layer_schema())
     for name, report in catalog.REPORTS.items():
         print(f"## {name}\n\n```")
         print(plan_text(report(inc)))
