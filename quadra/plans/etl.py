@@ -90,7 +90,7 @@ def transform_stats(df: DataFrame) -> DataFrame:
     the run log counts them; the percent is null on an empty input.
     """
     def distinct_with_null(c: str):
-        return F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))
+        return F.count_distinct(F.col(c)) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
 
     out = df.agg(
         F.count(F.lit(1)).alias("rows"),

@@ -126,6 +126,7 @@ def test_transform_stats_and_health(spark, sample):
         etl.assert_healthy(df.limit(0))
     empty = etl.transform_stats(df.limit(0)).first()
     assert empty["rows"] == 0 and empty["pct_with_coordinates"] is None
+    assert (empty["districts_before"], empty["districts_after"]) == (0, 0)
 
 
 def test_cluster_conf_sizes_partitions():
