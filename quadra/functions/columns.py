@@ -36,9 +36,6 @@ ABBREVIATIONS: dict[str, str] = {
 
 # Text that a decimal number must look like before it is cast (trap 6).
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-# Text that must look like an ISO date, optionally with a time of day,
-# before it is cast to a date (trap 8).
-DATE_PATTERN = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?\s*$"
 
 # Highest code point the generated accent table covers.
 _ACCENT_TABLE_LIMIT = 0x3000
@@ -66,16 +63,42 @@ def coordinate(c: Column, source_type: str) -> Column:
 
 
 def safe_int(c: Column) -> Column:
-    """``TRY_CAST(x AS INTEGER)`` with rounding of decimal text."""
-    text = c.cast("string")
+    """``TRY_CAST(x AS INTEGER)`` with rounding of decimal text.
+
+    Decimal and exponent text is rounded half away from zero, as the
+    reference engine does; a dot right after the exponent is tolerated too.
+    """
+    text = F.regexp_replace(c.cast("string"), r"([eE][+-]?\d+)\.(\s*)$", "$1$2")
     as_double = F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double"))
     return F.round(as_double).try_cast("int")
 
 
+# Year (1-4 digits), month and day with one separator (-, / or space) used
+# twice, then an optional time of day.
+_DATE_PARTS = (
+    r"^\s*(\d{1,4})([-/ ])(\d{1,2})\2(\d{1,2})(([ T])(\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?))?\s*$"
+)
+
+
 def safe_date(c: Column) -> Column:
-    """``TRY_CAST(x AS DATE)``; only ISO-looking text is cast."""
+    """``TRY_CAST(x AS DATE)`` on year-first date text, else null.
+
+    The year is zero-padded to four digits (short years are valid dates);
+    when a time of day follows, the whole timestamp must be valid. Years of
+    more than four digits, BC years and year 0 give null.
+    """
     text = c.cast("string")
-    return F.when(text.rlike(DATE_PATTERN), F.trim(text).try_cast("date"))
+
+    def part(i: int) -> Column:
+        return F.regexp_extract(text, _DATE_PARTS, i)
+
+    day = F.concat_ws("-", F.lpad(part(1), 4, "0"), part(3), part(4))
+    clock = part(7)
+    as_date = F.when(clock == "", day.try_cast("date")).otherwise(
+        F.concat(day, F.lit(" "), clock).try_cast("timestamp_ntz").cast("date")
+    )
+    # year 0 has no calendar date here (the year before 1 is 1 BC)
+    return F.when(text.rlike(_DATE_PARTS) & (part(1).cast("int") > 0), as_date)
 
 
 # --- P3 / P10: calendar ------------------------------------------------------
