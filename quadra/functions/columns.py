@@ -68,9 +68,12 @@ def safe_int(c: Column) -> Column:
     Decimal and exponent text is rounded half away from zero, as the
     reference engine does; a dot right after the exponent is tolerated too.
     """
-    text = F.regexp_replace(c.cast("string"), r"([eE][+-]?\d+)\.(\s*)$", "$1$2")
+    raw = c.cast("string")
+    text = F.regexp_replace(raw, r"([eE][+-]?\d+)\.(\s*)$", "$1$2")
     as_double = F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double"))
-    return F.round(as_double).try_cast("int")
+    general = F.round(as_double).try_cast("int")
+    # fast path: plain digits (the usual version number) need no regex work
+    return F.when(raw.rlike(r"^\d{1,9}$"), raw.cast("int")).otherwise(general)
 
 
 # Year (1-4 digits), month and day with one separator (-, / or space) used
@@ -98,7 +101,10 @@ def safe_date(c: Column) -> Column:
         F.concat(day, F.lit(" "), clock).try_cast("timestamp_ntz").cast("date")
     )
     # year 0 has no calendar date here (the year before 1 is 1 BC)
-    return F.when(text.rlike(_DATE_PARTS) & (part(1).cast("int") > 0), as_date)
+    general = F.when(text.rlike(_DATE_PARTS) & (part(1).cast("int") > 0), as_date)
+    # fast path: a plain ISO date (the usual form) is cast directly
+    iso = text.rlike(r"^\d{4}-\d{2}-\d{2}$") & ~text.startswith("0000")
+    return F.when(iso, text.try_cast("date")).otherwise(general)
 
 
 # --- P3 / P10: calendar ------------------------------------------------------
