@@ -184,3 +184,16 @@ def test_declared_schema_read_equals_merged_read(spark, scratch):
     cols = [M.NUM_BO, M.VERSAO, M.ANO, M.TRIMESTRE, M.MES]
     assert sorted(map(tuple, merged.select(cols).collect())) == sorted(map(tuple, declared.select(cols).collect()))
     assert dict(declared.dtypes)[M.ANO] == "int" and M.TRIMESTRE in declared.columns
+
+
+def test_landing_parquet_numeric_coordinates_pass_through(spark, scratch):
+    path = f"{scratch}/landing.parquet"
+    spark.createDataFrame(
+        [("P1", 2024, 6, -23.5, -46.6), ("P2", 2024, 7, None, -46.7)],
+        "NUM_BO string, ANO long, MES long, LATITUDE double, LONGITUDE double",
+    ).write.parquet(path)
+    raw = lake.read_landing(spark, [path], "parquet")
+    rows = {r[M.NUM_BO]: r for r in raw.collect()}
+    assert rows["P1"][M.LATITUDE] == -23.5 and rows["P2"][M.LATITUDE] is None
+    assert (rows["P1"][M.TRIMESTRE], rows["P2"][M.TRIMESTRE]) == (2, 3)
+    assert dict(raw.dtypes)[M.MES] == "int"
