@@ -72,7 +72,7 @@ def incidents(spark: SparkSession, sf_dir: str, aliases: DataFrame | None = None
 
 def run_raw(landing: DataFrame, raw_root: str) -> None:
     """Raw job: write the raw layer (only the partitions present are replaced)."""
-    lake.write_layer(raw_layer(landing), raw_root)
+    lake.write_layer(raw_layer(landing), raw_root, cluster=False)
 
 
 def run_transformed(

@@ -32,7 +32,7 @@ def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all",
     touched = None
     if layer in ("raw", "all"):
         raw = lake.read_landing(spark, landing, fmt)
-        lake.write_layer(raw, raw_root)
+        lake.write_layer(raw, raw_root, cluster=False)
         # partitions this run rewrote (one row per partition)
         touched = [tuple(r) for r in raw.select(M.ANO, M.TRIMESTRE).distinct().collect()]
     if layer not in ("transformed", "all"):
