@@ -338,6 +338,44 @@ def filter_options(df: DataFrame) -> DataFrame:
     return kept.distinct()
 
 
+# Marker option of a (year, quarter, city) that has rows at all.
+_PRESENT = "_partition"
+
+
+def option_values(df: DataFrame) -> DataFrame:
+    """A17 kept incrementally: distinct option values per (year, quarter, city).
+
+    Written next to the transformed layer by the batch job for the partitions
+    it rewrote, this table is a few rows per partition, so the widget options
+    come from it instead of a scan of the whole lake on every page load.
+    """
+    def pair(option: str, value: Column) -> Column:
+        return F.struct(F.lit(option).alias("option"), value.cast("string").alias("value"))
+
+    sources = {"bairros": M.BAIRRO, "tipos_crime": M.RUBRICA_MOD, "periodos": M.DESCR_PERIODO}
+    present = [pair(opt, F.col(c)) for opt, c in sources.items() if c in df.columns]
+    pairs = df.select(
+        M.ANO,
+        M.TRIMESTRE,
+        M.CIDADE,
+        F.inline(F.array(pair(_PRESENT, F.lit(None)), *present)),
+    )
+    return pairs.where(F.col("value").isNotNull() | (F.col("option") == _PRESENT)).distinct()
+
+
+def filter_options_from_values(values: DataFrame, city: str = M.CITY) -> DataFrame:
+    """A17 from the option-values table; same result as :func:`filter_options`."""
+    scoped = values.where(F.col(M.CIDADE) == city)
+    keys = scoped.where(F.col("option") == _PRESENT)
+    years = keys.select(F.lit("anos").alias("option"), F.col(M.ANO).cast("string").alias("value"))
+    quarters = keys.select(F.lit("trimestres").alias("option"), F.col(M.TRIMESTRE).cast("string").alias("value"))
+    others = scoped.where(
+        (F.col("option") != _PRESENT)
+        & ~((F.col("option") == "periodos") & (F.col("value") == M.NULL_TEXT))
+    ).select("option", "value")
+    return years.unionByName(quarters).unionByName(others).where(F.col("value").isNotNull()).distinct()
+
+
 def filter_options_dict(df: DataFrame) -> dict[str, list]:
     """A17 as the widgets want it: sorted lists (years newest first)."""
     out: dict[str, list] = {k: [] for k in OPTION_NAMES}

@@ -3,8 +3,9 @@
     spark-submit -m quadra.plans.jobs --landing s3a://b/landing/2024.csv \
         --landing s3a://b/landing/2025.csv --lake s3a://b --layer all
 
-Runs the raw and/or transformed job, writes the run manifest next to the
-transformed layer and fails the run when the transformed layer is empty.
+Runs the raw and/or transformed job, writes the run manifest and the
+per-partition option values (for the filter widgets) next to the transformed
+layer, and fails the run when the transformed layer is empty.
 Layer roots: ``<lake>/raw/parquet`` and ``<lake>/transformed/parquet``;
 manifest: ``<lake>/transformed/_meta/manifest.json``.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from quadra import model as M
+from quadra.operators import reports as R
 from quadra.plans import etl
 from quadra.sources import lake
 
@@ -26,6 +28,11 @@ def layer_roots(base: str) -> tuple[str, str, str]:
     return f"{base}/raw/parquet", f"{base}/transformed/parquet", f"{base}/transformed/_meta/manifest.json"
 
 
+def options_root(base: str) -> str:
+    """Per-partition option values kept for the dashboard's filter widgets."""
+    return f"{base.rstrip('/')}/transformed/_options"
+
+
 def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all", fmt: str = "csv",
         aliases_csv: str | None = None) -> dict | None:
     raw_root, out_root, manifest_path = layer_roots(base)
@@ -50,6 +57,7 @@ def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all",
         written = written.where(cond)
     manifest = lake.build_manifest(written)
     lake.write_manifest(spark, manifest, manifest_path)
+    lake.write_layer(R.option_values(written), options_root(base))
     etl.assert_healthy(lake.read_layer(spark, out_root))
     return manifest
 

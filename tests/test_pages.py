@@ -47,3 +47,15 @@ def test_comparison_and_quality_pages(inc):
     q = pages.quality_page(inc)
     assert q["partitions"].count() == q["completeness"].count()
     assert q["latest_record"].first()["ultima"] is not None
+
+
+def test_option_values_table_gives_same_options(spark, inc, tmp_path):
+    from quadra.operators import reports as R
+
+    root = str(tmp_path / "options")
+    lake.write_layer(R.option_values(inc), root)
+    values = lake.read_layer(spark, root)
+    direct = sorted(map(tuple, R.filter_options(inc).collect()))
+    stored = sorted(map(tuple, R.filter_options_from_values(values).collect()))
+    assert direct == stored
+    assert values.count() < inc.count()
