@@ -24,6 +24,26 @@ def report_key() -> F.Column:
     )
 
 
+_METRIC_COLUMNS = (M.ANO_BO, M.NUM_BO, M.VERSAO, M.BAIRRO, M.DESCR_PERIODO, M.MARCA_OBJETO)
+METRICS = ("linhas", "bos_unicos", "linhas_versao_maior_1", "com_coordenadas",
+           "bairro_vazio", "periodo_nulo", "marca_vazia")
+
+
+def _metrics() -> list[F.Column]:
+    blank = lambda c, *more: F.col(c).isNull() | F.col(c).isin("", *more)
+    return [
+        F.count(F.lit(1)).alias("linhas"),
+        F.count_distinct(report_key()).alias("bos_unicos"),
+        F.count_if(C.safe_int(F.col(M.VERSAO)) > 1).alias("linhas_versao_maior_1"),
+        F.count_if(F.col(M.HAS_COORDINATES)).alias("com_coordenadas"),
+        F.count_if(blank(M.BAIRRO)).alias("bairro_vazio"),
+        F.count_if(
+            F.col(M.DESCR_PERIODO).isNull() | (F.col(M.DESCR_PERIODO) == M.NULL_TEXT)
+        ).alias("periodo_nulo"),
+        F.count_if(blank(M.MARCA_OBJETO, M.NULL_TEXT)).alias("marca_vazia"),
+    ]
+
+
 def quality_metrics(df: DataFrame) -> DataFrame | None:
     """Completeness metrics per (year, quarter) of the city, one pass.
 
@@ -31,32 +51,34 @@ def quality_metrics(df: DataFrame) -> DataFrame | None:
     keyed by (year, quarter, report key), so one huge partition spreads over
     many tasks instead of collecting its keys in one.
     """
-    if not _has(df, M.ANO_BO, M.NUM_BO, M.VERSAO, M.BAIRRO, M.DESCR_PERIODO, M.MARCA_OBJETO):
+    if not _has(df, *_METRIC_COLUMNS):
         return None
-    blank = lambda c, *more: F.col(c).isNull() | F.col(c).isin("", *more)
+    return X.city(df).groupBy(M.ANO, M.TRIMESTRE).agg(*_metrics()).orderBy(M.ANO, M.TRIMESTRE)
+
+
+def partition_stats(df: DataFrame) -> DataFrame | None:
+    """A2 + A6 kept incrementally: the metrics per (year, quarter, city).
+
+    Every metric is exact per group (a report key never spans two lake
+    partitions' groups), so the batch job can store this table for the
+    partitions it rewrote, and the quality and comparison pages read a few
+    rows per partition instead of the lake.
+    """
+    if not _has(df, *_METRIC_COLUMNS):
+        return None
+    return df.groupBy(M.ANO, M.TRIMESTRE, M.CIDADE).agg(*_metrics())
+
+
+def quality_metrics_from_stats(stats: DataFrame, city: str = M.CITY) -> DataFrame:
+    """A6 from the partition-statistics table; same result as :func:`quality_metrics`."""
     return (
-        X.city(df)
-        .groupBy(M.ANO, M.TRIMESTRE)
-        .agg(
-            F.count(F.lit(1)).alias("linhas"),
-            F.count_distinct(report_key()).alias("bos_unicos"),
-            F.count_if(C.safe_int(F.col(M.VERSAO)) > 1).alias("linhas_versao_maior_1"),
-            F.count_if(F.col(M.HAS_COORDINATES)).alias("com_coordenadas"),
-            F.count_if(blank(M.BAIRRO)).alias("bairro_vazio"),
-            F.count_if(
-                F.col(M.DESCR_PERIODO).isNull() | (F.col(M.DESCR_PERIODO) == M.NULL_TEXT)
-            ).alias("periodo_nulo"),
-            F.count_if(blank(M.MARCA_OBJETO, M.NULL_TEXT)).alias("marca_vazia"),
-        )
+        stats.where(F.col(M.CIDADE) == city)
+        .select(M.ANO, M.TRIMESTRE, *METRICS)
         .orderBy(M.ANO, M.TRIMESTRE)
     )
 
 
-def quality_report(df: DataFrame) -> DataFrame | None:
-    """A6 with excess rows (versions) and three percents."""
-    m = quality_metrics(df)
-    if m is None:
-        return None
+def _report(m: DataFrame) -> DataFrame:
     lines = F.col("linhas")
     return m.select(
         M.ANO,
@@ -70,6 +92,17 @@ def quality_report(df: DataFrame) -> DataFrame | None:
     )
 
 
+def quality_report(df: DataFrame) -> DataFrame | None:
+    """A6 with excess rows (versions) and three percents."""
+    m = quality_metrics(df)
+    return None if m is None else _report(m)
+
+
+def quality_report_from_stats(stats: DataFrame, city: str = M.CITY) -> DataFrame:
+    """A7 from the partition-statistics table."""
+    return _report(quality_metrics_from_stats(stats, city))
+
+
 def district_variants(df: DataFrame, n: int = M.TOP_VARIANTS) -> DataFrame | None:
     """A8 + F9: canonical districts that unify more than one spelling.
 

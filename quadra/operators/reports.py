@@ -58,6 +58,15 @@ def partition_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def partition_counts_from_stats(stats: DataFrame, city: str = M.CITY) -> DataFrame:
+    """A2 from the partition-statistics table (see ``quality.partition_stats``)."""
+    return (
+        stats.where(F.col(M.CIDADE) == city)
+        .select(M.ANO, M.TRIMESTRE, F.col("linhas").alias("total"), "com_coordenadas")
+        .orderBy(M.ANO, M.TRIMESTRE)
+    )
+
+
 def partition_coverage(df: DataFrame) -> DataFrame:
     """A3: A2 plus the geolocated percent."""
     return partition_counts(df).withColumn(

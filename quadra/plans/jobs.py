@@ -3,9 +3,10 @@
     spark-submit -m quadra.plans.jobs --landing s3a://b/landing/2024.csv \
         --landing s3a://b/landing/2025.csv --lake s3a://b --layer all
 
-Runs the raw and/or transformed job, writes the run manifest and the
-per-partition option values (for the filter widgets) next to the transformed
-layer, and fails the run when the transformed layer is empty.
+Runs the raw and/or transformed job, writes the run manifest, the
+per-partition option values (filter widgets) and the per-partition counts and
+quality metrics next to the transformed layer, and fails the run when the
+transformed layer is empty.
 Layer roots: ``<lake>/raw/parquet`` and ``<lake>/transformed/parquet``;
 manifest: ``<lake>/transformed/_meta/manifest.json``.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from quadra import model as M
+from quadra.operators import quality as Q
 from quadra.operators import reports as R
 from quadra.plans import etl
 from quadra.sources import lake
@@ -33,6 +35,11 @@ def options_root(base: str) -> str:
     return f"{base.rstrip('/')}/transformed/_options"
 
 
+def stats_root(base: str) -> str:
+    """Per-partition, per-city counts and quality metrics."""
+    return f"{base.rstrip('/')}/transformed/_stats"
+
+
 def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all", fmt: str = "csv",
         aliases_csv: str | None = None) -> dict | None:
     raw_root, out_root, manifest_path = layer_roots(base)
@@ -58,6 +65,9 @@ def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all",
     manifest = lake.build_manifest(written)
     lake.write_manifest(spark, manifest, manifest_path)
     lake.write_layer(R.option_values(written), options_root(base))
+    stats = Q.partition_stats(written)
+    if stats is not None:
+        lake.write_layer(stats, stats_root(base))
     etl.assert_healthy(lake.read_layer(spark, out_root))
     return manifest
 

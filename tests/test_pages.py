@@ -59,3 +59,20 @@ def test_option_values_table_gives_same_options(spark, inc, tmp_path):
     stored = sorted(map(tuple, R.filter_options_from_values(values).collect()))
     assert direct == stored
     assert values.count() < inc.count()
+
+
+def test_partition_stats_table_gives_same_reports(spark, inc, tmp_path):
+    from quadra.operators import quality as Q
+    from quadra.operators import reports as R
+
+    root = str(tmp_path / "stats")
+    lake.write_layer(Q.partition_stats(inc), root)
+    stats = lake.read_layer(spark, root)
+    for direct, stored in [
+        (Q.quality_metrics(inc), Q.quality_metrics_from_stats(stats)),
+        (Q.quality_report(inc), Q.quality_report_from_stats(stats)),
+        (R.partition_counts(inc), R.partition_counts_from_stats(stats)),
+    ]:
+        assert sorted(map(tuple, direct.collect()), key=repr) == sorted(
+            map(tuple, stored.select(direct.columns).collect()), key=repr
+        )
