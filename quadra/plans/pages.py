@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadra import model as M
+from quadra.functions import columns as C
 from quadra.operators import extracts as X
 from quadra.operators import quality as Q
 from quadra.operators import reports as R
@@ -61,13 +62,20 @@ def comparison_page(inc: DataFrame, year_a: int | None = None,
     }
 
 
-def quality_page(inc: DataFrame) -> dict[str, DataFrame | None]:
+def quality_page(inc: DataFrame, stats: DataFrame | None = None) -> dict[str, DataFrame | None]:
     """Data quality: partitions with coverage (A2/A3), completeness (A6/A7),
     spelling variants (A8) and the newest registration (A9); a report whose
-    columns the lake lacks is None ("not available")."""
+    columns the lake lacks is None ("not available"). With the batch job's
+    partition-statistics table, the first two read it instead of the lake."""
+    if stats is not None:
+        counts = R.partition_counts_from_stats(stats)
+        partitions = counts.withColumn("pct_geo", C.percent(F.col("com_coordenadas"), F.col("total")))
+        completeness = Q.quality_report_from_stats(stats)
+    else:
+        partitions, completeness = R.partition_coverage(inc), Q.quality_report(inc)
     return {
-        "partitions": R.partition_coverage(inc),
-        "completeness": Q.quality_report(inc),
+        "partitions": partitions,
+        "completeness": completeness,
         "variants": Q.district_variants(inc),
         "latest_record": Q.latest_record(inc),
     }

@@ -76,3 +76,10 @@ def test_partition_stats_table_gives_same_reports(spark, inc, tmp_path):
         assert sorted(map(tuple, direct.collect()), key=repr) == sorted(
             map(tuple, stored.select(direct.columns).collect()), key=repr
         )
+    from quadra.plans import pages as P
+
+    page = P.quality_page(inc, stats)
+    direct = R.partition_coverage(inc)
+    assert sorted(map(tuple, direct.collect()), key=repr) == sorted(
+        map(tuple, page["partitions"].select(direct.columns).collect()), key=repr
+    )
