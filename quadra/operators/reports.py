@@ -67,6 +67,22 @@ def partition_counts_from_stats(stats: DataFrame, city: str = M.CITY) -> DataFra
     )
 
 
+def coverage_from_stats(stats: DataFrame, year: int, quarters, city: str = M.CITY) -> DataFrame:
+    """A1 from the partition-statistics table; same result as :func:`coverage`."""
+    if not quarters:
+        raise ValueError("at least one quarter must be selected")
+    out = stats.where(
+        (F.col(M.CIDADE) == city) & (F.col(M.ANO) == year) & F.col(M.TRIMESTRE).isin(list(quarters))
+    ).agg(
+        F.coalesce(F.sum("linhas"), F.lit(0)).cast("bigint").alias("total"),
+        F.coalesce(F.sum("com_coordenadas"), F.lit(0)).cast("bigint").alias("com_coordenadas"),
+    )
+    return out.withColumn(
+        "pct_geo",
+        F.coalesce(C.guarded_percent(F.col("com_coordenadas"), F.col("total")), F.lit(0.0)),
+    )
+
+
 def partition_coverage(df: DataFrame) -> DataFrame:
     """A3: A2 plus the geolocated percent."""
     return partition_counts(df).withColumn(
@@ -104,7 +120,8 @@ class Comparison:
     quarters: tuple[int, ...]
 
 
-def resolve_comparison(df: DataFrame, year_a: int | None = None, year_b: int | None = None) -> Comparison | None:
+def resolve_comparison(df: DataFrame, year_a: int | None = None, year_b: int | None = None,
+                       stats: DataFrame | None = None) -> Comparison | None:
     """Pick the years (U3) and the common quarters (U2), as the page does.
 
     One job collects the distinct (year, quarter) keys of the city — one row
@@ -113,9 +130,9 @@ def resolve_comparison(df: DataFrame, year_a: int | None = None, year_b: int | N
     so the comparison queries prune partitions instead of joining against a
     computed table.
     """
+    source = X.city(stats if stats is not None else df)
     keys = (
-        X.city(df)
-        .where(F.col(M.ANO).isNotNull() & F.col(M.TRIMESTRE).isNotNull())
+        source.where(F.col(M.ANO).isNotNull() & F.col(M.TRIMESTRE).isNotNull())
         .select(M.ANO, M.TRIMESTRE)
         .distinct()
         .collect()

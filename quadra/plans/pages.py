@@ -43,12 +43,13 @@ def statistics_page(inc: DataFrame, scope: M.Scope) -> dict[str, DataFrame]:
     }
 
 
-def comparison_page(inc: DataFrame, year_a: int | None = None,
-                    year_b: int | None = None) -> dict[str, DataFrame] | None:
+def comparison_page(inc: DataFrame, year_a: int | None = None, year_b: int | None = None,
+                    stats: DataFrame | None = None) -> dict[str, DataFrame] | None:
     """Year over year: picks the years and common quarters (U2/U3), then the
     KPIs, monthly overlay, district variation, categories and full table
-    (A4/A5, A13-A15, K4/K5). None when no two years share a quarter."""
-    cmp = R.resolve_comparison(inc, year_a, year_b)
+    (A4/A5, A13-A15, K4/K5). None when no two years share a quarter. With the
+    partition-statistics table, the years and quarters are picked from it."""
+    cmp = R.resolve_comparison(inc, year_a, year_b, stats=stats)
     if cmp is None:
         return None
     monthly = R.monthly_comparison(inc, cmp)

@@ -83,3 +83,15 @@ def test_partition_stats_table_gives_same_reports(spark, inc, tmp_path):
     assert sorted(map(tuple, direct.collect()), key=repr) == sorted(
         map(tuple, page["partitions"].select(direct.columns).collect()), key=repr
     )
+
+
+def test_comparison_and_coverage_from_stats(spark, inc, tmp_path):
+    from quadra.operators import quality as Q
+    from quadra.operators import reports as R
+
+    root = str(tmp_path / "stats2")
+    lake.write_layer(Q.partition_stats(inc), root)
+    stats = lake.read_layer(spark, root)
+    assert R.resolve_comparison(inc, stats=stats) == R.resolve_comparison(inc)
+    direct = R.coverage(inc, 2000, (1, 3)).first().asDict()
+    assert R.coverage_from_stats(stats, 2000, (1, 3)).first().asDict() == direct
