@@ -3,7 +3,9 @@
 Each function returns the DataFrames one page of the dashboard shows, all
 over the transformed lake; nothing runs until the caller collects a result
 (every result is an aggregate or a capped table, except the map's points,
-which a caller should turn into tiles or write out).
+which a caller should turn into tiles or write out). Pass the batch job's
+partition-statistics table as ``stats`` to read the per-partition counts
+from it instead of the lake.
 """
 
 from __future__ import annotations
@@ -18,22 +20,28 @@ from quadra.operators import quality as Q
 from quadra.operators import reports as R
 
 
-def map_page(inc: DataFrame, scope: M.Scope) -> dict[str, DataFrame]:
+def _coverage(inc: DataFrame, scope: M.Scope, stats: DataFrame | None) -> DataFrame:
+    if stats is not None:
+        return R.coverage_from_stats(stats, scope.year, scope.quarters, scope.city)
+    return R.coverage(inc, scope.year, scope.quarters)
+
+
+def map_page(inc: DataFrame, scope: M.Scope, stats: DataFrame | None = None) -> dict[str, DataFrame]:
     """Map: geolocated points (X1), their tiles (X5) and the coverage note (A1)."""
     return {
         "points": X.map_points(inc, scope),
         "tiles": X.map_tiles(inc, scope),
-        "coverage": R.coverage(inc, scope.year, scope.quarters),
+        "coverage": _coverage(inc, scope, stats),
     }
 
 
-def statistics_page(inc: DataFrame, scope: M.Scope) -> dict[str, DataFrame]:
+def statistics_page(inc: DataFrame, scope: M.Scope, stats: DataFrame | None = None) -> dict[str, DataFrame]:
     """Statistics: KPIs, the five charts and the detail table."""
     stats = X.stats_extract(inc, scope)
     return {
         "total": stats.agg(F.count(F.lit(1)).alias("total_bos")),
         "top_one": R.top_one(stats),
-        "coverage": R.coverage(inc, scope.year, scope.quarters),
+        "coverage": _coverage(inc, scope, stats),
         "top_districts": R.top_districts(stats),
         "period_distribution": R.period_distribution(stats),
         "category_distribution": R.category_distribution(stats),
