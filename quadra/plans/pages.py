@@ -37,16 +37,16 @@ def map_page(inc: DataFrame, scope: M.Scope, stats: DataFrame | None = None) ->
 
 def statistics_page(inc: DataFrame, scope: M.Scope, stats: DataFrame | None = None) -> dict[str, DataFrame]:
     """Statistics: KPIs, the five charts and the detail table."""
-    stats = X.stats_extract(inc, scope)
+    extract = X.stats_extract(inc, scope)
     return {
-        "total": stats.agg(F.count(F.lit(1)).alias("total_bos")),
-        "top_one": R.top_one(stats),
+        "total": extract.agg(F.count(F.lit(1)).alias("total_bos")),
+        "top_one": R.top_one(extract),
         "coverage": _coverage(inc, scope, stats),
-        "top_districts": R.top_districts(stats),
-        "period_distribution": R.period_distribution(stats),
-        "category_distribution": R.category_distribution(stats),
-        "top_brands": R.top_brands(stats),
-        "monthly_series": R.monthly_series(stats),
+        "top_districts": R.top_districts(extract),
+        "period_distribution": R.period_distribution(extract),
+        "category_distribution": R.category_distribution(extract),
+        "top_brands": R.top_brands(extract),
+        "monthly_series": R.monthly_series(extract),
         "detail_table": X.detail_table_page(inc, scope),
     }
 
