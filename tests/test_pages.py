@@ -95,3 +95,18 @@ def test_comparison_and_coverage_from_stats(spark, inc, tmp_path):
     assert R.resolve_comparison(inc, stats=stats) == R.resolve_comparison(inc)
     direct = R.coverage(inc, 2000, (1, 3)).first().asDict()
     assert R.coverage_from_stats(stats, 2000, (1, 3)).first().asDict() == direct
+
+
+def test_pages_with_statistics_table(spark, inc, tmp_path):
+    from quadra.operators import quality as Q
+
+    root = str(tmp_path / "stats3")
+    lake.write_layer(Q.partition_stats(inc), root)
+    stats = lake.read_layer(spark, root)
+    scope = M.Scope(year=2000, quarters=(2, 4))
+    with_stats = pages.statistics_page(inc, scope, stats)
+    plain = pages.statistics_page(inc, scope)
+    assert with_stats["coverage"].first() == plain["coverage"].first()
+    assert with_stats["total"].first() == plain["total"].first()
+    assert pages.map_page(inc, scope, stats)["coverage"].first() == plain["coverage"].first()
+    assert pages.comparison_page(inc, stats=stats) is not None
