@@ -62,11 +62,15 @@ def partition_stats(df: DataFrame) -> DataFrame | None:
     Every metric is exact per group (a report key never spans two lake
     partitions' groups), so the batch job can store this table for the
     partitions it rewrote, and the quality and comparison pages read a few
-    rows per partition instead of the lake.
+    rows per partition instead of the lake. The newest registration date of
+    the group (A9) is kept too.
     """
     if not _has(df, *_METRIC_COLUMNS):
         return None
-    return df.groupBy(M.ANO, M.TRIMESTRE, M.CIDADE).agg(*_metrics())
+    extra = []
+    if _has(df, M.DATAHORA_REGISTRO_BO):
+        extra.append(F.max(C.safe_date(F.col(M.DATAHORA_REGISTRO_BO))).alias("ultima"))
+    return df.groupBy(M.ANO, M.TRIMESTRE, M.CIDADE).agg(*_metrics(), *extra)
 
 
 def quality_metrics_from_stats(stats: DataFrame, city: str = M.CITY) -> DataFrame:
@@ -78,6 +82,13 @@ def quality_metrics_from_stats(stats: DataFrame, city: str = M.CITY) -> DataFram
     )
 
 
+def latest_record_from_stats(stats: DataFrame, city: str = M.CITY) -> DataFrame | None:
+    """A9 from the partition-statistics table; None when it lacks the date."""
+    if "ultima" not in stats.columns:
+        return None
+    return stats.where(F.col(M.CIDADE) == city).agg(F.max("ultima").alias("ultima"))
+
+
 def _report(m: DataFrame) -> DataFrame:
     lines = F.col("linhas")
     return m.select(

@@ -75,16 +75,19 @@ def quality_page(inc: DataFrame, stats: DataFrame | None = None) -> dict[str, Da
     """Data quality: partitions with coverage (A2/A3), completeness (A6/A7),
     spelling variants (A8) and the newest registration (A9); a report whose
     columns the lake lacks is None ("not available"). With the batch job's
-    partition-statistics table, the first two read it instead of the lake."""
+    partition-statistics table, all but the variants read it instead of the
+    lake."""
     if stats is not None:
         counts = R.partition_counts_from_stats(stats)
         partitions = counts.withColumn("pct_geo", C.percent(F.col("com_coordenadas"), F.col("total")))
         completeness = Q.quality_report_from_stats(stats)
+        latest = Q.latest_record_from_stats(stats)
     else:
         partitions, completeness = R.partition_coverage(inc), Q.quality_report(inc)
+        latest = Q.latest_record(inc)
     return {
         "partitions": partitions,
         "completeness": completeness,
         "variants": Q.district_variants(inc),
-        "latest_record": Q.latest_record(inc),
+        "latest_record": latest,
     }

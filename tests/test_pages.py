@@ -78,7 +78,9 @@ def test_partition_stats_table_gives_same_reports(spark, inc, tmp_path):
         )
     from quadra.plans import pages as P
 
+
     page = P.quality_page(inc, stats)
+    assert page["latest_record"].first() == Q.latest_record(inc).first()
     direct = R.partition_coverage(inc)
     assert sorted(map(tuple, direct.collect()), key=repr) == sorted(
         map(tuple, page["partitions"].select(direct.columns).collect()), key=repr
