@@ -129,6 +129,36 @@ def district_variants(df: DataFrame, n: int = M.TOP_VARIANTS) -> DataFrame | Non
         .groupBy(M.BAIRRO, M.BAIRRO_ORIGINAL)
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
+    return _variants(pairs, n)
+
+
+def spelling_pairs(df: DataFrame) -> DataFrame | None:
+    """A8 kept incrementally: rows per (year, quarter, city, name, spelling).
+
+    One row per distinct spelling of a name in a partition — small next to
+    the lake — stored by the batch job for the partitions it rewrote.
+    """
+    if not _has(df, M.BAIRRO, M.BAIRRO_ORIGINAL):
+        return None
+    return (
+        df.where(X.non_blank(M.BAIRRO))
+        .groupBy(M.ANO, M.TRIMESTRE, M.CIDADE, M.BAIRRO, M.BAIRRO_ORIGINAL)
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+def district_variants_from_pairs(pairs: DataFrame, city: str = M.CITY,
+                                 n: int = M.TOP_VARIANTS) -> DataFrame:
+    """A8 from the spelling-pairs table; same result as :func:`district_variants`."""
+    merged = (
+        pairs.where(F.col(M.CIDADE) == city)
+        .groupBy(M.BAIRRO, M.BAIRRO_ORIGINAL)
+        .agg(F.sum("rows").alias("_rows"))
+    )
+    return _variants(merged, n)
+
+
+def _variants(pairs: DataFrame, n: int) -> DataFrame:
     per_name = pairs.groupBy(M.BAIRRO).agg(
         F.count(M.BAIRRO_ORIGINAL).alias("variantes"),
         F.array_join(F.sort_array(F.collect_list(M.BAIRRO_ORIGINAL)), " | ").alias("exemplos"),

@@ -4,8 +4,8 @@
         --landing s3a://b/landing/2025.csv --lake s3a://b --layer all
 
 Runs the raw and/or transformed job, writes the run manifest, the
-per-partition option values (filter widgets) and the per-partition counts and
-quality metrics next to the transformed layer, and fails the run when the
+per-partition option values (filter widgets), counts and quality metrics,
+and district spellings next to the transformed layer, and fails the run when the
 transformed layer is empty.
 Layer roots: ``<lake>/raw/parquet`` and ``<lake>/transformed/parquet``;
 manifest: ``<lake>/transformed/_meta/manifest.json``.
@@ -40,6 +40,11 @@ def stats_root(base: str) -> str:
     return f"{base.rstrip('/')}/transformed/_stats"
 
 
+def pairs_root(base: str) -> str:
+    """Per-partition district spellings with their row counts."""
+    return f"{base.rstrip('/')}/transformed/_spellings"
+
+
 def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all", fmt: str = "csv",
         aliases_csv: str | None = None) -> dict | None:
     raw_root, out_root, manifest_path = layer_roots(base)
@@ -68,6 +73,9 @@ def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all",
     stats = Q.partition_stats(written)
     if stats is not None:
         lake.write_layer(stats, stats_root(base))
+    pairs = Q.spelling_pairs(written)
+    if pairs is not None:
+        lake.write_layer(pairs, pairs_root(base))
     etl.assert_healthy(lake.read_layer(spark, out_root))
     return manifest
 

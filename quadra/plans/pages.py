@@ -71,12 +71,13 @@ def comparison_page(inc: DataFrame, year_a: int | None = None, year_b: int | Non
     }
 
 
-def quality_page(inc: DataFrame, stats: DataFrame | None = None) -> dict[str, DataFrame | None]:
+def quality_page(inc: DataFrame, stats: DataFrame | None = None,
+                 spellings: DataFrame | None = None) -> dict[str, DataFrame | None]:
     """Data quality: partitions with coverage (A2/A3), completeness (A6/A7),
     spelling variants (A8) and the newest registration (A9); a report whose
     columns the lake lacks is None ("not available"). With the batch job's
-    partition-statistics table, all but the variants read it instead of the
-    lake."""
+    partition-statistics table (and the spelling-pairs table for the
+    variants), every table reads those instead of the lake."""
     if stats is not None:
         counts = R.partition_counts_from_stats(stats)
         partitions = counts.withColumn("pct_geo", C.percent(F.col("com_coordenadas"), F.col("total")))
@@ -88,6 +89,9 @@ def quality_page(inc: DataFrame, stats: DataFrame | None = None) -> dict[str, Da
     return {
         "partitions": partitions,
         "completeness": completeness,
-        "variants": Q.district_variants(inc),
+        "variants": (
+            Q.district_variants_from_pairs(spellings) if spellings is not None
+            else Q.district_variants(inc)
+        ),
         "latest_record": latest,
     }

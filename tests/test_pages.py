@@ -112,3 +112,15 @@ def test_pages_with_statistics_table(spark, inc, tmp_path):
     assert with_stats["total"].first() == plain["total"].first()
     assert pages.map_page(inc, scope, stats)["coverage"].first() == plain["coverage"].first()
     assert pages.comparison_page(inc, stats=stats) is not None
+
+
+def test_spelling_pairs_table_gives_same_variants(spark, inc, tmp_path):
+    from quadra.operators import quality as Q
+
+    root = str(tmp_path / "pairs")
+    lake.write_layer(Q.spelling_pairs(inc), root)
+    pairs = lake.read_layer(spark, root)
+    direct = sorted(map(tuple, Q.district_variants(inc).collect()))
+    assert sorted(map(tuple, Q.district_variants_from_pairs(pairs).collect())) == direct
+    page = pages.quality_page(inc, spellings=pairs)
+    assert sorted(map(tuple, page["variants"].collect())) == direct
