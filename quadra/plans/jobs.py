@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadra import model as M
@@ -45,6 +45,26 @@ def pairs_root(base: str) -> str:
     return f"{base.rstrip('/')}/transformed/_spellings"
 
 
+def partition_filter(keys: list[tuple]):
+    """Predicate selecting the given (year, quarter) partitions (null-safe)."""
+    cond = F.lit(False)
+    for year, quarter in keys:
+        cond = cond | (F.col(M.ANO).eqNullSafe(year) & F.col(M.TRIMESTRE).eqNullSafe(quarter))
+    return cond
+
+
+def write_side_tables(rows: DataFrame, base: str) -> None:
+    """Refresh the side tables for the partitions present in ``rows``
+    (dynamic overwrite: other partitions keep their rows)."""
+    lake.write_layer(R.option_values(rows), options_root(base))
+    stats = Q.partition_stats(rows)
+    if stats is not None:
+        lake.write_layer(stats, stats_root(base))
+    pairs = Q.spelling_pairs(rows)
+    if pairs is not None:
+        lake.write_layer(pairs, pairs_root(base))
+
+
 def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all", fmt: str = "csv",
         aliases_csv: str | None = None) -> dict | None:
     raw_root, out_root, manifest_path = layer_roots(base)
@@ -59,23 +79,14 @@ def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all",
     aliases = lake.read_aliases(spark, aliases_csv) if aliases_csv else None
     raw_layer = lake.read_layer(spark, raw_root)
     if touched is not None:
-        cond = F.lit(False)
-        for year, quarter in touched:
-            cond = cond | (F.col(M.ANO).eqNullSafe(year) & F.col(M.TRIMESTRE).eqNullSafe(quarter))
-        raw_layer = raw_layer.where(cond)
+        raw_layer = raw_layer.where(partition_filter(touched))
     lake.write_layer(etl.transformed_layer(raw_layer, aliases), out_root)
     written = lake.read_layer(spark, out_root)
     if touched is not None:
-        written = written.where(cond)
+        written = written.where(partition_filter(touched))
     manifest = lake.build_manifest(written)
     lake.write_manifest(spark, manifest, manifest_path)
-    lake.write_layer(R.option_values(written), options_root(base))
-    stats = Q.partition_stats(written)
-    if stats is not None:
-        lake.write_layer(stats, stats_root(base))
-    pairs = Q.spelling_pairs(written)
-    if pairs is not None:
-        lake.write_layer(pairs, pairs_root(base))
+    write_side_tables(written, base)
     etl.assert_healthy(lake.read_layer(spark, out_root))
     return manifest
 

@@ -16,12 +16,11 @@ committed batch keeps a replayed batch from being appended twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quadra import model as M
-from quadra.plans import etl
+from quadra.plans import etl, jobs
 from quadra.sources import lake
 
 
@@ -31,15 +30,14 @@ def _touched(batch: DataFrame) -> list[tuple]:
 
 
 def _rebuild_transformed(spark: SparkSession, raw_root: str, out_root: str, keys: list[tuple],
-                         aliases: DataFrame | None) -> None:
+                         aliases: DataFrame | None, side_base: str | None) -> None:
     if not keys:
         return
+    cond = jobs.partition_filter(keys)
     raw = lake.read_layer(spark, raw_root)
-    cond = None
-    for year, quarter in keys:
-        c = F.col(M.ANO).eqNullSafe(year) & F.col(M.TRIMESTRE).eqNullSafe(quarter)
-        cond = c if cond is None else cond | c
     lake.write_layer(etl.transformed_layer(raw.where(cond), aliases), out_root)
+    if side_base is not None:
+        jobs.write_side_tables(lake.read_layer(spark, out_root).where(cond), side_base)
 
 
 def start_ingest(
@@ -51,12 +49,14 @@ def start_ingest(
     checkpoint: str,
     fmt: str = "csv",
     aliases: DataFrame | None = None,
+    side_base: str | None = None,
 ) -> StreamingQuery:
     """Ingest every landing file not seen before, then stop (``availableNow``).
 
     ``schema`` is the landing files' schema (streams need it declared).
     Partition keys of the batch are collected (bounded by the number of
-    partitions) to restrict the transformed rebuild to those partitions.
+    partitions) to restrict the transformed rebuild — and, given the lake's
+    ``side_base``, the refresh of the side tables — to those partitions.
     """
     reader = spark.readStream.schema(schema)
     if fmt == "csv":
@@ -71,7 +71,7 @@ def start_ingest(
             keys = list(lake.PATH_KEYS.values())
             keyed.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(raw_root)
             spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").json(marker)
-        _rebuild_transformed(spark, raw_root, transformed_root, _touched(raw), aliases)
+        _rebuild_transformed(spark, raw_root, transformed_root, _touched(raw), aliases, side_base)
 
     return (
         stream.writeStream.foreachBatch(write_batch)

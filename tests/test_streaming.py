@@ -36,12 +36,19 @@ def test_incremental_ingest_appends_and_rebuilds(spark, scratch):
     raw, out, ckpt = (os.path.join(scratch, d) for d in ("raw", "transformed", "ckpt"))
     _land(landing, "a.csv", ['A1,2026,1,S.PAULO,Roubo,VL. MARIANA,"-23,5","-46,6"',
                              "A2,2026,5,S.PAULO,Furto,CENTRO,,"])
-    start_ingest(spark, landing, SCHEMA, raw, out, ckpt).awaitTermination()
+    side = os.path.join(scratch, "lake")
+    start_ingest(spark, landing, SCHEMA, raw, out, ckpt, side_base=side).awaitTermination()
     _land(landing, "b.csv", ['B1,2026,2,S.PAULO,Perda,JD ANGELA,"-23,6","-46,7"'])
-    start_ingest(spark, landing, SCHEMA, raw, out, ckpt).awaitTermination()
+    start_ingest(spark, landing, SCHEMA, raw, out, ckpt, side_base=side).awaitTermination()
 
     rows = {r[M.NUM_BO]: r for r in lake.read_layer(spark, out).collect()}
     assert set(rows) == {"A1", "A2", "B1"}  # the second run kept A1 in Q1
     assert rows["B1"][M.BAIRRO] == "JARDIM ANGELA" and rows["B1"][M.TRIMESTRE] == 1
     assert rows["A1"][M.HAS_COORDINATES] and not rows["A2"][M.HAS_COORDINATES]
     assert lake.read_layer(spark, raw).count() == 3
+    from quadra.operators import reports as R
+    from quadra.plans import jobs
+
+    values = lake.read_layer(spark, jobs.options_root(side))
+    opts = {(r["option"], r["value"]) for r in R.filter_options_from_values(values).collect()}
+    assert ("bairros", "JARDIM ANGELA") in opts and ("bairros", "VILA MARIANA") in opts
