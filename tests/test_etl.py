@@ -197,3 +197,31 @@ def test_landing_parquet_numeric_coordinates_pass_through(spark, scratch):
     assert rows["P1"][M.LATITUDE] == -23.5 and rows["P2"][M.LATITUDE] is None
     assert (rows["P1"][M.TRIMESTRE], rows["P2"][M.TRIMESTRE]) == (2, 3)
     assert dict(raw.dtypes)[M.MES] == "int"
+
+
+def test_batch_job_command_line(spark, scratch):
+    from quadra.plans import jobs
+
+    land = f"{scratch}/2025.csv"
+    with open(land, "w", encoding="utf-8") as fh:
+        fh.write("NUM_BO,ANO_REGISTRO_BO,MES_REGISTRO_BO,CIDADE,RUBRICA,BAIRRO\nC1,2025,9,S.PAULO,Roubo,STO AMARO\n")
+    aliases = f"{scratch}/aliases.csv"
+    with open(aliases, "w", encoding="utf-8") as fh:
+        fh.write("bairro_variante,bairro_canonico\nSANTO AMARO,SANTO AMARO UNIFICADO\n")
+    jobs.main(["--landing", land, "--lake", f"{scratch}/lake", "--aliases", aliases])
+    _, out_root, manifest_path = jobs.layer_roots(f"{scratch}/lake")
+    row = lake.read_layer(spark, out_root).first()
+    assert (row[M.ANO], row[M.TRIMESTRE], row[M.BAIRRO]) == (2025, 3, "SANTO AMARO UNIFICADO")
+    assert lake.read_manifest(spark, manifest_path)["partitions"] == [{"ano": 2025, "trimestre": 3, "rows": 1}]
+
+
+def test_landing_with_declared_schema_skips_inference(spark, scratch):
+    from pyspark.sql import types as T
+
+    path = f"{scratch}/2024.csv"
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("NUM_BO,ANO,MES,VERSAO\n007,2024,3,02\n")
+    schema = T.StructType([T.StructField("NUM_BO", T.StringType()), T.StructField("ANO", T.IntegerType()),
+                           T.StructField("MES", T.IntegerType()), T.StructField("VERSAO", T.StringType())])
+    row = lake.read_landing(spark, [path], "csv", schemas={path: schema}).first()
+    assert (row[M.NUM_BO], row[M.VERSAO], row[M.TRIMESTRE]) == ("007", "02", 1)
