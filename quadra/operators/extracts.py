@@ -127,19 +127,53 @@ def _newest_first(nulls_first: bool) -> list[Column]:
     return [first, *rest]
 
 
+def _day_cutoff(rows: DataFrame, n: int, nulls_first: bool) -> Column | None:
+    """Predicate keeping only rows that can be among the newest ``n``.
+
+    One small aggregate counts the scoped rows per calendar day (one row per
+    day, so bounded by the calendar, not by the data); walking the days from
+    the newest gives the oldest day still needed. Every row of that day is
+    kept, so the exact order and tie-breaks are left to the final top-k,
+    whose per-task candidates are then only the rows of the newest days —
+    the single-task merge no longer grows with the number of tasks.
+    """
+    date = F.col(M.DATA_OCORRENCIA_BO)
+    day = F.to_date(date)
+    counts = rows.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    undated = sum(r["rows"] for r in counts if r["day"] is None)
+    need = n - undated if nulls_first else n
+    if need <= 0:
+        return date.isNull()
+    seen = 0
+    for r in sorted((r for r in counts if r["day"] is not None), key=lambda r: r["day"], reverse=True):
+        seen += r["rows"]
+        if seen >= need:
+            keep = day >= F.lit(r["day"])
+            return (keep | date.isNull()) if nulls_first else keep
+    return None
+
+
+def _newest(df: DataFrame, s: M.Scope, n: int, nulls_first: bool) -> DataFrame:
+    rows = stats_extract(df, s).select(*DETAIL_COLUMNS)
+    cutoff = _day_cutoff(rows, n, nulls_first)
+    if cutoff is not None:
+        rows = rows.where(cutoff)
+    return rows.orderBy(*_newest_first(nulls_first)).limit(n)
+
+
 def detail_table(df: DataFrame, s: M.Scope, n: int = M.DETAIL_ROWS) -> DataFrame:
     """Newest ``n`` rows (undated rows last), ties broken by every column.
 
-    ``orderBy + limit`` plans as a top-k (TakeOrderedAndProject): each task
-    keeps its own ``n`` best rows, so no full sort or single-task shuffle.
+    A per-day count first finds the oldest day that can still be in the
+    table; ``orderBy + limit`` over the rows from that day on then plans as a
+    top-k (TakeOrderedAndProject) over few candidates.
     """
-    return stats_extract(df, s).select(*DETAIL_COLUMNS).orderBy(*_newest_first(False)).limit(n)
+    return _newest(df, s, n, nulls_first=False)
 
 
 def detail_table_page(df: DataFrame, s: M.Scope, n: int = M.DETAIL_ROWS) -> DataFrame:
     """The page's table — undated rows first, display headings."""
-    top = stats_extract(df, s).select(*DETAIL_COLUMNS).orderBy(*_newest_first(True)).limit(n)
-    return top.toDF(*DETAIL_HEADINGS)
+    return _newest(df, s, n, nulls_first=True).toDF(*DETAIL_HEADINGS)
 
 
 def tile_xy(lat: Column, lon: Column, zoom: int) -> tuple[Column, Column]:

@@ -116,3 +116,39 @@ def test_latest_record(data):
     rows, df = data
     dates = [r[13] for r in _city(rows) if r[13] and len(r[13]) == 10]
     assert str(Q.latest_record(df).first()["ultima"]) == max(dates)
+
+
+@pytest.mark.parametrize("nulls_first", [False, True])
+@pytest.mark.parametrize("n", [1, 7, 40, 500])
+def test_detail_tables_match_sorted_python(spark, nulls_first, n):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from quadra.operators import extracts as X
+
+    rng = random.Random(n * 2 + nulls_first)
+    base = dt.datetime(2024, 3, 1)
+    rows = []
+    for i in range(400):
+        hot = rng.random() < 0.33  # one day holds about a third of the rows
+        when = None if rng.random() < 0.1 else base + dt.timedelta(days=0 if hot else rng.randint(0, 60),
+                                                                   hours=rng.randint(0, 3))
+        rows.append((str(rng.randint(1, 30)), when, rng.choice(["A noite", None]), "Roubo",
+                     rng.choice(["A", "B"]), "RUA", rng.choice(["X", None]), "S.PAULO", 2024, 1))
+    df = spark.createDataFrame(
+        rows, "NUM_BO string, DATA_OCORRENCIA_BO timestamp_ntz, DESCR_PERIODO string, RUBRICA_MOD string, "
+              "BAIRRO string, LOGRADOURO string, MARCA_OBJETO string, CIDADE string, ANO int, TRIMESTRE int",
+    ).withColumn("RUBRICA", F.lit("x")).withColumn("HAS_COORDINATES", F.lit(True)).withColumn("MES", F.lit(1))
+    scope = M.Scope(year=2024, quarters=(1,))
+
+    def key(r):
+        d = r[1]
+        rest = tuple((v is None, v or "") for v in (r[0], r[2], r[3], r[4], r[5], r[6]))
+        if nulls_first:
+            return ((0, 0) if d is None else (1, -d.timestamp()),) + rest
+        return ((1, 0) if d is None else (0, -d.timestamp()),) + rest
+
+    expected = [r[:7] for r in sorted(rows, key=key)[:n]]
+    table = X.detail_table_page(df, scope, n) if nulls_first else X.detail_table(df, scope, n)
+    assert [tuple(r) for r in table.collect()] == expected
