@@ -292,18 +292,28 @@ def top_brands(stats: DataFrame, n: int = M.TOP_BRANDS) -> DataFrame:
 
 def top_one(stats: DataFrame) -> DataFrame:
     """K3: the top district (non-blank) and top period (``'NULL'`` out, ``''``
-    kept), one row per dimension; ties go to the smaller name."""
-    def best(filtered: DataFrame, key: str) -> DataFrame:
-        counts = filtered.groupBy(key).agg(_count().alias("count"))
-        pick = F.struct((-F.col("count")).alias("n"), F.col(key).alias("k"))
-        return counts.agg(
-            F.min_by(F.col(key), pick).alias("value"),
-            F.max("count").alias("count"),
-        ).select(F.lit(key).alias("dimension"), "value", "count")
-
-    district = best(stats.where(X.non_blank(M.BAIRRO)), M.BAIRRO)
-    period = best(stats.where(X.known_period()), M.DESCR_PERIODO)
-    return district.unionByName(period)
+    kept), one row per dimension; ties go to the smaller name.
+
+    One scan: each row is unpivoted into its (dimension, value) pairs — a
+    value that does not qualify becomes null and is dropped — then counted
+    per pair and reduced to the best pair per dimension.
+    """
+    district = F.when(X.non_blank(M.BAIRRO), F.col(M.BAIRRO))
+    period = F.when(X.known_period(), F.col(M.DESCR_PERIODO))
+    pairs = stats.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit(M.BAIRRO).alias("dimension"), district.alias("value")),
+                F.struct(F.lit(M.DESCR_PERIODO).alias("dimension"), period.alias("value")),
+            )
+        )
+    ).where(F.col("value").isNotNull())
+    counts = pairs.groupBy("dimension", "value").agg(_count().alias("count"))
+    pick = F.struct((-F.col("count")).alias("n"), F.col("value").alias("k"))
+    return counts.groupBy("dimension").agg(
+        F.min_by(F.col("value"), pick).alias("value"),
+        F.max("count").alias("count"),
+    )
 
 
 def period_distribution(stats: DataFrame) -> DataFrame:
