@@ -1,12 +1,15 @@
 """The queries of the training-data operators and their DuckDB SQL, where SQL can express them."""
 
-from quadra.llm import chat, mixing, secrets, sharding
+from quadra.llm import anomaly, chat, langid, mixing, quality, secrets, sharding
 
 QUERIES = {
     "op1_bounded_ring": sharding.op1_bounded_ring,
+    "op2_isolation": anomaly.op2_isolation,
     "op3_secrets": secrets.op3_secrets,
     "op4_chat": chat.op4_chat,
     "op7_mixed": mixing.op7_mixed,
+    "op8_language": langid.op8_language,
+    "op10_bradley_terry": quality.op10_bradley_terry,
 }
 ORACLE_SQL = {
     "op3_secrets": secrets.OP3_SQL,
