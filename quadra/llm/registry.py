@@ -1,6 +1,6 @@
 """The queries of the training-data operators and their DuckDB SQL, where SQL can express them."""
 
-from quadra.llm import anomaly, chat, langid, mixing, quality, secrets, sharding
+from quadra.llm import anomaly, chat, langid, mixing, ngramjoin, quality, secrets, sharding
 
 QUERIES = {
     "op1_bounded_ring": sharding.op1_bounded_ring,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_chat": chat.op4_chat,
     "op7_mixed": mixing.op7_mixed,
     "op8_language": langid.op8_language,
+    "op9_ngram_join": ngramjoin.op9_ngram_join,
     "op10_bradley_terry": quality.op10_bradley_terry,
 }
 ORACLE_SQL = {
