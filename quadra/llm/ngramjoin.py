@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadra.llm.common import documents, find_words, frozen, groups_of, text_key, written
+from quadra.llm.common import WORD, documents, find_words, frozen, groups_of, packed, text_key, written
 from quadra.llm.components import components
 
 
@@ -252,24 +252,12 @@ def linked(pdf: pd.DataFrame, paths: Paths) -> pd.DataFrame | None:
     return pd.DataFrame({"row": rows, "links": near.sum(axis=1), "documents": near @ copies, "least": label})[own]
 
 
-def join(docs: DataFrame, paths: Paths = Paths()) -> DataFrame:
-    """One row for each of ``docs``: doc_id, class_id, n_links, n_text_links, n_copies.
+def members(texts: DataFrame, sketches: DataFrame, paths: Paths) -> DataFrame:
+    """k1, k2, rep, copies, root, links, documents of every distinct text that has words.
 
-    A link joins two documents whose shingle sets have a Jaccard similarity
-    of ``similarity`` or more. n_links counts the other documents linked to
-    this one, copies included; n_text_links the other texts; n_copies the
-    documents with an equal text, this one included. class_id is the least
-    doc_id of all that links connect, directly or not.
-
-    A null text is an empty one; texts without words link to nothing, not
-    even to each other, and are classes of their own (class_id doc_id,
-    n_copies 1). A text of fewer than five words is one shingle. Repeated
-    rows are copies. Null ids are ignored when the least is taken; a class of
-    null ids has a null class_id. No rows give no rows; other columns are
-    ignored.
+    rep is the least doc_id of a text, root the same for all texts that links
+    connect, links and documents the texts and documents linked to it.
     """
-    texts = docs.select("doc_id", "text")
-    sketches = sketched(texts, paths)
     reps = written(
         sketches.where("sig is not null")
         .groupBy("k1", "k2")
@@ -292,8 +280,7 @@ def join(docs: DataFrame, paths: Paths = Paths()) -> DataFrame:
                 keep = np.unique(np.concatenate([left[pairs.any(axis=1)], right[pairs.any(axis=0)]]))
                 yield pdf.iloc[keep]
 
-    schema = places.schema
-    places = places.repartition("block").sortWithinPartitions("block").mapInPandas(likely, schema)
+    places = places.repartition("block").sortWithinPartitions("block").mapInPandas(likely, places.schema)
     places = places.withColumnsRenamed({"k1": "p1", "k2": "p2"})
     with_text = places.join(
         texts.select(F.col("doc_id").alias("id"), "text", *text_key(F.col("text"))),
@@ -306,27 +293,51 @@ def join(docs: DataFrame, paths: Paths = Paths()) -> DataFrame:
             if found is not None:
                 yield found
 
-    found = with_text.repartition("block").sortWithinPartitions("block").mapInPandas(verify, "row long, links long, documents long, least long")
-    found = written(found, "links")
+    found = with_text.repartition("block").sortWithinPartitions("block")
+    found = written(found.mapInPandas(verify, "row long, links long, documents long, least long"), "links")
     counts = found.groupBy(F.col("row").alias("counted")).agg(F.sum("links").alias("links"), F.sum("documents").alias("documents"))
     roots = components(found.select(F.col("row").alias("u"), F.col("least").alias("v")))
-    members = reps.select("row", "k1", "k2", "rep", "copies")
-    members = members.join(roots, F.col("row") == F.col("u"), "left").withColumn("root", F.coalesce("v", "row")).drop("u", "v")
-    names = members.groupBy(F.col("root").alias("named")).agg(F.min("rep").alias("class_id"))
-    members = (
-        members.join(names, F.col("root") == F.col("named"))
+    return (
+        reps.drop("sig")
+        .join(roots, F.col("row") == F.col("u"), "left")
         .join(counts, F.col("row") == F.col("counted"), "left")
         .select(
-            F.col("k1").alias("m1"),
-            F.col("k2").alias("m2"),
-            "class_id",
-            (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("links", F.lit(0)).alias("n_text_links"),
-            F.col("copies").alias("n_copies"),
-        )
+            "k1", "k2", "rep", "copies", F.coalesce("v", "row").alias("root"),
+            F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("documents", F.lit(0)).alias("documents"),
+        )
+    )
+
+
+def join(docs: DataFrame, paths: Paths = Paths()) -> DataFrame:
+    """One row for each of ``docs``: doc_id, class_id, n_links, n_text_links, n_copies.
+
+    A link joins two documents whose shingle sets have a Jaccard similarity
+    of ``similarity`` or more. n_links counts the other documents linked to
+    this one, copies included; n_text_links the other texts; n_copies the
+    documents with an equal text, this one included. class_id is the least
+    doc_id of all that links connect, directly or not.
+
+    A null text is an empty one; texts without words link to nothing, not
+    even to each other, and are classes of their own (class_id doc_id,
+    n_copies 1). A text of fewer than five words is one shingle. Repeated
+    rows are copies. Null ids are ignored when the least is taken; a class of
+    null ids has a null class_id. No rows give no rows; other columns are
+    ignored.
+    """
+    texts = docs.select("doc_id", "text")
+    sketches = sketched(texts, paths)
+    found = members(texts, sketches, paths)
+    names = found.groupBy(F.col("root").alias("named")).agg(F.min("rep").alias("class_id"))
+    found = found.join(names, F.col("root") == F.col("named")).select(
+        F.col("k1").alias("m1"),
+        F.col("k2").alias("m2"),
+        "class_id",
+        (F.col("documents") + F.col("copies") - 1).alias("n_links"),
+        F.col("links").alias("n_text_links"),
+        F.col("copies").alias("n_copies"),
     )
     with_words = sketches.where("sig is not null").select("doc_id", "k1", "k2")
-    joined = with_words.join(members, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")))
+    joined = with_words.join(found, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")))
     alone = sketches.where("sig is null").select(
         "doc_id",
         F.col("doc_id").alias("class_id"),
@@ -335,6 +346,25 @@ def join(docs: DataFrame, paths: Paths = Paths()) -> DataFrame:
     return joined.select("doc_id", "class_id", "n_links", "n_text_links", "n_copies").unionByName(alone)
 
 
+def one_of_each(docs: DataFrame, paths: Paths = Paths()) -> DataFrame:
+    """``docs`` with one row of every class of :func:`join`: the one with the least id (nulls last).
+
+    Texts without words all stay. Of equal rows one stays. Columns keep their
+    names, whatever they are; ``docs`` is evaluated several times.
+    """
+    texts = docs.select("doc_id", "text")
+    sketches = sketched(texts, paths)
+    least = F.min(F.struct(F.col("rep").isNull().alias("last"), "rep", "k1", "k2")).alias("least")
+    keep = members(texts, sketches, paths).groupBy("root").agg(least).select("least.*")
+    keep = keep.select(F.xxhash64("last", "rep", "k1", "k2").alias("key"), F.col("k1").alias("m1"), F.col("k2").alias("m2"), "rep")
+    rows = docs.select(packed(docs), F.col("doc_id").alias("id"), F.col("text").rlike(WORD).alias("words"), *text_key(F.col("text")))
+    rows = rows.withColumn("key", F.xxhash64(F.col("id").isNull(), "id", "k1", "k2"))
+    same = (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")) & F.col("rep").eqNullSafe(F.col("id"))
+    kept = rows.where("words").join(keep.withColumnRenamed("key", "own"), (F.col("key") == F.col("own")) & same)
+    kept = kept.groupBy("key").agg(F.first("body").alias("body")).select("body.*")
+    return kept.unionByName(rows.where("words is null or not words").select("body.*"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the class and the number of their links (5-word shingles, 0.8 or more)."""
     return join(documents(spark, sf_dir))

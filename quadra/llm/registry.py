@@ -1,12 +1,14 @@
 """The queries of the training-data operators and their DuckDB SQL, where SQL can express them."""
 
-from quadra.llm import anomaly, chat, langid, mixing, ngramjoin, quality, secrets, sharding
+from quadra.llm import anomaly, chat, decontaminate, langid, linededup, mixing, ngramjoin, quality, secrets, sharding
 
 QUERIES = {
     "op1_bounded_ring": sharding.op1_bounded_ring,
     "op2_isolation": anomaly.op2_isolation,
     "op3_secrets": secrets.op3_secrets,
     "op4_chat": chat.op4_chat,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_line_dedup": linededup.op6_line_dedup,
     "op7_mixed": mixing.op7_mixed,
     "op8_language": langid.op8_language,
     "op9_ngram_join": ngramjoin.op9_ngram_join,
@@ -15,5 +17,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_secrets": secrets.OP3_SQL,
     "op4_chat": chat.OP4_SQL,
+    "op6_line_dedup": linededup.OP6_SQL,
     "op7_mixed": mixing.OP7_SQL,
 }

@@ -98,12 +98,13 @@ def bounded_ring(rows: DataFrame, key: str, ring: Ring = Ring(), load: float = 1
     that repeat a key spread over priorities by the columns in ``spread``. No
     rows give no rows. Columns of ``rows`` called shard or slot are replaced.
     Only the counts per cell (at most points x buckets) reach the driver.
+    ``rows`` is evaluated twice and must give the same rows both times.
     """
     spark = rows.sparkSession
     rows = rows.drop("shard", "slot")
     body = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("body")
     placed = rows.select(body, F.col(f"`{key}`").alias("key"))
-    placed = frozen(on_ring(placed, ring, [F.col(f"body.`{c}`") for c in spread]))
+    placed = on_ring(placed, ring, [F.col(f"body.`{c}`") for c in spread])
     found = placed.groupBy("cell").count().collect()
     cells = np.array([r["cell"] for r in found], dtype=np.int64)
     pieces = allocate(cells, np.array([r["count"] for r in found], dtype=np.int64), ring, load)
@@ -124,6 +125,6 @@ def op1_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir).select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
     )
-    return bounded_ring(rows, "doc_id", spread=("size", "text_crc32")).select(
+    return bounded_ring(frozen(rows), "doc_id", spread=("size", "text_crc32")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
