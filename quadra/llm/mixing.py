@@ -112,7 +112,7 @@ def source_cuts(sized: DataFrame, share: float, most: float, weights: tuple[int,
     through = F.col("before") + F.sum("own").over(W.partitionBy("of").orderBy("order"))
     inside = inside.withColumn("through", through)
     nearer = (F.col("through") <= F.col("rest")) | (F.col("through") - F.col("rest") <= F.col("rest") - F.col("through") + F.col("own"))
-    taken = inside.where(nearer).groupBy(F.col("of").alias("taken_of")).agg(F.max("order").alias("last_order"))
+    taken = inside.where(nearer & (F.col("rest") > 0)).groupBy(F.col("of").alias("taken_of")).agg(F.max("order").alias("last_order"))
     cuts = ends.join(taken, F.col("of").eqNullSafe(F.col("taken_of")), "left")
     return frozen(cuts.select("of", "source_size", "target", "epochs", "last_class", "last_order"))
 

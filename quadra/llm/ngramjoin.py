@@ -356,12 +356,13 @@ def one_of_each(docs: DataFrame, paths: Paths = Paths()) -> DataFrame:
     sketches = sketched(texts, paths)
     least = F.min(F.struct(F.col("rep").isNull().alias("last"), "rep", "k1", "k2")).alias("least")
     keep = members(texts, sketches, paths).groupBy("root").agg(least).select("least.*")
-    keep = keep.select(F.xxhash64("last", "rep", "k1", "k2").alias("key"), F.col("k1").alias("m1"), F.col("k2").alias("m2"), "rep")
+    keep = keep.select(F.xxhash64("last", "rep", "k1", "k2").alias("key"), F.col("k1").alias("m1"), F.col("k2").alias("m2"))
     rows = docs.select(packed(docs), F.col("doc_id").alias("id"), F.col("text").rlike(WORD).alias("words"), *text_key(F.col("text")))
     rows = rows.withColumn("key", F.xxhash64(F.col("id").isNull(), "id", "k1", "k2"))
-    same = (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")) & F.col("rep").eqNullSafe(F.col("id"))
-    kept = rows.where("words").join(keep.withColumnRenamed("key", "own"), (F.col("key") == F.col("own")) & same)
-    kept = kept.groupBy("key").agg(F.first("body").alias("body")).select("body.*")
+    # The key holds the id, so copies of a hot text do not meet.
+    same = (F.col("key") == F.col("own")) & (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2"))
+    kept = rows.where("words").join(keep.withColumnRenamed("key", "own"), same)
+    kept = kept.groupBy("key", "k1", "k2").agg(F.first("body").alias("body")).select("body.*")
     return kept.unionByName(rows.where("words is null or not words").select("body.*"))
 
 

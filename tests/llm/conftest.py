@@ -1,0 +1,43 @@
+"""Documents with nulls, empty and very long texts, ties, repeated rows and clashing names."""
+
+import pytest
+
+PROSE = (
+    "the river runs slowly past the old mill and every morning the miller opens the gate to let the water turn the wheel "
+    "while his daughter carries flour to the village where people bake bread for the market that opens at noon near the church"
+)
+# Names that operators use inside, or add.
+CLASHES = "shard string, slot string, row string, key string, k1 string, body string, size string, class string, path string, n string"
+SCHEMA = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHES}"
+_CLASH = ("clash",) * len(CLASHES.split(","))
+
+
+def doc(doc_id, text, lang="en", source="a"):
+    return (doc_id, text, lang, source, None if text is None else len(text), *_CLASH)
+
+
+EDGE_ROWS = [
+    doc(1, PROSE),
+    doc(2, PROSE),
+    doc(2, PROSE),
+    doc(None, PROSE, None, None),
+    doc(None, None, None, None),
+    doc(3, None, "fr", "b"),
+    doc(4, "", "en", "b"),
+    doc(5, " \n\t ", "en", None),
+    doc(6, "1234 ... 5678", "de", "c"),
+    doc(7, " ".join(f"word{i % 977}" for i in range(60_000)), "en", "c"),
+    doc(8, "x" * 300_000, "en", "c"),
+    doc(9, "\n".join(["one line here to repeat", "Another Line"] * 3), "en", "a"),
+    doc(10, "naïve café \U0001f600 straße\n\nend", "fr", "b"),
+]
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark):
+    return spark.createDataFrame(EDGE_ROWS, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)

@@ -1,0 +1,96 @@
+import random
+import re
+from dataclasses import replace
+
+import pytest
+
+from quadra.llm import ngramjoin as N
+from quadra.llm.components import components
+
+words_of = re.compile(r"[^\x20\x09-\x0D]+").findall
+
+
+def plain_join(rows):
+    """class_id, n_links, n_text_links, n_copies by comparing all texts with all."""
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(t or "", []).append(i)
+    sets = {}
+    for t in texts:
+        w = words_of(t)
+        sets[t] = {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} if w else set()
+    names = [t for t in texts if sets[t]]
+    links = {t: [u for u in names if u != t and 5 * len(sets[t] & sets[u]) >= 4 * len(sets[t] | sets[u])] for t in names}
+    out = []
+    for i, t in rows:
+        t = t or ""
+        if not sets[t]:
+            out.append((i, i, 0, 0, 1))
+            continue
+        seen, waiting = {t}, [t]
+        while waiting:
+            for u in links[waiting.pop()]:
+                if u not in seen:
+                    seen.add(u)
+                    waiting.append(u)
+        ids = [k for u in seen for k in texts[u] if k is not None]
+        out.append((i, min(ids) if ids else None, sum(len(texts[u]) for u in links[t]) + len(texts[t]) - 1, len(links[t]), len(texts[t])))
+    return out
+
+
+def corpus(seed=6, singles=60, group=40):
+    """Copies, near copies on both sides of 0.8, a passage that many share, a large group of near copies."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passage, texts = text(25), []
+    for _ in range(singles):
+        base = text(rng.randrange(30, 150))
+        texts.append(base)
+        for _ in range(rng.randrange(3)):
+            near = list(base)
+            for _ in range(rng.randrange(1, 5)):
+                near[rng.randrange(len(near))] = rng.choice(vocabulary)
+            texts.append(near)
+        if rng.random() < 0.4:
+            texts.append(list(base))
+    texts += [text(40) + passage + text(40) for _ in range(30)]
+    base = text(120)
+    for _ in range(group):
+        near = list(base)
+        near[rng.randrange(120)] = rng.choice(vocabulary)
+        texts.append(near)
+    texts += [["a", "b"], ["a", "b", ""], ["a", "c"], [], []]
+    rng.shuffle(texts)
+    return [(k, " ".join(t)) for k, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("block", [512, 12])
+def test_join_equals_all_against_all(spark, block):
+    """A small block makes buckets split and near copies meet in crossed blocks."""
+    rows = corpus()
+    got = N.join(spark.createDataFrame(rows, "doc_id long, text string"), replace(N.Paths(), block=block)).collect()
+    assert sorted(map(tuple, got)) == sorted(plain_join(rows))
+
+
+def test_paths_follow_from_the_recall():
+    paths = N.Paths()
+    assert paths.runs == 8 and 0.2**paths.runs <= 1 - paths.recall and paths.agreeing == 32
+
+
+def test_edges(spark, edge_docs, no_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    got = N.join(edge_docs)
+    key = lambda r: tuple((v is not None, v or 0) for v in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(plain_join(rows), key=key)
+    kept = N.one_of_each(edge_docs)
+    assert kept.columns == edge_docs.columns
+    ids = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect())
+    assert ids == [(False, k) for k in (1, 3, 4, 5, 6, 7, 8, 9, 10)] + [(True, 0)]
+    assert N.join(no_docs).count() == 0 and N.one_of_each(no_docs).count() == 0
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
+    got = {r["u"]: r["v"] for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert got == {k: 0 for k in range(1, 41)} | {k: 100 for k in range(101, 130)}
