@@ -8,6 +8,7 @@ the JVM) and never crosses into Python.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -37,13 +38,6 @@ ABBREVIATIONS: dict[str, str] = {
 # Text that a decimal number must look like before it is cast (trap 6).
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Highest code point the generated accent table covers.
-_ACCENT_TABLE_LIMIT = 0x3000
-# Multi-character expansions are only generated below this code point
-# (Latin-1 and Latin Extended-A/B: fractions, ligature letters).
-_EXPANSION_LIMIT = 0x250
-
-
 # --- P1 / P12 / P13: casts that agree with the reference engines ------------
 def parse_decimal_text(c: Column) -> Column:
     """First ``,`` becomes ``.``, then a non-strict cast to double.
@@ -107,6 +101,13 @@ def safe_date(c: Column) -> Column:
     return F.when(iso, text.try_cast("date")).otherwise(general)
 
 
+def landing_timestamp(c: Column) -> Column:
+    """Date or date and time of a landing text: ISO or day first, else null."""
+    text = F.trim(c.cast("string"))
+    day_first = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1")
+    return F.coalesce(text.try_cast("timestamp_ntz"), day_first.try_cast("timestamp_ntz"))
+
+
 # --- P3 / P10: calendar ------------------------------------------------------
 def quarter_of_month(month: Column) -> Column:
     """``(month - 1) // 3 + 1`` with floor division; null stays null."""
@@ -164,42 +165,52 @@ def _strip_marks(text: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def accent_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Generate the NFKD + mark-stripping table from ``unicodedata``.
+def accent_table() -> tuple[str, str, dict[str, str]]:
+    """What every code point with a decomposition becomes, from ``unicodedata``.
 
     Spark has no Unicode normaliser, so the composition ``NFKD -> drop marks
     -> [^A-Z0-9 ] to space`` is folded per character into what that
     character finally becomes. One-character results go into a ``translate``
-    table; the few multi-character results (fractions, ligature letters)
-    become ``replace`` calls. Characters that end up as a space are left out:
-    the punctuation step already blanks them.
+    table; results of several characters (fractions, Roman numerals, ligature
+    letters) into a map. Characters that end up blank are left out: the
+    punctuation step already blanks them.
     """
     src: list[str] = []
     dst: list[str] = []
-    expansions: list[tuple[str, str]] = []
-    for cp in range(0x80, _ACCENT_TABLE_LIMIT):
+    dropped: list[str] = []
+    expansions: dict[str, str] = {}
+    for cp in range(0x80, sys.maxunicode + 1):
         ch = chr(cp)
-        if unicodedata.category(ch).startswith(("M", "C")):
+        if not unicodedata.decomposition(ch):
             continue
-        final = re.sub(r"[^A-Z0-9 ]", " ", _strip_marks(ch))
-        if final.strip() == "" or final == ch:
+        stripped = _strip_marks(ch)
+        final = re.sub(r"[^A-Z0-9 ]", " ", stripped)
+        if not stripped:
+            dropped.append(ch)
+        elif final.strip() == "":
             continue
-        if len(final) == 1:
+        elif len(final) == 1:
             src.append(ch)
             dst.append(final)
-        elif cp < _EXPANSION_LIMIT:
-            expansions.append((ch, final))
-    return "".join(src), "".join(dst), tuple(expansions)
+        else:
+            expansions[ch] = final
+    # ``translate`` deletes what has no counterpart: characters that are marks once decomposed.
+    return "".join(src + dropped), "".join(dst), expansions
 
 
 def strip_accents(c: Column) -> Column:
-    """NFKD + removal of combining marks, restricted to the output alphabet."""
+    """NFKD + removal of combining marks, restricted to the output alphabet.
+
+    The map of longer results is only looked up for the characters that are
+    still outside ASCII after ``translate``.
+    """
     src, dst, expansions = accent_table()
-    out = c
-    for ch, repl in expansions:
-        out = F.replace(out, F.lit(ch), F.lit(repl))
-    out = F.translate(out, src, dst)
-    return F.regexp_replace(out, r"\p{M}", "")
+    out = F.regexp_replace(F.translate(c, src, dst), r"\p{M}", "")
+    longer = F.create_map(*[F.lit(x) for kv in expansions.items() for x in kv])
+    spread = F.array_join(
+        F.transform(F.split(out, ""), lambda ch: F.when(F.octet_length(ch) > 1, F.coalesce(longer[ch], F.lit(" "))).otherwise(ch)), ""
+    )
+    return F.when(F.length(out) == F.octet_length(out), out).otherwise(spread)
 
 
 def _abbreviation_map() -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import random
 import re
+import sys
 import unicodedata
 
 from pyspark.sql import functions as F
@@ -44,6 +45,17 @@ def _random_name(rng: random.Random) -> str:
     return rng.choice([" ", "  ", ".", " - "]).join(parts)
 
 
+def test_every_code_point_with_a_decomposition(spark):
+    """No range of Unicode is left out: each such character between two letters, and alone."""
+    chars = [chr(cp) for cp in range(0x80, sys.maxunicode + 1) if unicodedata.decomposition(chr(cp))]
+    # Characters that upper-casing changes are upper-cased first, as the rule does.
+    names = [n for ch in chars for n in (f"A{ch}B", ch) if ch.upper() == ch]
+    df = spark.createDataFrame(list(enumerate(names)), "i int, name string")
+    got = {r["i"]: r["out"] for r in df.select("i", C.normalise_district(F.col("name")).alias("out")).collect()}
+    bad = [(names[i], got[i], python_rule(names[i])) for i in got if got[i] != python_rule(names[i])]
+    assert len(names) > 8000 and not bad, (len(bad), bad[:5])
+
+
 def test_normalise_matches_python_rule(spark):
     rng = random.Random(20261202)
     names = [_random_name(rng) for _ in range(3000)] + [None, "", "   "]
