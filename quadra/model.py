@@ -39,7 +39,12 @@ MES_REGISTRO_BO = "MES_REGISTRO_BO"
 
 PARTITION_COLUMNS = (ANO, TRIMESTRE)
 
-# Types forced at raw write (anything not listed keeps its landing type).
+# Texts of typed columns that could not be read, as a JSON object by column
+# (null where all could); so no landing value is lost.
+UNREAD = "VALORES_NAO_LIDOS"
+
+# Types forced at raw write; a column that is not listed is a string in every
+# layer, so a year that holds only digits never clashes with the next one.
 RAW_TYPES: dict[str, T.DataType] = {
     NUM_BO: T.StringType(),
     ANO_BO: T.StringType(),
@@ -57,6 +62,7 @@ RAW_TYPES: dict[str, T.DataType] = {
     MARCA_OBJETO: T.StringType(),
     DATA_OCORRENCIA_BO: T.TimestampNTZType(),
     DATAHORA_REGISTRO_BO: T.StringType(),
+    UNREAD: T.StringType(),
 }
 
 # Columns the transformed layer adds.

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quadra import model as M
@@ -127,47 +128,26 @@ def _newest_first(nulls_first: bool) -> list[Column]:
     return [first, *rest]
 
 
-def _day_cutoff(rows: DataFrame, n: int, nulls_first: bool) -> Column | None:
-    """Predicate keeping only rows that can be among the newest ``n``.
-
-    One small aggregate counts the scoped rows per calendar day (one row per
-    day, so bounded by the calendar, not by the data); walking the days from
-    the newest gives the oldest day still needed. Every row of that day is
-    kept, so the exact order and tie-breaks are left to the final top-k,
-    whose per-task candidates are then only the rows of the newest days —
-    the single-task merge no longer grows with the number of tasks.
-    """
-    date = F.col(M.DATA_OCORRENCIA_BO)
-    day = F.to_date(date)
-    counts = rows.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    undated = sum(r["rows"] for r in counts if r["day"] is None)
-    need = n - undated if nulls_first else n
-    if need <= 0:
-        return date.isNull()
-    seen = 0
-    for r in sorted((r for r in counts if r["day"] is not None), key=lambda r: r["day"], reverse=True):
-        seen += r["rows"]
-        if seen >= need:
-            keep = day >= F.lit(r["day"])
-            return (keep | date.isNull()) if nulls_first else keep
-    return None
+# Groups of tasks whose newest rows are merged before the last merge.
+_MERGE_GROUPS = 256
 
 
 def _newest(df: DataFrame, s: M.Scope, n: int, nulls_first: bool) -> DataFrame:
-    rows = stats_extract(df, s).select(*DETAIL_COLUMNS)
-    cutoff = _day_cutoff(rows, n, nulls_first)
-    if cutoff is not None:
-        rows = rows.where(cutoff)
-    return rows.orderBy(*_newest_first(nulls_first)).limit(n)
+    """The ``n`` newest rows, lazily and in one scan.
 
+    A staged top-k: every task keeps its ``n`` best rows (Spark limits a
+    ranked group before the shuffle), groups of tasks merge to ``n`` each,
+    and the last merge sees ``n`` rows of each group, however many tasks read
+    the scope.
+    """
+    rows, order = stats_extract(df, s).select(*DETAIL_COLUMNS), _newest_first(nulls_first)
+    group = W.partitionBy(F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS))).orderBy(*order)
+    best = rows.withColumn("_place", F.row_number().over(group)).where(F.col("_place") <= n)
+    return best.drop("_place").orderBy(*order).limit(n)
 
-def detail_table(df: DataFrame, s: M.Scope, n: int = M.DETAIL_ROWS) -> DataFrame:
-    """Newest ``n`` rows (undated rows last), ties broken by every column.
 
-    A per-day count first finds the oldest day that can still be in the
-    table; ``orderBy + limit`` over the rows from that day on then plans as a
-    top-k (TakeOrderedAndProject) over few candidates.
-    """
+def detail_table(df: DataFrame, s: M.Scope, n: int = M.DETAIL_ROWS) -> DataFrame:
+    """Newest ``n`` rows (undated rows last), ties broken by every column."""
     return _newest(df, s, n, nulls_first=False)
 
 
@@ -176,6 +156,15 @@ def detail_table_page(df: DataFrame, s: M.Scope, n: int = M.DETAIL_ROWS) -> Data
     return _newest(df, s, n, nulls_first=True).toDF(*DETAIL_HEADINGS)
 
 
+# Latitude at which the square web-mercator map ends.
+MAX_LATITUDE = 85.0511
+
+
+def on_map(lat: Column, lon: Column) -> Column:
+    """Whether a point lies on the map."""
+    return (F.abs(lat) <= MAX_LATITUDE) & (F.abs(lon) <= 180)
+
+
 def tile_xy(lat: Column, lon: Column, zoom: int) -> tuple[Column, Column]:
     """Web-mercator tile of a point at ``zoom``."""
     scale = float(2**zoom)
@@ -183,7 +172,7 @@ def tile_xy(lat: Column, lon: Column, zoom: int) -> tuple[Column, Column]:
     y = F.floor(
         (F.lit(1.0) - F.asinh(F.tan(F.radians(lat))) / F.lit(math.pi)) / F.lit(2.0) * F.lit(scale)
     )
-    return x.cast("int"), y.cast("int")
+    return x.cast("bigint"), y.cast("bigint")
 
 
 def map_tiles(df: DataFrame, s: M.Scope, zoom: int = MAP_ZOOM) -> DataFrame:
@@ -191,12 +180,20 @@ def map_tiles(df: DataFrame, s: M.Scope, zoom: int = MAP_ZOOM) -> DataFrame:
 
     Instead of handing every point to the browser, points are grouped per
     tile on the cluster; the output grows with the map area, not the rows.
+    Points off the map (garbage coordinates) are counted in one row without a
+    tile.
     """
+    lat, lon = F.col(M.LATITUDE), F.col(M.LONGITUDE)
     pts = map_points(df, s)
-    x, y = tile_xy(F.col(M.LATITUDE), F.col(M.LONGITUDE), zoom)
+    x, y = tile_xy(lat, lon, zoom)
     n = F.count(F.lit(1))
+    inside = on_map(lat, lon)
     return (
-        pts.select(x.alias("tile_x"), y.alias("tile_y"), M.LATITUDE, M.LONGITUDE)
+        pts.select(
+            F.when(inside, x).alias("tile_x"),
+            F.when(inside, y).alias("tile_y"),
+            *[F.when(inside, F.col(c)).alias(c) for c in (M.LATITUDE, M.LONGITUDE)],
+        )
         .groupBy("tile_x", "tile_y")
         .agg(
             n.alias("points"),
@@ -210,8 +207,9 @@ def map_tiles(df: DataFrame, s: M.Scope, zoom: int = MAP_ZOOM) -> DataFrame:
 def _centroid(c: str, n: Column) -> Column:
     """Mean of a coordinate at micro-degree precision.
 
-    Coordinates are summed as whole micro-degrees (an exact integer sum), so
-    the result does not depend on the order partial sums are combined in.
+    Coordinates are summed as whole micro-degrees in decimals (exact, and no
+    number of points overflows), so the result does not depend on the order
+    partial sums are combined in.
     """
-    micro = F.sum(F.round(F.col(c) * F.lit(1_000_000.0)).cast("bigint"))
+    micro = F.sum(F.round(F.col(c) * F.lit(1_000_000.0)).cast("decimal(12,0)"))
     return F.bround(micro.cast("double") / n, 0) / F.lit(1_000_000.0)

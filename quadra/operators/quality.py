@@ -44,7 +44,7 @@ def _metrics() -> list[F.Column]:
     ]
 
 
-def quality_metrics(df: DataFrame) -> DataFrame | None:
+def quality_metrics(df: DataFrame, city: str = M.CITY) -> DataFrame | None:
     """Completeness metrics per (year, quarter) of the city, one pass.
 
     The distinct report count is planned by Spark as a two-level aggregate
@@ -53,7 +53,7 @@ def quality_metrics(df: DataFrame) -> DataFrame | None:
     """
     if not _has(df, *_METRIC_COLUMNS):
         return None
-    return X.city(df).groupBy(M.ANO, M.TRIMESTRE).agg(*_metrics()).orderBy(M.ANO, M.TRIMESTRE)
+    return X.city(df, city).groupBy(M.ANO, M.TRIMESTRE).agg(*_metrics()).orderBy(M.ANO, M.TRIMESTRE)
 
 
 def partition_stats(df: DataFrame) -> DataFrame | None:
@@ -103,9 +103,9 @@ def _report(m: DataFrame) -> DataFrame:
     )
 
 
-def quality_report(df: DataFrame) -> DataFrame | None:
+def quality_report(df: DataFrame, city: str = M.CITY) -> DataFrame | None:
     """A6 with excess rows (versions) and three percents."""
-    m = quality_metrics(df)
+    m = quality_metrics(df, city)
     return None if m is None else _report(m)
 
 
@@ -114,7 +114,7 @@ def quality_report_from_stats(stats: DataFrame, city: str = M.CITY) -> DataFrame
     return _report(quality_metrics_from_stats(stats, city))
 
 
-def district_variants(df: DataFrame, n: int = M.TOP_VARIANTS) -> DataFrame | None:
+def district_variants(df: DataFrame, n: int = M.TOP_VARIANTS, city: str = M.CITY) -> DataFrame | None:
     """A8 + F9: canonical districts that unify more than one spelling.
 
     Rows are first reduced to distinct (canonical, original) pairs with their
@@ -124,7 +124,7 @@ def district_variants(df: DataFrame, n: int = M.TOP_VARIANTS) -> DataFrame | Non
     if not _has(df, M.BAIRRO, M.BAIRRO_ORIGINAL):
         return None
     pairs = (
-        X.city(df)
+        X.city(df, city)
         .where(X.non_blank(M.BAIRRO))
         .groupBy(M.BAIRRO, M.BAIRRO_ORIGINAL)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -159,20 +159,42 @@ def district_variants_from_pairs(pairs: DataFrame, city: str = M.CITY,
 
 
 def _variants(pairs: DataFrame, n: int) -> DataFrame:
-    per_name = pairs.groupBy(M.BAIRRO).agg(
-        F.count(M.BAIRRO_ORIGINAL).alias("variantes"),
-        F.array_join(F.sort_array(F.collect_list(M.BAIRRO_ORIGINAL)), " | ").alias("exemplos"),
-        F.sum("_rows").cast("bigint").alias("total_bos"),
-    )
-    return (
-        per_name.where(F.col("variantes") > 1)
+    """The ``n`` names with most spellings are picked first, from counts alone;
+    only their spellings (a broadcast of ``n`` names) are then listed."""
+    top = (
+        pairs.groupBy(M.BAIRRO)
+        .agg(F.count(M.BAIRRO_ORIGINAL).alias("variantes"), F.sum("_rows").cast("bigint").alias("total_bos"))
+        .where(F.col("variantes") > 1)
         .orderBy(F.col("variantes").desc(), F.col("total_bos").desc(), F.col(M.BAIRRO).asc())
         .limit(n)
     )
+    listed = (
+        pairs.join(F.broadcast(top), M.BAIRRO)
+        .groupBy(M.BAIRRO, "variantes", "total_bos")
+        .agg(F.array_join(F.sort_array(F.collect_list(M.BAIRRO_ORIGINAL)), " | ").alias("exemplos"))
+    )
+    return listed.select(M.BAIRRO, "variantes", "exemplos", "total_bos").orderBy(
+        F.col("variantes").desc(), F.col("total_bos").desc(), F.col(M.BAIRRO).asc()
+    )
+
+
+def unread_values(df: DataFrame) -> DataFrame | None:
+    """Landing texts that a typed column could not hold: rows per (year, column).
+
+    The texts themselves stay in the layer (``UNREAD``)."""
+    if not _has(df, M.UNREAD):
+        return None
+    lost = F.from_json(M.UNREAD, "map<string,string>")
+    return (
+        df.where(F.col(M.UNREAD).isNotNull())
+        .select(M.ANO, F.explode(F.map_keys(lost)).alias("coluna"))
+        .groupBy(M.ANO, "coluna")
+        .agg(F.count(F.lit(1)).alias("linhas"))
+    )
 
 
-def latest_record(df: DataFrame) -> DataFrame | None:
+def latest_record(df: DataFrame, city: str = M.CITY) -> DataFrame | None:
     """Date of the newest registration in the city (null when none)."""
     if not _has(df, M.DATAHORA_REGISTRO_BO):
         return None
-    return X.city(df).agg(F.max(C.safe_date(F.col(M.DATAHORA_REGISTRO_BO))).alias("ultima"))
+    return X.city(df, city).agg(F.max(C.safe_date(F.col(M.DATAHORA_REGISTRO_BO))).alias("ultima"))

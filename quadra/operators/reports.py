@@ -32,9 +32,9 @@ def _with_share(counts: DataFrame, count_col: str = "count") -> DataFrame:
 
 
 # --- A1-A3: coverage and partitions ---------------------------------------------------
-def coverage(df: DataFrame, year: int, quarters) -> DataFrame:
+def coverage(df: DataFrame, year: int, quarters, city: str = M.CITY) -> DataFrame:
     """A1: total and geolocated rows of a year/quarters (no dimension filter)."""
-    s = M.Scope(year=year, quarters=tuple(quarters))
+    s = M.Scope(year=year, quarters=tuple(quarters), city=city)
     out = X.scope(df, s).agg(
         _count().alias("total"),
         F.count_if(F.col(M.HAS_COORDINATES)).alias("com_coordenadas"),
@@ -45,10 +45,10 @@ def coverage(df: DataFrame, year: int, quarters) -> DataFrame:
     )
 
 
-def partition_counts(df: DataFrame) -> DataFrame:
+def partition_counts(df: DataFrame, city: str = M.CITY) -> DataFrame:
     """A2: rows and geolocated rows per (year, quarter) of the city."""
     return (
-        X.city(df)
+        X.city(df, city)
         .groupBy(M.ANO, M.TRIMESTRE)
         .agg(
             _count().alias("total"),
@@ -83,34 +83,49 @@ def coverage_from_stats(stats: DataFrame, year: int, quarters, city: str = M.CIT
     )
 
 
-def partition_coverage(df: DataFrame) -> DataFrame:
+def partition_coverage(df: DataFrame, city: str = M.CITY) -> DataFrame:
     """A3: A2 plus the geolocated percent."""
-    return partition_counts(df).withColumn(
+    return partition_counts(df, city).withColumn(
         "pct_geo", C.percent(F.col("com_coordenadas"), F.col("total"))
     )
 
 
 # --- U2 / U3: which years and quarters to compare --------------------------------------
-def default_years(parts: DataFrame) -> DataFrame:
-    """Base year = newest; compared year = base - 1 if present, else the
-    newest other year (null when there is only one year)."""
-    years = parts.where(F.col(M.ANO).isNotNull()).select(M.ANO).distinct()
-    agg = years.agg(
-        F.max(M.ANO).alias("ano_base"),
-        F.sort_array(F.collect_list(M.ANO), asc=False).alias("_years"),
-    )
-    prev = F.when(
-        F.array_contains("_years", F.col("ano_base") - 1), F.col("ano_base") - 1
-    ).otherwise(F.try_element_at("_years", F.lit(2)))
-    return agg.select("ano_base", prev.alias("ano_anterior"))
+def comparison(parts: DataFrame, year_a: int | None = None, year_b: int | None = None) -> DataFrame:
+    """One row: ano_base, ano_anterior and the quarters both have (lazy).
+
+    ``parts`` has a row per (year, quarter): the partition counts of a city,
+    from the lake or from the statistics table. U3: the base year is the one
+    given or the newest; the compared year the one given, else base - 1 if
+    present, else the newest other year (null when there is none). U2: the
+    quarters are an intersection. The keys are folded into one row (a few per
+    year at any data size), so the choice takes one pass over ``parts``.
+    """
+    one = parts.where(F.col(M.ANO).isNotNull()).agg(F.collect_set(F.struct(M.ANO, M.TRIMESTRE)).alias("keys"))
+    one = one.withColumn("years", F.array_distinct(F.transform("keys", lambda k: k[M.ANO])))
+    base = F.array_max("years") if year_a is None else F.lit(year_a)
+    one = one.withColumn("ano_base", base.cast("int"))
+    before = F.when(F.array_contains("years", F.col("ano_base") - 1), F.col("ano_base") - 1)
+    other = F.array_max(F.array_remove("years", F.col("ano_base")))
+    compared = F.coalesce(before, other) if year_b is None else F.lit(year_b)
+    one = one.withColumn("ano_anterior", compared.cast("int"))
+
+    def quarters(year: str) -> Column:
+        own = F.transform(F.filter("keys", lambda k: k[M.ANO] == F.col(year)), lambda k: k[M.TRIMESTRE])
+        return F.array_compact(own)
+
+    common = F.array_sort(F.array_intersect(quarters("ano_base"), quarters("ano_anterior")))
+    return one.select("ano_base", "ano_anterior", common.alias("trimestres"))
 
 
-def comparable_quarters(parts: DataFrame, year_a: int, year_b: int) -> DataFrame:
-    """Quarters present in both years (an intersection)."""
-    def quarters(y: int) -> DataFrame:
-        return parts.where((F.col(M.ANO) == y) & F.col(M.TRIMESTRE).isNotNull()).select(M.TRIMESTRE)
+def default_years(parts: DataFrame) -> DataFrame:
+    """The years compared when the user picks none."""
+    return comparison(parts).select("ano_base", "ano_anterior")
+
 
-    return quarters(year_a).intersect(quarters(year_b))
+def comparable_quarters(parts: DataFrame, year_a: int | None = None, year_b: int | None = None) -> DataFrame:
+    """Quarters present in both years."""
+    return comparison(parts, year_a, year_b).select(F.explode("trimestres").alias(M.TRIMESTRE))
 
 
 @dataclass(frozen=True)
@@ -120,60 +135,67 @@ class Comparison:
     quarters: tuple[int, ...]
 
 
-def resolve_comparison(df: DataFrame, year_a: int | None = None, year_b: int | None = None,
-                       stats: DataFrame | None = None) -> Comparison | None:
-    """Pick the years (U3) and the common quarters (U2), as the page does.
+def resolve_comparison(parts: DataFrame, year_a: int | None = None, year_b: int | None = None) -> Comparison | None:
+    """The row of :func:`comparison` on the driver; None when no two years share a quarter.
 
-    One job collects the distinct (year, quarter) keys of the city — one row
-    per lake partition, so a few rows per year at any data size — and the
-    choice is made on those keys. The quarters then become a static filter,
-    so the comparison queries prune partitions instead of joining against a
-    computed table.
+    Give it the statistics table's partition counts: with known years and
+    quarters the reports' filters are static and prune partitions.
     """
-    source = X.city(stats if stats is not None else df)
-    keys = (
-        source.where(F.col(M.ANO).isNotNull() & F.col(M.TRIMESTRE).isNotNull())
-        .select(M.ANO, M.TRIMESTRE)
-        .distinct()
-        .collect()
-    )
-    by_year: dict[int, set[int]] = {}
-    for r in keys:
-        by_year.setdefault(r[M.ANO], set()).add(r[M.TRIMESTRE])
-    if year_a is None or year_b is None:
-        years = sorted(by_year, reverse=True)
-        if len(years) < 2:
-            return None
-        year_a = years[0]
-        year_b = year_a - 1 if year_a - 1 in by_year else years[1]
-    qs = sorted(by_year.get(year_a, set()) & by_year.get(year_b, set()))
-    if not qs:
+    row = comparison(parts, year_a, year_b).first()
+    if row["ano_anterior"] is None or not row["trimestres"]:
         return None
-    return Comparison(year_a, year_b, tuple(qs))
+    return Comparison(row["ano_base"], row["ano_anterior"], tuple(row["trimestres"]))
+
+
+# Role of a compared row: in the base year, or in the year it is compared with.
+ROLE = "papel"
+
+
+def compared_rows(df: DataFrame, cmp: Comparison | DataFrame, city: str = M.CITY) -> DataFrame:
+    """F1 + F3: the city's rows of both years and the common quarters, with their ``ROLE``.
+
+    ``cmp`` is a :class:`Comparison` (static filters) or the one-row frame of
+    :func:`comparison`: then the rows are joined to its (year, quarter) pairs,
+    eight at most, on the partition columns, so that partitions are pruned at
+    run time and nothing runs before the report does.
+    """
+    if isinstance(cmp, Comparison):
+        rows = X.year_scope(df, (cmp.year_a, cmp.year_b), cmp.quarters, city)
+        return rows.withColumn(ROLE, F.when(F.col(M.ANO) == cmp.year_a, "base").otherwise("anterior"))
+    roles = F.array(
+        F.struct(F.lit("base").alias(ROLE), F.col("ano_base").alias(M.ANO)),
+        F.struct(F.lit("anterior").alias(ROLE), F.col("ano_anterior").alias(M.ANO)),
+    )
+    pairs = cmp.select(F.inline(roles), "trimestres").select(ROLE, M.ANO, F.explode("trimestres").alias(M.TRIMESTRE))
+    return X.city(df, city).join(F.broadcast(pairs), [M.ANO, M.TRIMESTRE])
 
 
 # --- A4 / A5 and what is derived from them -------------------------------------------
-def monthly_comparison(df: DataFrame, cmp: Comparison) -> DataFrame:
-    """A4: rows and geolocated rows per (year, month, category) of both years."""
-    scoped = X.year_scope(df, (cmp.year_a, cmp.year_b), cmp.quarters)
+def _monthly(df: DataFrame, cmp: Comparison | DataFrame, city: str) -> DataFrame:
     return (
-        scoped.groupBy(M.ANO, M.MES, M.RUBRICA_MOD)
+        compared_rows(df, cmp, city)
+        .groupBy(ROLE, M.ANO, M.MES, M.RUBRICA_MOD)
         .agg(
             _count().alias("total"),
             F.count_if(F.col(M.HAS_COORDINATES)).alias("com_coordenadas"),
         )
-        .orderBy(M.ANO, M.MES)
     )
 
 
-def district_year_counts(df: DataFrame, cmp: Comparison) -> DataFrame:
+def monthly_comparison(df: DataFrame, cmp: Comparison | DataFrame, city: str = M.CITY) -> DataFrame:
+    """A4: rows and geolocated rows per (year, month, category) of both years."""
+    return _monthly(df, cmp, city).drop(ROLE).orderBy(M.ANO, M.MES)
+
+
+def district_year_counts(df: DataFrame, cmp: Comparison | DataFrame, city: str = M.CITY) -> DataFrame:
     """A5: per district, rows in the base year and in the compared year."""
-    scoped = X.year_scope(df, (cmp.year_a, cmp.year_b), cmp.quarters).where(X.non_blank(M.BAIRRO))
     return (
-        scoped.groupBy(M.BAIRRO)
+        compared_rows(df, cmp, city)
+        .where(X.non_blank(M.BAIRRO))
+        .groupBy(M.BAIRRO)
         .agg(
-            F.count_if(F.col(M.ANO) == cmp.year_a).alias("total_atual"),
-            F.count_if(F.col(M.ANO) == cmp.year_b).alias("total_anterior"),
+            F.count_if(F.col(ROLE) == "base").alias("total_atual"),
+            F.count_if(F.col(ROLE) == "anterior").alias("total_anterior"),
         )
         .orderBy(F.col("total_atual").desc())
     )
@@ -197,20 +219,20 @@ def category_by_year(monthly: DataFrame) -> DataFrame:
     )
 
 
-def year_kpis(monthly: DataFrame, cmp: Comparison) -> DataFrame:
+def year_kpis(df: DataFrame, cmp: Comparison | DataFrame, city: str = M.CITY) -> DataFrame:
     """Totals, robberies, thefts and coverage of both years, with deltas.
 
     One row. Percent changes are null when the compared year has none; the
     coverage change is in percentage points.
     """
-    def total_of(year: int, cat: str | None = None, col: str = "total") -> Column:
-        cond = F.col(M.ANO) == year
+    def total_of(role: str, cat: str | None = None, col: str = "total") -> Column:
+        cond = F.col(ROLE) == role
         if cat is not None:
             cond = cond & (F.col(M.RUBRICA_MOD) == cat)
         return F.coalesce(F.sum(F.when(cond, F.col(col))), F.lit(0)).cast("bigint")
 
-    a, b = cmp.year_a, cmp.year_b
-    k = monthly.agg(
+    a, b = "base", "anterior"
+    k = _monthly(df, cmp, city).agg(
         total_of(a).alias("total_atual"),
         total_of(b).alias("total_anterior"),
         total_of(a, "Roubo").alias("roubos_atual"),
@@ -346,7 +368,7 @@ def monthly_series(stats: DataFrame) -> DataFrame:
 OPTION_NAMES = ("anos", "trimestres", "bairros", "tipos_crime", "periodos")
 
 
-def filter_options(df: DataFrame) -> DataFrame:
+def filter_options(df: DataFrame, city: str = M.CITY) -> DataFrame:
     """A17 + U4: the widget options in long form ``(option, value)``.
 
     One pass: each row is unpivoted into its five (option, value) pairs and
@@ -356,7 +378,7 @@ def filter_options(df: DataFrame) -> DataFrame:
     def pair(option: str, value: Column) -> Column:
         return F.struct(F.lit(option).alias("option"), value.cast("string").alias("value"))
 
-    pairs = X.city(df).select(
+    pairs = X.city(df, city).select(
         F.inline(
             F.array(
                 pair("anos", F.col(M.ANO)),

@@ -32,36 +32,35 @@ FILTERED_SCOPE = M.Scope(
     categories=("Roubo", "Furto", "Outros"),
     periods=("A noite", "De madrugada", ""),
 )
-# Landing files from this year on use the newer year/month column names and
-# carry the report-version columns; older files lack them.
-NEW_FORMAT_FROM = 1999
+# Base year picked by the user in ``comparison_base_year``: the first one, so
+# the year before it is not there.
+GIVEN_BASE_YEAR = 1995
 
 
-def _incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return etl.incidents(spark, sf_dir)
+def _incidents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return etl.incidents(spark, sf_dir, columns=columns or None)
 
 
 # --- landing / lake ----------------------------------------------------------------
-def _landing_groups(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """The landing rows as two file groups with drifting schemas."""
-    landing = adapter.landing_incidents(spark, sf_dir)
-    old = landing.where(F.col(M.ANO) < NEW_FORMAT_FROM).drop(M.VERSAO, M.ANO_BO)
-    new = landing.where(~(F.col(M.ANO) < NEW_FORMAT_FROM)).withColumnsRenamed(
-        {M.ANO: M.ANO_REGISTRO_BO, M.MES: M.MES_REGISTRO_BO}
-    )
-    return [old, new]
+def _landed(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The landing rows written as drifting CSV files."""
+    return adapter.write_landing_files(spark, sf_dir, fresh_path(spark, "landing"))
 
 
 def landing_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 + U1 (+P1-P4 per group): both file groups in one raw frame."""
-    raw = lake.landing_union(_landing_groups(spark, sf_dir))
-    return raw.select(M.NUM_BO, M.VERSAO, M.ANO_BO, M.ANO, M.MES, M.TRIMESTRE, M.LATITUDE, M.LONGITUDE)
+    """S1 + U1 (+P1-P4 per group): the landing files read and united, every row."""
+    return lake.read_landing(spark, _landed(spark, sf_dir))
 
 
 def harmonise_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P2 + P4 (+P3): the newer file group after renaming and casting."""
-    new = _landing_groups(spark, sf_dir)[1]
-    return lake.harmonise(new).select(M.NUM_BO, M.VERSAO, M.ANO, M.MES, M.TRIMESTRE)
+    """P2 + P4 (+P3): both file groups' year, month and quarter after renaming and casting."""
+    raw = lake.read_landing(spark, _landed(spark, sf_dir))
+    return raw.select(M.NUM_BO, M.VERSAO, M.ANO, M.MES, M.TRIMESTRE)
+
+
+def unread_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1/P13 on the landing files: texts that no typed column holds, by year and column."""
+    return Q.unread_values(lake.read_landing(spark, _landed(spark, sf_dir)))
 
 
 def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,21 +71,41 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_merge_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 (+S2 dynamic overwrite): older partitions lack two columns; the merged
-    scan returns them as null. The second write leaves the first's partitions."""
+    """S4 (+S2 dynamic overwrite): one run per landing file; older partitions
+    lack two columns, which the merged scan returns as null, and the second
+    run leaves the first one's partitions."""
     root = fresh_path(spark, "raw")
-    raw = etl.raw_layer(adapter.landing_incidents(spark, sf_dir))
-    lake.write_layer(raw.where(F.col(M.ANO) < NEW_FORMAT_FROM).drop(M.VERSAO, M.ANO_BO), root)
-    lake.write_layer(raw.where(~(F.col(M.ANO) < NEW_FORMAT_FROM)), root)
+    for path in _landed(spark, sf_dir):
+        lake.write_layer(lake.read_landing(spark, [path]), root)
     return lake.read_layer(spark, root).select(
-        M.NUM_BO, M.VERSAO, M.ANO_BO, M.ANO, M.TRIMESTRE, M.MES, M.BAIRRO
+        M.NUM_BO, M.VERSAO, M.ANO_BO, M.ANO, M.TRIMESTRE, M.MES, M.BAIRRO, adapter.REMARK
     )
 
 
+def manifest_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 (+S7): the manifest written as one JSON object and read back, a row per partition."""
+    path = f"{fresh_path(spark, 'manifest')}/manifest.json"
+    parts = lake.manifest_partitions(_incidents(spark, sf_dir, M.ANO, M.TRIMESTRE))
+    lake.write_manifest(lake.manifest_document(parts, "check"), path)
+    stored = lake.manifest_rows(spark, path)
+    return stored.select(
+        "schema_version", "source", F.to_json("anos_processados").alias("anos_processados"), "total_rows", F.inline("partitions")
+    )
+
+
+def alias_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alias table written as CSV, every variant twice, and read: the later line wins."""
+    path = fresh_path(spark, "aliases")
+    table = nation_aliases(spark, sf_dir)
+    twice = table.withColumn("bairro_canonico", F.lit("ANTIGO")).withColumn("n", F.lit(0)).unionByName(table.withColumn("n", F.lit(1)))
+    twice.repartition(1).sortWithinPartitions("n").drop("n").write.option("header", "true").csv(path)
+    return lake.read_aliases(spark, path)
+
+
 # --- derivations -----------------------------------------------------------------------
 def coord_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 on every landing row: text in, double out."""
-    landing = adapter.landing_incidents(spark, sf_dir)
+    landing = adapter.landing_incidents(spark, sf_dir, {M.NUM_BO, M.LATITUDE, M.LONGITUDE})
     return landing.select(
         M.NUM_BO,
         F.col(M.LATITUDE).alias("LATITUDE_TEXTO"),
@@ -98,21 +117,20 @@ def coord_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quarter_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month -> quarter, with row counts (null month kept)."""
-    raw = etl.raw_layer(adapter.landing_incidents(spark, sf_dir))
+    raw = etl.raw_layer(adapter.landing_incidents(spark, sf_dir, {M.MES}))
     return raw.groupBy(M.MES, M.TRIMESTRE).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def has_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5 on every row."""
-    return _incidents(spark, sf_dir).select(
-        M.NUM_BO, M.VERSAO, M.LATITUDE, M.LONGITUDE, M.HAS_COORDINATES
-    )
+    columns = (M.NUM_BO, M.VERSAO, M.LATITUDE, M.LONGITUDE, M.HAS_COORDINATES)
+    return _incidents(spark, sf_dir, *columns).select(*columns)
 
 
 def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heading -> category, with row counts."""
     return (
-        _incidents(spark, sf_dir)
+        _incidents(spark, sf_dir, M.RUBRICA_MOD)
         .groupBy(M.RUBRICA, M.RUBRICA_MOD)
         .agg(F.count(F.lit(1)).alias("rows"))
     )
@@ -121,7 +139,7 @@ def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def district_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P7 + P8: original spelling -> normalised name, with row counts."""
     return (
-        _incidents(spark, sf_dir)
+        _incidents(spark, sf_dir, M.BAIRRO)
         .groupBy(M.BAIRRO_ORIGINAL, M.BAIRRO)
         .agg(F.count(F.lit(1)).alias("rows"))
     )
@@ -129,41 +147,34 @@ def district_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nation_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An alias table derived from the nation table: for even nation keys,
-    ``SANTA <nation>`` is merged into ``JARDIM SAO <nation>``."""
+    ``SANTA <nation>`` is merged into ``JARDIM SAO <nation>``; every tenth
+    has no target."""
     nation = adapter.read_table(spark, sf_dir, "nation")
     name = F.regexp_replace(F.col("n_name"), "_", " ")
     return nation.where(F.col("n_nationkey") % 2 == 0).select(
         F.concat(F.lit("SANTA "), name).alias("bairro_variante"),
-        F.concat(F.lit("JARDIM SAO "), name).alias("bairro_canonico"),
+        F.when(F.col("n_nationkey") % 10 != 0, F.concat(F.lit("JARDIM SAO "), name)).alias("bairro_canonico"),
     )
 
 
 def district_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised names after the alias table, with row counts."""
-    inc = etl.incidents(spark, sf_dir, aliases=nation_aliases(spark, sf_dir))
+    inc = etl.incidents(spark, sf_dir, nation_aliases(spark, sf_dir), (M.BAIRRO, M.NUM_BO))
     return inc.groupBy(M.BAIRRO_ORIGINAL, M.BAIRRO).agg(F.count(F.lit(1)).alias("rows"))
 
 
 # --- dashboard reports: functions of the transformed rows ----------------------------------
-def _cmp(inc: DataFrame) -> R.Comparison:
-    cmp = R.resolve_comparison(inc)
-    if cmp is None:
-        raise ValueError("no two years with a common quarter to compare")
-    return cmp
+def _cmp(inc: DataFrame) -> DataFrame:
+    return R.comparison(R.partition_counts(inc))
 
 
 def _stats_of(inc: DataFrame, scope: M.Scope = STATS_SCOPE) -> DataFrame:
     return X.stats_extract(inc, scope)
 
 
-def _comparable_quarters(inc: DataFrame) -> DataFrame:
-    cmp = _cmp(inc)
-    return R.comparable_quarters(R.partition_counts(inc), cmp.year_a, cmp.year_b)
-
-
-def _year_kpis(inc: DataFrame) -> DataFrame:
-    cmp = _cmp(inc)
-    return R.year_kpis(R.monthly_comparison(inc, cmp), cmp)
+def _base_year_given(inc: DataFrame) -> DataFrame:
+    """U2 + U3 with a base year that the user picked; the compared year is defaulted."""
+    return R.comparison(R.partition_counts(inc), year_a=GIVEN_BASE_YEAR).withColumn("trimestres", F.to_json("trimestres"))
 
 
 # Each report takes the transformed incident rows — derived lazily from the
@@ -181,12 +192,13 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "partition_counts": R.partition_counts,
     "partition_coverage": R.partition_coverage,
     "default_years": lambda inc: R.default_years(R.partition_counts(inc)),
-    "comparable_quarters": _comparable_quarters,
+    "comparable_quarters": lambda inc: R.comparable_quarters(R.partition_counts(inc)),
+    "comparison_base_year": _base_year_given,
     "monthly_comparison": lambda inc: R.monthly_comparison(inc, _cmp(inc)),
     "district_year_counts": lambda inc: R.district_year_counts(inc, _cmp(inc)),
     "monthly_overlay": lambda inc: R.monthly_overlay(R.monthly_comparison(inc, _cmp(inc))),
     "category_by_year": lambda inc: R.category_by_year(R.monthly_comparison(inc, _cmp(inc))),
-    "year_kpis": _year_kpis,
+    "year_kpis": lambda inc: R.year_kpis(inc, _cmp(inc)),
     "district_variation": lambda inc: R.district_variation(R.district_year_counts(inc, _cmp(inc))),
     "district_comparison": lambda inc: R.district_comparison(R.district_year_counts(inc, _cmp(inc))),
     "period_distribution": lambda inc: R.period_distribution(_stats_of(inc)),
@@ -209,9 +221,46 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def _from_tables(report: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+# Columns of the transformed rows that each report reads; those derived from
+# the tables join only what holds them.
+_PLACE = (M.CIDADE, M.ANO, M.TRIMESTRE)
+_PARTS = (*_PLACE, M.HAS_COORDINATES)
+_COMPARED = (*_PARTS, M.MES, M.RUBRICA_MOD)
+_DISTRICTS = (*_PLACE, M.HAS_COORDINATES, M.BAIRRO)
+_STATS = (*X.STATS_COLUMNS, M.CIDADE)
+_QUALITY = (*_PARTS, M.ANO_BO, M.NUM_BO, M.VERSAO, M.BAIRRO, M.DESCR_PERIODO, M.MARCA_OBJETO)
+REPORT_COLUMNS: dict[str, tuple[str, ...]] = {
+    "map_points": (*X.MAP_COLUMNS, *_PARTS),
+    "map_tiles": (*X.MAP_COLUMNS, *_PARTS),
+    "coverage": _PARTS,
+    "partition_counts": _PARTS,
+    "partition_coverage": _PARTS,
+    "default_years": _PARTS,
+    "comparable_quarters": _PARTS,
+    "comparison_base_year": _PARTS,
+    "monthly_comparison": _COMPARED,
+    "monthly_overlay": _COMPARED,
+    "category_by_year": _COMPARED,
+    "year_kpis": _COMPARED,
+    "district_year_counts": _DISTRICTS,
+    "district_variation": _DISTRICTS,
+    "district_comparison": _DISTRICTS,
+    "filter_options": (*_PLACE, M.BAIRRO, M.RUBRICA_MOD, M.DESCR_PERIODO),
+    "quality_metrics": _QUALITY,
+    "quality_report": _QUALITY,
+    "district_variants": (*_PLACE, M.BAIRRO, M.BAIRRO_ORIGINAL),
+    "latest_record": (*_PLACE, M.DATAHORA_REGISTRO_BO),
+    "transform_stats": (M.HAS_COORDINATES, M.BAIRRO),
+    "category_counts": (M.RUBRICA_MOD,),
+    "health_check": (M.NUM_BO,),
+    "manifest_partitions": (M.ANO, M.TRIMESTRE),
+    "manifest_summary": (M.ANO, M.TRIMESTRE),
+}
+
+
+def _from_tables(name: str, report: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return report(_incidents(spark, sf_dir))
+        return report(_incidents(spark, sf_dir, *REPORT_COLUMNS.get(name, _STATS)))
 
     run.__doc__ = report.__doc__
     return run
@@ -223,6 +272,9 @@ SOURCE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "harmonise_columns": harmonise_columns,
     "lake_roundtrip": lake_roundtrip,
     "schema_merge_scan": schema_merge_scan,
+    "unread_values": unread_values,
+    "manifest_read": manifest_read,
+    "alias_source": alias_source,
     "coord_parse": coord_parse,
     "quarter_derive": quarter_derive,
     "has_coordinates": has_coordinates,
@@ -233,5 +285,5 @@ SOURCE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **SOURCE_QUERIES,
-    **{name: _from_tables(report) for name, report in REPORTS.items()},
+    **{name: _from_tables(name, report) for name, report in REPORTS.items()},
 }

@@ -2,7 +2,7 @@
 
 All steps are lazy DataFrame transformations until a layer is written; the
 only shuffle of the ETL itself is the rebalance before each partitioned
-write (and the alias join when the alias table is too large to broadcast).
+write (and the alias join when the planner does not broadcast the table).
 """
 
 from __future__ import annotations
@@ -14,38 +14,32 @@ from quadra import model as M
 from quadra.functions import columns as C
 from quadra.sources import adapter, lake
 
-# Largest alias table that is broadcast; a larger one is shuffle-joined.
-ALIAS_BROADCAST_MAX_ROWS = 100_000
-
-
 def raw_layer(landing: DataFrame) -> DataFrame:
     """Raw layer of one landing frame (P1-P4 and declared types)."""
     return lake.harmonise(landing)
 
 
+# Keys over which rows without a district are spread in the alias join.
+_NO_DISTRICT_KEYS = 1024
+
+
 def apply_aliases(df: DataFrame, aliases: DataFrame | None) -> DataFrame:
-    """Whole-name replacement of the normalised district, one pass.
+    """Whole-name replacement of the normalised district, one pass, lazy.
 
-    The alias table's size is checked before it is joined: empty -> no join
-    at all; up to ``ALIAS_BROADCAST_MAX_ROWS`` -> broadcast (no shuffle of the
-    incident rows); beyond -> a plain left join the planner/AQE shuffles,
-    with AQE splitting a hot district.
+    A left join whose strategy the planner and AQE choose from sizes. Rows
+    without a district (often the largest group) match nothing, so they get
+    keys that no name can equal and are spread over tasks if the join
+    shuffles. A variant whose target is null becomes null.
     """
     if aliases is None:
         return df
-    n = aliases.limit(ALIAS_BROADCAST_MAX_ROWS + 1).count()
-    if n == 0:
-        return df
-    table = aliases.select(
-        F.col("bairro_variante").alias("_alias_key"),
-        F.col("bairro_canonico").alias("_alias_value"),
-    )
-    if n <= ALIAS_BROADCAST_MAX_ROWS:
-        table = F.broadcast(table)
-    joined = df.join(table, df[M.BAIRRO] == table["_alias_key"], "left")
-    return joined.withColumn(
-        M.BAIRRO, F.coalesce(F.col("_alias_value"), F.col(M.BAIRRO))
-    ).drop("_alias_key", "_alias_value")
+    table = aliases.select(F.col("bairro_variante").alias("_alias_key"), F.col("bairro_canonico").alias("_alias_value"))
+    spread = F.pmod(F.xxhash64(*[c for c in (M.NUM_BO, M.LOGRADOURO) if c in df.columns], F.lit(0)), F.lit(_NO_DISTRICT_KEYS))
+    named = F.col(M.BAIRRO).isNotNull() & (F.col(M.BAIRRO) != "")
+    key = F.when(named, F.col(M.BAIRRO)).otherwise(F.concat(F.lit("\x00"), spread.cast("string")))
+    joined = df.withColumn("_district_key", key).join(table, F.col("_district_key") == F.col("_alias_key"), "left")
+    district = F.when(F.col("_alias_key").isNotNull(), F.col("_alias_value")).otherwise(F.col(M.BAIRRO))
+    return joined.withColumn(M.BAIRRO, district).drop("_alias_key", "_alias_value", "_district_key")
 
 
 def transformed_layer(raw: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
@@ -65,14 +59,31 @@ def transformed_layer(raw: DataFrame, aliases: DataFrame | None = None) -> DataF
     return out
 
 
-def incidents(spark: SparkSession, sf_dir: str, aliases: DataFrame | None = None) -> DataFrame:
-    """Transformed incident rows derived lazily from the driver's tables."""
-    return transformed_layer(raw_layer(adapter.landing_incidents(spark, sf_dir)), aliases)
+# Landing columns that a derived column is made from.
+_MADE_FROM = {
+    M.TRIMESTRE: (M.MES,),
+    M.HAS_COORDINATES: (M.LATITUDE, M.LONGITUDE),
+    M.RUBRICA_MOD: (M.RUBRICA,),
+    M.BAIRRO_ORIGINAL: (M.BAIRRO,),
+    M.UNREAD: (M.MES, M.LATITUDE, M.LONGITUDE, M.DATA_OCORRENCIA_BO),
+}
+
+
+def incidents(
+    spark: SparkSession, sf_dir: str, aliases: DataFrame | None = None, columns: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Transformed incident rows derived lazily from the driver's tables.
+
+    With ``columns`` only what these are made from is derived, so only the
+    tables that hold it are joined.
+    """
+    needed = None if columns is None else {n for c in columns for n in _MADE_FROM.get(c, (c,))}
+    return transformed_layer(raw_layer(adapter.landing_incidents(spark, sf_dir, needed)), aliases)
 
 
-def run_raw(landing: DataFrame, raw_root: str) -> None:
-    """Raw job: write the raw layer (only the partitions present are replaced)."""
-    lake.write_layer(raw_layer(landing), raw_root, cluster=False)
+def run_raw(landing: DataFrame, raw_root: str) -> list[tuple]:
+    """Raw job: write the raw layer (only the partitions present are replaced); gives their keys."""
+    return lake.write_layer(raw_layer(landing), raw_root, cluster=False, observe=True)
 
 
 def run_transformed(

@@ -14,6 +14,7 @@ manifest: ``<lake>/transformed/_meta/manifest.json``.
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,14 +46,6 @@ def pairs_root(base: str) -> str:
     return f"{base.rstrip('/')}/transformed/_spellings"
 
 
-def partition_filter(keys: list[tuple]):
-    """Predicate selecting the given (year, quarter) partitions (null-safe)."""
-    cond = F.lit(False)
-    for year, quarter in keys:
-        cond = cond | (F.col(M.ANO).eqNullSafe(year) & F.col(M.TRIMESTRE).eqNullSafe(quarter))
-    return cond
-
-
 def write_side_tables(rows: DataFrame, base: str) -> None:
     """Refresh the side tables for the partitions present in ``rows``
     (dynamic overwrite: other partitions keep their rows)."""
@@ -66,29 +59,38 @@ def write_side_tables(rows: DataFrame, base: str) -> None:
 
 
 def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all", fmt: str = "csv",
-        aliases_csv: str | None = None) -> dict | None:
+        aliases_csv: str | None = None, tag: str | None = None) -> dict | None:
+    """Raw and/or transformed job. The landing files are read once; after that
+    only the partitions this run wrote are opened, with the schema they were
+    written with (no footers are merged)."""
     raw_root, out_root, manifest_path = layer_roots(base)
-    touched = None
+    keys = schema = None
     if layer in ("raw", "all"):
         raw = lake.read_landing(spark, landing, fmt)
-        lake.write_layer(raw, raw_root, cluster=False)
-        # partitions this run rewrote (one row per partition)
-        touched = [tuple(r) for r in raw.select(M.ANO, M.TRIMESTRE).distinct().collect()]
+        if raw.isEmpty():
+            raise RuntimeError("health check failed: the landing files hold no records")
+        keys, schema = lake.write_layer(raw, raw_root, cluster=False, observe=True), lake.stored_schema(raw)
     if layer not in ("transformed", "all"):
         return None
     aliases = lake.read_aliases(spark, aliases_csv) if aliases_csv else None
-    raw_layer = lake.read_layer(spark, raw_root)
-    if touched is not None:
-        raw_layer = raw_layer.where(partition_filter(touched))
-    lake.write_layer(etl.transformed_layer(raw_layer, aliases), out_root)
-    written = lake.read_layer(spark, out_root)
-    if touched is not None:
-        written = written.where(partition_filter(touched))
-    manifest = lake.build_manifest(written)
-    lake.write_manifest(spark, manifest, manifest_path)
-    write_side_tables(written, base)
-    etl.assert_healthy(lake.read_layer(spark, out_root))
-    return manifest
+    rows = etl.transformed_layer(lake.read_layer(spark, raw_root, schema=schema, keys=keys), aliases)
+    if keys is None:
+        etl.assert_healthy(rows)
+    keys = lake.write_layer(rows, out_root, observe=True)
+    rows = lake.read_layer(spark, out_root, schema=lake.stored_schema(rows), keys=keys)
+    write_side_tables(rows, base)
+    document = lake.manifest_document(manifest_table(spark, rows, base, keys), tag or lake.run_tag())
+    lake.write_manifest(document, manifest_path)
+    return json.loads(document)
+
+
+def manifest_table(spark: SparkSession, rows: DataFrame, base: str, keys: list[tuple]) -> DataFrame:
+    """Rows per partition: from the statistics table just written (a row per
+    partition and city), or counted where the layer has no such table."""
+    if Q.partition_stats(rows) is None:
+        return lake.manifest_partitions(rows)
+    stats = lake.read_layer(spark, stats_root(base), keys=keys)
+    return stats.groupBy(M.ANO, M.TRIMESTRE).agg(F.sum("linhas").alias("rows"))
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -9,26 +9,13 @@ semantics are the reference behaviour (``TRY_CAST``, ``strip_accents``,
 
 from __future__ import annotations
 
-from quadra import model as M
-from quadra.functions.columns import ABBREVIATIONS
-from quadra.operators.extracts import DETAIL_HEADINGS, MAP_ZOOM
-from quadra.plans.catalog import FILTERED_SCOPE, NEW_FORMAT_FROM, STATS_SCOPE
-from quadra.sources.adapter import HEADINGS, OTHER_CITY, OTHER_CITY_FROM, PERIOD_BY_REMAINDER
+# All values are written out here, so that a slip in the package under test
+# cannot agree with itself.
+_ABBREV_MAP = """MAP {'JD': 'JARDIM', 'JDM': 'JARDIM', 'VL': 'VILA', 'PQ': 'PARQUE', 'PQE': 'PARQUE', 'STA': 'SANTA',
+          'STO': 'SANTO', 'CID': 'CIDADE', 'CJ': 'CONJUNTO', 'CONJ': 'CONJUNTO', 'NSA': 'NOSSA', 'SRA': 'SENHORA',
+          'PCA': 'PRACA'}"""
 
-
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def _in(values) -> str:
-    return ", ".join(_q(v) if isinstance(v, str) else str(v) for v in values)
-
-
-_HEADING_CASE = "\n".join(f"        WHEN o_orderpriority = {_q(k)} THEN {_q(v)}" for k, v in HEADINGS.items())
-_ABBREV_MAP = "MAP {" + ", ".join(f"{_q(k)}: {_q(v)}" for k, v in ABBREVIATIONS.items()) + "}"
-_P = PERIOD_BY_REMAINDER
-
-LANDING = f"""
+LANDING = """
 order_side AS (
     SELECT o_orderkey, o_orderdate, o_orderpriority, n_name
     FROM orders
@@ -37,31 +24,37 @@ order_side AS (
 ),
 landing AS (
     SELECT
-      CAST(l_orderkey AS VARCHAR) AS NUM_BO,
+      lpad(CAST(l_orderkey AS VARCHAR), 9, '0') AS NUM_BO,
       CASE WHEN l_orderkey % 101 = 0 THEN '1.5'
            WHEN l_orderkey % 103 = 0 THEN 'v2'
            ELSE CAST(l_linenumber AS VARCHAR) END AS VERSAO,
       year(o_orderdate) AS ANO_BO,
-      year(l_shipdate) AS ANO,
+      CASE WHEN l_orderkey % 127 = 0 AND l_linenumber = 2 THEN NULL ELSE year(l_shipdate) END AS ANO,
       CASE WHEN l_orderkey % 131 = 0 AND l_linenumber = 1 THEN NULL ELSE month(l_shipdate) END AS MES,
-      CASE WHEN l_suppkey % 10 = 0 OR l_shipdate >= TIMESTAMP '{OTHER_CITY_FROM}'
-           THEN '{OTHER_CITY}' ELSE '{M.CITY}' END AS CIDADE,
+      CASE WHEN l_suppkey % 10 = 0 OR l_shipdate >= TIMESTAMP '2001-10-01'
+           THEN 'CAMPINAS' ELSE 'S.PAULO' END AS CIDADE,
       CASE WHEN o_orderkey % 53 = 0 THEN NULL
-{_HEADING_CASE}
+           WHEN o_orderpriority = '1-URGENT' THEN 'Roubo (art. 157)'
+           WHEN o_orderpriority = '2-HIGH' THEN 'FURTO (art. 155)'
+           WHEN o_orderpriority = '3-MEDIUM' THEN 'Perda de objeto'
+           WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Extravio de documento'
+           WHEN o_orderpriority = '5-LOW' THEN 'Estelionato'
       END AS RUBRICA,
       CASE WHEN l_partkey % 41 = 0 THEN NULL
            WHEN l_partkey % 43 = 0 THEN ''
            WHEN l_partkey % 89 = 0 THEN 'PQ. DO CARMO ' || n_name
+           WHEN l_partkey % 97 = 0 THEN 'Ⅷ CENTENÁRIO ' || n_name
+           WHEN l_partkey % 83 = 0 THEN 'ＪＤ ＰＡＺ ' || n_name
            WHEN l_partkey % 5 = 0 THEN '  jd.  são ' || lower(n_name)
            WHEN l_partkey % 5 = 1 THEN 'JARDIM SÃO ' || n_name
            WHEN l_partkey % 5 = 2 THEN 'VL ' || n_name
            WHEN l_partkey % 5 = 3 THEN 'Vila-' || n_name
            ELSE 'STA ' || n_name END AS BAIRRO,
       CASE l_orderkey % 7
-           WHEN 0 THEN {_q(_P[0])} WHEN 1 THEN {_q(_P[1])} WHEN 2 THEN {_q(_P[2])}
-           WHEN 3 THEN {_q(_P[3])}
-           WHEN 4 THEN CASE WHEN l_linenumber = 7 THEN '' ELSE {_q(_P[4])} END
-           WHEN 5 THEN {_q(_P[5])}
+           WHEN 0 THEN 'De madrugada' WHEN 1 THEN 'Pela manhã' WHEN 2 THEN 'A tarde'
+           WHEN 3 THEN 'A noite'
+           WHEN 4 THEN CASE WHEN l_linenumber = 7 THEN '' ELSE 'Em hora incerta' END
+           WHEN 5 THEN 'NULL'
            ELSE NULL END AS DESCR_PERIODO,
       CASE WHEN l_partkey % 59 = 0 THEN NULL
            WHEN l_partkey % 37 = 0 THEN ''
@@ -74,6 +67,7 @@ landing AS (
            WHEN l_suppkey % 17 = 0 THEN '10.0'
            ELSE '-23,' || CAST(4000 + l_partkey % 3000 AS VARCHAR) END AS LATITUDE,
       CASE WHEN l_suppkey % 13 = 0 THEN NULL
+           WHEN l_orderkey % 307 = 0 THEN '-1000000000000'
            ELSE '-46,' || CAST(5000 + l_orderkey % 3000 AS VARCHAR) END AS LONGITUDE,
       CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE l_shipdate END AS DATA_OCORRENCIA_BO,
       CASE WHEN o_orderkey % 97 = 0 THEN '2024'
@@ -91,12 +85,33 @@ raw AS (
            CIDADE, RUBRICA, BAIRRO, DESCR_PERIODO, MARCA_OBJETO, LOGRADOURO,
            TRY_CAST(regexp_replace(LATITUDE, ',', '.') AS DOUBLE) AS LATITUDE,
            TRY_CAST(regexp_replace(LONGITUDE, ',', '.') AS DOUBLE) AS LONGITUDE,
-           DATA_OCORRENCIA_BO, DATAHORA_REGISTRO_BO
+           DATA_OCORRENCIA_BO, DATAHORA_REGISTRO_BO,
+           CASE WHEN TRY_CAST(regexp_replace(LATITUDE, ',', '.') AS DOUBLE) IS NULL AND LATITUDE IS NOT NULL
+                THEN '{"LATITUDE":"' || LATITUDE || '"}' END AS VALORES_NAO_LIDOS
     FROM landing
 )"""
+# Each row of the landing files: words for months, unreadable dates, a column
+# that is not declared, older files without two columns.
+FILES = """
+files AS (
+    SELECT NUM_BO, ANO, coalesce(ANO < 1999, false) AS old, BAIRRO, LATITUDE, LONGITUDE,
+      CASE WHEN coalesce(ANO < 1999, false) THEN NULL ELSE VERSAO END AS VERSAO,
+      CASE WHEN coalesce(ANO < 1999, false) THEN NULL ELSE ANO_BO END AS ANO_BO,
+      CASE WHEN CAST(NUM_BO AS BIGINT) % 137 = 0 THEN NULL ELSE MES END AS MES,
+      CASE WHEN CAST(NUM_BO AS BIGINT) % 137 = 0 THEN NULL ELSE TRIMESTRE END AS TRIMESTRE,
+      CASE WHEN CAST(NUM_BO AS BIGINT) % 149 = 0 THEN NULL ELSE DATA_OCORRENCIA_BO END AS DATA_OCORRENCIA_BO,
+      CASE WHEN coalesce(ANO < 1999, false) THEN CAST(CAST(NUM_BO AS BIGINT) % 10 AS VARCHAR)
+           WHEN CAST(NUM_BO AS BIGINT) % 2 = 0 THEN 'S/N'
+           ELSE lpad(CAST(CAST(NUM_BO AS BIGINT) % 10 AS VARCHAR), 3, '0') END AS OBSERVACAO,
+      list_filter([CASE WHEN CAST(NUM_BO AS BIGINT) % 137 = 0 THEN '"MES":"jan"' END,
+                   replace(replace(VALORES_NAO_LIDOS, '{', ''), '}', ''),
+                   CASE WHEN CAST(NUM_BO AS BIGINT) % 149 = 0 THEN '"DATA_OCORRENCIA_BO":"ontem"' END],
+                  lambda x: x IS NOT NULL) AS lost
+    FROM raw
+)"""
 
 _NORMALISED = f"""array_to_string(list_transform(string_split(trim(regexp_replace(regexp_replace(
-          strip_accents(upper(trim(BAIRRO))), '[^A-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g')), ' '),
+          strip_accents(upper(trim(replace(replace(BAIRRO, 'Ⅷ', 'VIII'), 'ＪＤ ＰＡＺ', 'JD PAZ')))), '[^A-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g')), ' '),
           lambda t: coalesce({_ABBREV_MAP}[t], t)), ' ')"""
 
 TRANSFORMED = f"""
@@ -112,29 +127,25 @@ incidents AS (
     FROM raw
 )"""
 
-CITY = f"CIDADE = '{M.CITY}'"
+CITY = "CIDADE = 'S.PAULO'"
 
 
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in (LANDING, TRANSFORMED, *ctes)) + "\n"
 
 
-def _scope_where(s: M.Scope) -> str:
-    parts = [CITY, f"ANO = {s.year}", f"TRIMESTRE IN ({_in(s.quarters)})"]
-    if s.districts:
-        parts.append(f"BAIRRO IN ({_in(s.districts)})")
-    if s.categories:
-        parts.append(f"RUBRICA_MOD IN ({_in(s.categories)})")
-    if s.periods:
-        parts.append(f"DESCR_PERIODO IN ({_in(s.periods)})")
-    return " AND ".join(parts)
+STATS_WHERE = f"{CITY} AND ANO = 2000 AND TRIMESTRE IN (1, 2, 3, 4)"
+FILTERED_WHERE = f"""{CITY} AND ANO = 2000 AND TRIMESTRE IN (2, 3)
+    AND BAIRRO IN ('JARDIM SAO NATION 3', 'VILA NATION 7', 'SANTA NATION 12', 'D''AVILA')
+    AND RUBRICA_MOD IN ('Roubo', 'Furto', 'Outros')
+    AND DESCR_PERIODO IN ('A noite', 'De madrugada', '')"""
 
 
-def _stats_cte(s: M.Scope) -> str:
+def _stats_cte(where: str) -> str:
     return f"""stats AS (
     SELECT NUM_BO, DATA_OCORRENCIA_BO, DESCR_PERIODO, RUBRICA, RUBRICA_MOD, BAIRRO, LOGRADOURO,
            MARCA_OBJETO, HAS_COORDINATES, MES, ANO, TRIMESTRE
-    FROM incidents WHERE {_scope_where(s)}
+    FROM incidents WHERE {where}
 )"""
 
 
@@ -186,12 +197,12 @@ _DETAIL_SELECT = "NUM_BO, DATA_OCORRENCIA_BO, DESCR_PERIODO, RUBRICA_MOD, BAIRRO
 _ALIASES = """
 aliases AS (
     SELECT 'SANTA ' || replace(n_name, '_', ' ') AS bairro_variante,
-           'JARDIM SAO ' || replace(n_name, '_', ' ') AS bairro_canonico
+           CASE WHEN n_nationkey % 10 <> 0 THEN 'JARDIM SAO ' || replace(n_name, '_', ' ') END AS bairro_canonico
     FROM nation WHERE n_nationkey % 2 = 0
 )"""
 
-_OLD = f"ANO < {NEW_FORMAT_FROM}"
-_TILE_SCALE = float(2**MAP_ZOOM)
+_TILE_SCALE = 2048.0
+_ON_MAP = "abs(LATITUDE) <= 85.0511 AND abs(LONGITUDE) <= 180"
 
 
 def _kpi_sum(year_expr: str, col: str = "total", cat: str | None = None) -> str:
@@ -211,27 +222,32 @@ def _change(a: str, b: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     # --- sources and sinks
-    "landing_union": _with()
-    + f"""SELECT NUM_BO,
-       CASE WHEN {_OLD} THEN NULL ELSE VERSAO END AS VERSAO,
-       CASE WHEN {_OLD} THEN NULL ELSE ANO_BO END AS ANO_BO,
-       ANO, MES, TRIMESTRE, LATITUDE, LONGITUDE
-FROM raw""",
-    "harmonise_columns": _with()
-    + f"SELECT NUM_BO, VERSAO, ANO, MES, TRIMESTRE FROM raw WHERE NOT ({_OLD})",
+    "landing_union": _with(FILES)
+    + """SELECT NUM_BO, VERSAO, CAST(ANO_BO AS VARCHAR) AS ANO_BO, ANO, MES, TRIMESTRE, BAIRRO, LATITUDE, LONGITUDE,
+       DATA_OCORRENCIA_BO, OBSERVACAO,
+       CASE WHEN len(lost) > 0 THEN '{' || array_to_string(lost, ',') || '}' END AS VALORES_NAO_LIDOS
+FROM files""",
+    "harmonise_columns": _with(FILES) + "SELECT NUM_BO, VERSAO, ANO, MES, TRIMESTRE FROM files",
+    "unread_values": _with(FILES)
+    + """SELECT ANO, split_part(item, '"', 2) AS coluna, count(*) AS linhas
+FROM (SELECT ANO, unnest(lost) AS item FROM files) GROUP BY ANO, coluna""",
+    "manifest_read": _with(
+        "mp AS (SELECT ANO, TRIMESTRE, count(*) AS rows FROM incidents GROUP BY ANO, TRIMESTRE)"
+    )
+    + """SELECT 1 AS schema_version, 'check' AS source,
+       (SELECT CAST(to_json(list(DISTINCT ANO ORDER BY ANO) FILTER (WHERE ANO IS NOT NULL)) AS VARCHAR) FROM mp) AS anos_processados,
+       (SELECT CAST(sum(rows) AS BIGINT) FROM mp) AS total_rows, ANO AS ano, TRIMESTRE AS trimestre, rows
+FROM mp""",
+    "alias_source": f"WITH {_ALIASES.strip()} SELECT * FROM aliases",
     "lake_roundtrip": _with() + "SELECT * FROM incidents",
-    "schema_merge_scan": _with()
-    + f"""SELECT NUM_BO,
-       CASE WHEN {_OLD} THEN NULL ELSE VERSAO END AS VERSAO,
-       CASE WHEN {_OLD} THEN NULL ELSE ANO_BO END AS ANO_BO,
-       ANO, TRIMESTRE, MES, BAIRRO
-FROM raw""",
+    "schema_merge_scan": _with(FILES)
+    + "SELECT NUM_BO, VERSAO, CAST(ANO_BO AS VARCHAR) AS ANO_BO, ANO, TRIMESTRE, MES, BAIRRO, OBSERVACAO FROM files",
     "manifest_partitions": _with()
     + "SELECT ANO, TRIMESTRE, count(*) AS rows FROM incidents GROUP BY ANO, TRIMESTRE",
     "manifest_summary": _with(
         "mp AS (SELECT ANO, TRIMESTRE, count(*) AS rows FROM incidents GROUP BY ANO, TRIMESTRE)"
     )
-    + f"""SELECT {M.MANIFEST_SCHEMA_VERSION} AS schema_version,
+    + f"""SELECT 1 AS schema_version,
        CAST(to_json(list(DISTINCT ANO ORDER BY ANO) FILTER (WHERE ANO IS NOT NULL)) AS VARCHAR) AS anos_processados,
        count(*) AS n_partitions,
        CAST(coalesce(sum(rows), 0) AS BIGINT) AS total_rows
@@ -252,41 +268,46 @@ FROM landing""",
     "district_normalise": _with()
     + "SELECT BAIRRO_ORIGINAL, BAIRRO, count(*) AS rows FROM incidents GROUP BY BAIRRO_ORIGINAL, BAIRRO",
     "district_alias": _with(_ALIASES)
-    + """SELECT BAIRRO_ORIGINAL, coalesce(bairro_canonico, BAIRRO) AS BAIRRO, count(*) AS rows
+    + """SELECT BAIRRO_ORIGINAL, CASE WHEN bairro_variante IS NOT NULL THEN bairro_canonico ELSE BAIRRO END AS BAIRRO, count(*) AS rows
 FROM incidents LEFT JOIN aliases ON BAIRRO = bairro_variante
-GROUP BY BAIRRO_ORIGINAL, coalesce(bairro_canonico, BAIRRO)""",
+GROUP BY ALL""",
     # --- extracts
     "map_points": _with()
     + f"""SELECT LATITUDE, LONGITUDE, RUBRICA_MOD, BAIRRO, DESCR_PERIODO, LOGRADOURO, NUM_BO,
        DATA_OCORRENCIA_BO, MARCA_OBJETO
-FROM incidents WHERE {_scope_where(STATS_SCOPE)} AND HAS_COORDINATES""",
-    "stats_extract": _with(_stats_cte(STATS_SCOPE)) + "SELECT * FROM stats",
-    "stats_extract_filtered": _with(_stats_cte(FILTERED_SCOPE)) + "SELECT * FROM stats",
-    "detail_table": _with(_stats_cte(STATS_SCOPE))
+FROM incidents WHERE {STATS_WHERE} AND HAS_COORDINATES""",
+    "stats_extract": _with(_stats_cte(STATS_WHERE)) + "SELECT * FROM stats",
+    "stats_extract_filtered": _with(_stats_cte(FILTERED_WHERE)) + "SELECT * FROM stats",
+    "detail_table": _with(_stats_cte(STATS_WHERE))
     + f"""SELECT {_DETAIL_SELECT} FROM stats
-ORDER BY DATA_OCORRENCIA_BO DESC NULLS LAST, {_DETAIL_REST} LIMIT {M.DETAIL_ROWS}""",
-    "detail_table_page": _with(_stats_cte(STATS_SCOPE))
+ORDER BY DATA_OCORRENCIA_BO DESC NULLS LAST, {_DETAIL_REST} LIMIT 1000""",
+    "detail_table_page": _with(_stats_cte(STATS_WHERE))
     + "SELECT "
     + ", ".join(
-        f'{c} AS "{h}"' for c, h in zip(_DETAIL_SELECT.split(", "), DETAIL_HEADINGS)
+        f'{c} AS "{h}"' for c, h in zip(
+            _DETAIL_SELECT.split(", "), ("BO", "Data", "Período", "Tipo", "Bairro", "Logradouro", "Marca"), strict=True
+        )
     )
     + f"""
-FROM stats ORDER BY DATA_OCORRENCIA_BO DESC NULLS FIRST, {_DETAIL_REST} LIMIT {M.DETAIL_ROWS}""",
+FROM stats ORDER BY DATA_OCORRENCIA_BO DESC NULLS FIRST, {_DETAIL_REST} LIMIT 1000""",
     "map_tiles": _with()
-    + f"""SELECT CAST(floor((LONGITUDE + 180.0) / 360.0 * {_TILE_SCALE}) AS INTEGER) AS tile_x,
-       CAST(floor((1.0 - asinh(tan(radians(LATITUDE))) / pi()) / 2.0 * {_TILE_SCALE}) AS INTEGER) AS tile_y,
+    + f"""SELECT CASE WHEN {_ON_MAP} THEN CAST(floor((LONGITUDE + 180.0) / 360.0 * {_TILE_SCALE}) AS BIGINT) END AS tile_x,
+       CASE WHEN {_ON_MAP}
+            THEN CAST(floor((1.0 - asinh(tan(radians(LATITUDE))) / pi()) / 2.0 * {_TILE_SCALE}) AS BIGINT) END AS tile_y,
        count(*) AS points,
-       round_even(CAST(sum(CAST(round(LATITUDE * 1000000.0) AS BIGINT)) AS DOUBLE) / count(*), 0) / 1000000.0 AS mean_lat,
-       round_even(CAST(sum(CAST(round(LONGITUDE * 1000000.0) AS BIGINT)) AS DOUBLE) / count(*), 0) / 1000000.0 AS mean_lon,
-       {MAP_ZOOM} AS zoom
-FROM incidents WHERE {_scope_where(STATS_SCOPE)} AND HAS_COORDINATES
+       round_even(CAST(sum(CASE WHEN {_ON_MAP} THEN CAST(round(LATITUDE * 1000000.0) AS BIGINT) END) AS DOUBLE) / count(*), 0)
+         / 1000000.0 AS mean_lat,
+       round_even(CAST(sum(CASE WHEN {_ON_MAP} THEN CAST(round(LONGITUDE * 1000000.0) AS BIGINT) END) AS DOUBLE) / count(*), 0)
+         / 1000000.0 AS mean_lon,
+       11 AS zoom
+FROM incidents WHERE {STATS_WHERE} AND HAS_COORDINATES
 GROUP BY 1, 2""",
     # --- aggregates
     "coverage": _with()
     + f"""SELECT count(*) AS total,
        count(*) FILTER (WHERE HAS_COORDINATES) AS com_coordenadas,
        coalesce(CASE WHEN count(*) > 0 THEN {_pct('count(*) FILTER (WHERE HAS_COORDINATES)', 'count(*)')} END, 0.0) AS pct_geo
-FROM incidents WHERE {CITY} AND ANO = {STATS_SCOPE.year} AND TRIMESTRE IN ({_in(STATS_SCOPE.quarters)})""",
+FROM incidents WHERE {CITY} AND ANO = 2000 AND TRIMESTRE IN (1, 2, 3, 4)""",
     "partition_counts": _with()
     + f"""SELECT ANO, TRIMESTRE, count(*) AS total,
        count(*) FILTER (WHERE HAS_COORDINATES) AS com_coordenadas
@@ -298,6 +319,11 @@ FROM incidents WHERE {CITY} GROUP BY ANO, TRIMESTRE ORDER BY ANO, TRIMESTRE""",
 FROM incidents WHERE {CITY} GROUP BY ANO, TRIMESTRE ORDER BY ANO, TRIMESTRE""",
     "default_years": _with(COMPARISON) + "SELECT ano_base, ano_anterior FROM yrs",
     "comparable_quarters": _with(COMPARISON) + "SELECT TRIMESTRE FROM qs",
+    "comparison_base_year": _with(COMPARISON)
+    + """SELECT 1995 AS ano_base, b.ano_anterior, CAST(to_json((
+         SELECT list(x.TRIMESTRE ORDER BY x.TRIMESTRE) FROM parts x JOIN parts y ON x.TRIMESTRE = y.TRIMESTRE
+         WHERE x.ANO = 1995 AND y.ANO = b.ano_anterior)) AS VARCHAR) AS trimestres
+FROM (SELECT max(ANO) AS ano_anterior FROM years WHERE ANO <> 1995) b""",
     "monthly_comparison": _with(COMPARISON) + "SELECT * FROM monthly ORDER BY ANO, MES",
     "district_year_counts": _with(COMPARISON) + "SELECT * FROM dyc ORDER BY total_atual DESC",
     "monthly_overlay": _with(COMPARISON)
@@ -332,37 +358,37 @@ FROM k""",
     SELECT BAIRRO, total_atual, total_anterior,
            total_atual - total_anterior AS delta,
            {_pct('total_atual - total_anterior', 'total_anterior')} AS delta_pct,
-           CASE WHEN total_atual - total_anterior >= 0 THEN '{M.UP}' ELSE '{M.DOWN}' END AS direcao
-    FROM dyc WHERE total_anterior >= {M.MIN_PREVIOUS_COUNT}
+           CASE WHEN total_atual - total_anterior >= 0 THEN 'Alta' ELSE 'Queda' END AS direcao
+    FROM dyc WHERE total_anterior >= 30
     ORDER BY abs(total_atual - total_anterior) DESC, BAIRRO ASC
-    LIMIT {M.TOP_VARIATION}
+    LIMIT 15
 ) ORDER BY delta, BAIRRO""",
     "district_comparison": _with(COMPARISON)
     + f"""SELECT BAIRRO, total_atual, total_anterior,
        total_atual - total_anterior AS delta,
        {_change('total_atual', 'total_anterior')} AS delta_pct
 FROM dyc ORDER BY total_atual DESC, BAIRRO ASC""",
-    "period_distribution": _with(_stats_cte(STATS_SCOPE))
+    "period_distribution": _with(_stats_cte(STATS_WHERE))
     + f"""SELECT DESCR_PERIODO, count(*) AS count,
        {_pct('count(*)', 'sum(count(*)) OVER ()')} AS share_pct
 FROM stats WHERE DESCR_PERIODO IS NOT NULL AND DESCR_PERIODO <> 'NULL' AND DESCR_PERIODO <> ''
 GROUP BY DESCR_PERIODO""",
-    "category_distribution": _with(_stats_cte(STATS_SCOPE))
+    "category_distribution": _with(_stats_cte(STATS_WHERE))
     + f"""SELECT RUBRICA_MOD, count(*) AS count,
        {_pct('count(*)', 'sum(count(*)) OVER ()')} AS share_pct
 FROM stats GROUP BY RUBRICA_MOD""",
-    "monthly_series": _with(_stats_cte(STATS_SCOPE))
+    "monthly_series": _with(_stats_cte(STATS_WHERE))
     + """SELECT ANO, MES, count(*) AS count,
        CAST(ANO AS VARCHAR) || '-' || lpad(CAST(MES AS VARCHAR), 2, '0') AS MES_ANO
 FROM stats GROUP BY ANO, MES""",
-    "top_districts": _with(_stats_cte(STATS_SCOPE))
+    "top_districts": _with(_stats_cte(STATS_WHERE))
     + f"""SELECT BAIRRO, count(*) AS count FROM stats WHERE BAIRRO IS NOT NULL AND BAIRRO <> ''
-GROUP BY BAIRRO ORDER BY count DESC, BAIRRO ASC LIMIT {M.TOP_DISTRICTS}""",
-    "top_brands": _with(_stats_cte(STATS_SCOPE))
+GROUP BY BAIRRO ORDER BY count DESC, BAIRRO ASC LIMIT 10""",
+    "top_brands": _with(_stats_cte(STATS_WHERE))
     + f"""SELECT MARCA_OBJETO, count(*) AS count FROM stats
 WHERE MARCA_OBJETO IS NOT NULL AND MARCA_OBJETO <> ''
-GROUP BY MARCA_OBJETO ORDER BY count DESC, MARCA_OBJETO ASC LIMIT {M.TOP_BRANDS}""",
-    "top_one": _with(_stats_cte(STATS_SCOPE))
+GROUP BY MARCA_OBJETO ORDER BY count DESC, MARCA_OBJETO ASC LIMIT 10""",
+    "top_one": _with(_stats_cte(STATS_WHERE))
     + """SELECT * FROM (
     SELECT 'BAIRRO' AS dimension, BAIRRO AS value, count(*) AS count FROM stats
     WHERE BAIRRO IS NOT NULL AND BAIRRO <> '' GROUP BY BAIRRO ORDER BY count DESC, value ASC LIMIT 1)
@@ -402,7 +428,7 @@ FROM incidents WHERE {CITY} GROUP BY ANO, TRIMESTRE ORDER BY ANO, TRIMESTRE""",
        count(*) AS total_bos
 FROM incidents WHERE {CITY} AND BAIRRO IS NOT NULL AND BAIRRO <> ''
 GROUP BY BAIRRO HAVING count(DISTINCT BAIRRO_ORIGINAL) > 1
-ORDER BY variantes DESC, total_bos DESC, BAIRRO ASC LIMIT {M.TOP_VARIANTS}""",
+ORDER BY variantes DESC, total_bos DESC, BAIRRO ASC LIMIT 100""",
     "latest_record": _with()
     + f"SELECT max(TRY_CAST(DATAHORA_REGISTRO_BO AS DATE)) AS ultima FROM incidents WHERE {CITY}",
     "transform_stats": _with()

@@ -23,7 +23,7 @@ from quadra.operators import reports as R
 def _coverage(inc: DataFrame, scope: M.Scope, stats: DataFrame | None) -> DataFrame:
     if stats is not None:
         return R.coverage_from_stats(stats, scope.year, scope.quarters, scope.city)
-    return R.coverage(inc, scope.year, scope.quarters)
+    return R.coverage(inc, scope.year, scope.quarters, scope.city)
 
 
 def map_page(inc: DataFrame, scope: M.Scope, stats: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -52,18 +52,26 @@ def statistics_page(inc: DataFrame, scope: M.Scope, stats: DataFrame | None = No
 
 
 def comparison_page(inc: DataFrame, year_a: int | None = None, year_b: int | None = None,
-                    stats: DataFrame | None = None) -> dict[str, DataFrame] | None:
+                    stats: DataFrame | None = None, city: str = M.CITY) -> dict[str, DataFrame] | None:
     """Year over year: picks the years and common quarters (U2/U3), then the
     KPIs, monthly overlay, district variation, categories and full table
-    (A4/A5, A13-A15, K4/K5). None when no two years share a quarter. With the
-    partition-statistics table, the years and quarters are picked from it."""
-    cmp = R.resolve_comparison(inc, year_a, year_b, stats=stats)
-    if cmp is None:
-        return None
-    monthly = R.monthly_comparison(inc, cmp)
-    districts = R.district_year_counts(inc, cmp)
+    (A4/A5, A13-A15, K4/K5). A base year that is given stays; only what is
+    missing is defaulted.
+
+    With the partition-statistics table the choice is read from it, and the
+    page is None when no two years share a quarter. Without it nothing runs
+    here: the choice is part of the reports' plans, which are then empty.
+    """
+    if stats is not None:
+        cmp = R.resolve_comparison(R.partition_counts_from_stats(stats, city), year_a, year_b)
+        if cmp is None:
+            return None
+    else:
+        cmp = R.comparison(R.partition_counts(inc, city), year_a, year_b)
+    monthly = R.monthly_comparison(inc, cmp, city)
+    districts = R.district_year_counts(inc, cmp, city)
     return {
-        "kpis": R.year_kpis(monthly, cmp),
+        "kpis": R.year_kpis(inc, cmp, city),
         "monthly_overlay": R.monthly_overlay(monthly),
         "district_variation": R.district_variation(districts),
         "category_by_year": R.category_by_year(monthly),
@@ -71,27 +79,29 @@ def comparison_page(inc: DataFrame, year_a: int | None = None, year_b: int | Non
     }
 
 
-def quality_page(inc: DataFrame, stats: DataFrame | None = None,
-                 spellings: DataFrame | None = None) -> dict[str, DataFrame | None]:
+def quality_page(inc: DataFrame, stats: DataFrame | None = None, spellings: DataFrame | None = None,
+                 city: str = M.CITY) -> dict[str, DataFrame | None]:
     """Data quality: partitions with coverage (A2/A3), completeness (A6/A7),
-    spelling variants (A8) and the newest registration (A9); a report whose
-    columns the lake lacks is None ("not available"). With the batch job's
-    partition-statistics table (and the spelling-pairs table for the
-    variants), every table reads those instead of the lake."""
+    spelling variants (A8), the newest registration (A9) and the landing texts
+    that could not be read; a report whose columns the lake lacks is None
+    ("not available"). With the batch job's partition-statistics table (and
+    the spelling-pairs table for the variants), those tables are read instead
+    of the lake."""
     if stats is not None:
-        counts = R.partition_counts_from_stats(stats)
+        counts = R.partition_counts_from_stats(stats, city)
         partitions = counts.withColumn("pct_geo", C.percent(F.col("com_coordenadas"), F.col("total")))
-        completeness = Q.quality_report_from_stats(stats)
-        latest = Q.latest_record_from_stats(stats)
+        completeness = Q.quality_report_from_stats(stats, city)
+        latest = Q.latest_record_from_stats(stats, city)
     else:
-        partitions, completeness = R.partition_coverage(inc), Q.quality_report(inc)
-        latest = Q.latest_record(inc)
+        partitions, completeness = R.partition_coverage(inc, city), Q.quality_report(inc, city)
+        latest = Q.latest_record(inc, city)
     return {
         "partitions": partitions,
         "completeness": completeness,
         "variants": (
-            Q.district_variants_from_pairs(spellings) if spellings is not None
-            else Q.district_variants(inc)
+            Q.district_variants_from_pairs(spellings, city) if spellings is not None
+            else Q.district_variants(inc, city=city)
         ),
         "latest_record": latest,
+        "unread_values": Q.unread_values(inc),
     }

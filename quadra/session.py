@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -27,7 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .appName("quadra")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("QUADRA_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("QUADRA_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for k, v in ENGINE_CONF.items():
@@ -40,12 +42,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a folder
-    chosen here and registered as the checkpoint dir.
+    Read from the session. Only a local session without it gets a folder of
+    its own, which is deleted when the driver ends; on a cluster the executors
+    would each write to their own disk, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="quadra-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -10,6 +10,7 @@ removes a row. The same mapping is written in SQL in
 
 Join plan (designed for the fact table being by far the largest input):
 
+* only the tables whose columns a query asks for are joined;
 * the order side is built first — ``orders`` with its customer's nation — so
   ``customer`` is joined to ``orders`` (a quarter of the fact rows), not to
   ``lineitem``;
@@ -57,30 +58,46 @@ def _case(*branches: tuple[Column, Column], otherwise: Column | None = None) ->
     return expr.otherwise(otherwise) if otherwise is not None else expr
 
 
-def landing_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing rows: text coordinates, drifting texts, every line kept."""
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-    )
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    lineitem = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"
-    )
+# Landing columns by the tables they need besides ``lineitem``.
+NEEDS = {
+    M.ANO_BO: {"orders"},
+    M.RUBRICA: {"orders"},
+    M.DATAHORA_REGISTRO_BO: {"orders"},
+    M.BAIRRO: {"orders", "nation"},
+    M.MARCA_OBJETO: {"part"},
+    M.LOGRADOURO: {"supplier"},
+}
 
-    order_side = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select("o_orderkey", "o_orderdate", "o_orderpriority", "n_name")
-    )
-    rows = (
-        lineitem.join(order_side, lineitem.l_orderkey == order_side.o_orderkey, "left")
-        .join(part, lineitem.l_partkey == part.p_partkey, "left")
-        .join(supplier, lineitem.l_suppkey == supplier.s_suppkey, "left")
-    )
 
+def _lines(spark: SparkSession, sf_dir: str, tables: set[str]) -> DataFrame:
+    """Line items joined to the dimensions among ``tables``, every line kept."""
+    rows = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"
+    )
+    if "orders" in tables:
+        orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+        if "nation" in tables:
+            nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+            customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+            orders = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").join(
+                nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
+            )
+        rows = rows.join(orders, rows.l_orderkey == orders.o_orderkey, "left")
+    if "part" in tables:
+        part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+        rows = rows.join(part, rows.l_partkey == part.p_partkey, "left")
+    if "supplier" in tables:
+        supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+        rows = rows.join(supplier, rows.l_suppkey == supplier.s_suppkey, "left")
+    return rows
+
+
+def landing_incidents(spark: SparkSession, sf_dir: str, columns: set[str] | None = None) -> DataFrame:
+    """Landing rows: text coordinates, drifting texts, every line kept.
+
+    With ``columns`` only those are derived, and only the tables they need are
+    joined.
+    """
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     line = F.col("l_linenumber")
     name = F.col("n_name")
@@ -93,6 +110,8 @@ def landing_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
         (pk % 41 == 0, F.lit(None).cast("string")),
         (pk % 43 == 0, F.lit("")),
         (pk % 89 == 0, F.concat(F.lit("PQ. DO CARMO "), name)),
+        (pk % 97 == 0, F.concat(F.lit("Ⅷ CENTENÁRIO "), name)),
+        (pk % 83 == 0, F.concat(F.lit("ＪＤ ＰＡＺ "), name)),
         (pk % 5 == 0, F.concat(F.lit("  jd.  são "), F.lower(name))),
         (pk % 5 == 1, F.concat(F.lit("JARDIM SÃO "), name)),
         (pk % 5 == 2, F.concat(F.lit("VL "), name)),
@@ -120,7 +139,7 @@ def landing_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
         (sk % 17 == 0, F.lit("10.0")),
         otherwise=F.concat(F.lit("-23,"), (F.lit(4000) + pk % 3000).cast("string")),
     )
-    longitude = F.when(sk % 13 == 0, F.lit(None).cast("string")).otherwise(
+    longitude = F.when(sk % 13 == 0, F.lit(None).cast("string")).when(ok % 307 == 0, F.lit("-1000000000000")).otherwise(
         F.concat(F.lit("-46,"), (F.lit(5000) + ok % 3000).cast("string"))
     )
     version = _case(
@@ -141,20 +160,63 @@ def landing_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.month("l_shipdate")
     )
 
-    return rows.select(
-        ok.cast("string").alias(M.NUM_BO),
-        version.alias(M.VERSAO),
-        F.year("o_orderdate").alias(M.ANO_BO),
-        F.year("l_shipdate").alias(M.ANO),
-        month.alias(M.MES),
-        city.alias(M.CIDADE),
-        heading.alias(M.RUBRICA),
-        district.alias(M.BAIRRO),
-        period.alias(M.DESCR_PERIODO),
-        brand.alias(M.MARCA_OBJETO),
-        F.col("s_name").alias(M.LOGRADOURO),
-        latitude.alias(M.LATITUDE),
-        longitude.alias(M.LONGITUDE),
-        F.when(ok % 89 == 0, F.lit(None)).otherwise(F.col("l_shipdate")).alias(M.DATA_OCORRENCIA_BO),
-        registered.alias(M.DATAHORA_REGISTRO_BO),
+    year = F.when((ok % 127 == 0) & (line == 2), F.lit(None).cast("int")).otherwise(F.year("l_shipdate"))
+    derived = {
+        M.NUM_BO: F.lpad(ok.cast("string"), 9, "0"),
+        M.VERSAO: version,
+        M.ANO_BO: F.year("o_orderdate"),
+        M.ANO: year,
+        M.MES: month,
+        M.CIDADE: city,
+        M.RUBRICA: heading,
+        M.BAIRRO: district,
+        M.DESCR_PERIODO: period,
+        M.MARCA_OBJETO: brand,
+        M.LOGRADOURO: F.col("s_name"),
+        M.LATITUDE: latitude,
+        M.LONGITUDE: longitude,
+        M.DATA_OCORRENCIA_BO: F.when(ok % 89 == 0, F.lit(None)).otherwise(F.col("l_shipdate")),
+        M.DATAHORA_REGISTRO_BO: registered,
+    }
+    wanted = [c for c in derived if columns is None or c in columns]
+    tables = set().union(*[NEEDS.get(c, set()) for c in wanted])
+    return _lines(spark, sf_dir, tables).select(*[derived[c].alias(c) for c in wanted])
+
+
+# --- landing files ------------------------------------------------------------
+# Files from this year on use the newer year/month names and carry the
+# report-version columns; older files lack them. Rows without a year land in
+# the newer one.
+NEW_FORMAT_FROM = 1999
+# A column no layer declares: digits in the older file, text in the newer one.
+REMARK = "OBSERVACAO"
+
+
+def write_landing_files(spark: SparkSession, sf_dir: str, root: str) -> list[str]:
+    """Two drifting CSV file groups that together hold every landing row.
+
+    Dates are day first in a third of the rows and unreadable in some, some
+    months are words, report numbers have leading zeros.
+    """
+    columns = {M.NUM_BO, M.VERSAO, M.ANO_BO, M.ANO, M.MES, M.BAIRRO, M.LATITUDE, M.LONGITUDE, M.DATA_OCORRENCIA_BO}
+    rows = landing_incidents(spark, sf_dir, columns)
+    key, date = F.col(M.NUM_BO).cast("bigint"), F.col(M.DATA_OCORRENCIA_BO)
+    rows = rows.withColumns(
+        {
+            M.MES: F.when(key % 137 == 0, F.lit("jan")).otherwise(F.col(M.MES).cast("string")),
+            M.DATA_OCORRENCIA_BO: F.when(key % 149 == 0, F.lit("ontem"))
+            .when(key % 3 == 0, F.date_format(date, "dd/MM/yyyy HH:mm:ss"))
+            .otherwise(F.date_format(date, "yyyy-MM-dd HH:mm:ss")),
+        }
     )
+    old = F.coalesce(F.col(M.ANO) < NEW_FORMAT_FROM, F.lit(False))
+    groups = {
+        "older": rows.where(old).drop(M.VERSAO, M.ANO_BO).withColumn(REMARK, (key % 10).cast("string")),
+        "newer": rows.where(~old)
+        .withColumnsRenamed({M.ANO: M.ANO_REGISTRO_BO, M.MES: M.MES_REGISTRO_BO})
+        .withColumn(REMARK, F.when(key % 2 == 0, F.lit("S/N")).otherwise(F.lpad((key % 10).cast("string"), 3, "0"))),
+    }
+    options = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    for name, group in groups.items():
+        group.write.options(**options).csv(f"{root}/{name}")
+    return [f"{root}/{name}" for name in groups]

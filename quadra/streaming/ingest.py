@@ -1,21 +1,18 @@
 """Incremental landing ingest: the scheduled batch run as a file stream.
 
-The pipeline runs on a schedule and processes the files landed since the
-last run. With Structured Streaming the same run becomes an ``availableNow``
-query over the landing folder: each micro-batch holds only files not seen
-before (tracked in the checkpoint). A batch is *appended* to the raw layer
-(overwriting would drop earlier files' rows of the same partition), then the
-transformed layer is rebuilt — dynamic overwrite — for exactly the
-(year, quarter) partitions the batch touched.
-
-Restarts: the file source and the checkpoint record which batches finished,
-so a lost executor or driver replays only the unfinished batch; a marker per
-committed batch keeps a replayed batch from being appended twice.
+With Structured Streaming the scheduled run becomes an ``availableNow`` query
+over the landing folder: each micro-batch holds only files not seen before
+(tracked in the checkpoint). A batch's raw rows go to a folder of their own,
+``<raw>/batch_id=N/ano=.../trimestre=...``, which is *overwritten*: a batch
+that is run again after a failure, however far it had come, replaces its own
+rows and no others. The transformed layer is then rebuilt (dynamic overwrite)
+for exactly the (year, quarter) partitions the batch touched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,20 +21,29 @@ from quadra.plans import etl, jobs
 from quadra.sources import lake
 
 
-def _touched(batch: DataFrame) -> list[tuple]:
-    """(year, quarter) keys of a micro-batch — one row per partition."""
-    return [tuple(r) for r in batch.select(M.ANO, M.TRIMESTRE).distinct().collect()]
+def read_raw(spark: SparkSession, raw_root: str) -> DataFrame:
+    """All batches of the stream's raw layer."""
+    return lake.read_layer(spark, raw_root).drop("batch_id")
+
 
+def _in(keys: list[tuple]) -> Column:
+    """Rows of the given (year, quarter) partitions (null-safe)."""
+    cond = F.lit(False)
+    for year, quarter in keys:
+        cond = cond | (F.col(M.ANO).eqNullSafe(year) & F.col(M.TRIMESTRE).eqNullSafe(quarter))
+    return cond
 
-def _rebuild_transformed(spark: SparkSession, raw_root: str, out_root: str, keys: list[tuple],
-                         aliases: DataFrame | None, side_base: str | None) -> None:
-    if not keys:
+
+def write_batch(batch: DataFrame, batch_id: int, raw_root: str, transformed_root: str,
+                aliases: DataFrame | None = None, side_base: str | None = None) -> None:
+    """One micro-batch; running it again gives the same layers."""
+    spark = batch.sparkSession
+    if batch.isEmpty():
         return
-    cond = jobs.partition_filter(keys)
-    raw = lake.read_layer(spark, raw_root)
-    lake.write_layer(etl.transformed_layer(raw.where(cond), aliases), out_root)
+    keys = lake.write_layer(etl.raw_layer(batch), f"{raw_root.rstrip('/')}/batch_id={batch_id}", cluster=False, observe=True)
+    lake.write_layer(etl.transformed_layer(read_raw(spark, raw_root).where(_in(keys)), aliases), transformed_root)
     if side_base is not None:
-        jobs.write_side_tables(lake.read_layer(spark, out_root).where(cond), side_base)
+        jobs.write_side_tables(lake.read_layer(spark, transformed_root, keys=keys), side_base)
 
 
 def start_ingest(
@@ -63,18 +69,10 @@ def start_ingest(
         reader = reader.option("header", "true")
     stream = reader.format(fmt).load(landing_dir)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        raw = etl.raw_layer(batch)
-        marker = f"{checkpoint.rstrip('/')}/_raw_committed/{batch_id}"
-        if not lake.path_exists(spark, marker):
-            keyed = raw.withColumnsRenamed(lake.PATH_KEYS)
-            keys = list(lake.PATH_KEYS.values())
-            keyed.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(raw_root)
-            spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").json(marker)
-        _rebuild_transformed(spark, raw_root, transformed_root, _touched(raw), aliases, side_base)
-
     return (
-        stream.writeStream.foreachBatch(write_batch)
+        stream.writeStream.foreachBatch(
+            lambda batch, batch_id: write_batch(batch, batch_id, raw_root, transformed_root, aliases, side_base)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -73,45 +73,54 @@ def test_accent_table_is_generated_by_rule():
     assert expansions["Ĳ"] == "IJ" and expansions["Ⅷ"] == "VIII"
 
 
-def _aliased(spark, value, aliases):
-    df = spark.createDataFrame([(value,)], "BAIRRO string")
-    alias_df = spark.createDataFrame(list(aliases.items()), M.ALIAS_SCHEMA)
-    out = etl.transformed_layer(df, alias_df)
-    return out.first()[M.BAIRRO]
+def test_aliases_in_one_pass(spark):
+    """A chain is not followed; a null target gives null; null and blank names match nothing."""
+    table = [("VILA A", "VILA B"), ("VILA B", "VILA C"), ("VILA D", None), ("", "NADA")]
+    names = ["vl. a", "VILA-B", "Vila D", "vila e", None, "", " ."]
+    rows = [(k, name) for k, name in enumerate(names)]
+    frame = spark.createDataFrame(rows, "NUM_BO int, BAIRRO string")
+    out = etl.transformed_layer(frame, spark.createDataFrame(table, M.ALIAS_SCHEMA)).orderBy("NUM_BO").collect()
+    assert [r[M.BAIRRO] for r in out] == ["VILA B", "VILA C", None, "VILA E", None, "", ""]
+    assert [r[M.BAIRRO_ORIGINAL] for r in out] == names
+
+
+def test_alias_join_runs_nothing_and_spreads_rows_without_district(spark):
+    frame = spark.range(4000).selectExpr("cast(id as string) NUM_BO", "if(id % 3 = 0, null, if(id % 3 = 1, '', 'VL X')) BAIRRO")
+    table = spark.createDataFrame([("VILA X", "VILA Y")], M.ALIAS_SCHEMA)
+    spark.sparkContext.setJobGroup("alias-join", "")
+    joined = etl.transformed_layer(frame, table)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("alias-join") == []
+    spark.sparkContext.setJobGroup("tests", "")
+    counts = {r[M.BAIRRO]: r["count"] for r in joined.groupBy(M.BAIRRO).count().collect()}
+    assert counts == {None: 1334, "": 1333, "VILA Y": 1333}
+
+
+def _csv(path, *lines):
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("\n".join(["bairro_variante,bairro_canonico", *lines, ""]))
+    return path
 
 
-def test_alias_applied_after_normalisation(spark):
-    assert _aliased(spark, " jd. paulista", {"JARDIM PAULISTA": "JARDIM PAULISTA UNIFICADO"}) == (
-        "JARDIM PAULISTA UNIFICADO"
-    )
-
-
-def test_alias_without_match_leaves_name(spark):
-    assert _aliased(spark, "MOEMA", {"OUTRO BAIRRO": "X"}) == "MOEMA"
-
-
-def test_alias_large_table_uses_shuffle_join(spark, monkeypatch):
-    monkeypatch.setattr(etl, "ALIAS_BROADCAST_MAX_ROWS", 0)
-    assert _aliased(spark, "VL X", {"VILA X": "VILA Y"}) == "VILA Y"
-
-
-def test_aliases_missing_file(spark, scratch):
-    assert lake.read_aliases(spark, f"{scratch}/missing.csv").count() == 0
-
-
-def test_aliases_header_only(spark, scratch):
-    path = f"{scratch}/aliases.csv"
-    with open(path, "w", encoding="utf-8") as fh:
-        fh.write("bairro_variante,bairro_canonico\n")
-    assert lake.read_aliases(spark, path).count() == 0
+@pytest.mark.parametrize(
+    ("lines", "table"),
+    [
+        ([], {}),
+        (["ALTO DO MORRO,MORRO", "BAIXO,", "ALTO DO MORRO,ALTO"], {"ALTO DO MORRO": "ALTO", "BAIXO": None}),
+    ],
+)
+def test_alias_file(spark, scratch, lines, table):
+    assert dict(map(tuple, lake.read_aliases(spark, _csv(f"{scratch}/a.csv", *lines)).collect())) == table
+    assert lake.read_aliases(spark, f"{scratch}/not-there.csv").isEmpty() and lake.read_aliases(spark, None).isEmpty()
 
 
-def test_aliases_one_row_and_last_wins(spark, scratch):
-    path = f"{scratch}/aliases.csv"
-    with open(path, "w", encoding="utf-8") as fh:
-        fh.write("bairro_variante,bairro_canonico\nBELA VISTA CENTRO,BELA VISTA\nX,A\nX,B\n")
-    rows = {r[0]: r[1] for r in lake.read_aliases(spark, path).collect()}
-    assert rows == {"BELA VISTA CENTRO": "BELA VISTA", "X": "B"}
+@pytest.mark.parametrize(
+    ("text", "date"),
+    [("05/01/2024", "2024-01-05 00:00:00"), ("2024-01-05", "2024-01-05 00:00:00"), ("31/12/2023 23:59:01", "2023-12-31 23:59:01"),
+     ("2024-01-05T10:20:30", "2024-01-05 10:20:30"), ("31/02/2024", None), ("ontem", None), ("", None), (None, None)],
+)
+def test_landing_timestamp(spark, text, date):
+    got = _one(spark, text, C.landing_timestamp)
+    assert (None if got is None else str(got)) == date
 
 
 @pytest.mark.parametrize(

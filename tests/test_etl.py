@@ -11,6 +11,7 @@ from quadra import model as M
 from quadra.plans import etl
 from quadra.sources import lake
 
+# --- fixed values: the reference's sample of incidents ---------------------
 SAMPLE = [
     ("A1", 2026, 1, "S.PAULO", "Roubo (art. 157)", "  jd  paulista ", "-23,55", "-46,63"),
     ("A2", 2026, 2, "S.PAULO", "Furto (art. 155)", "VL. MARIANA", None, "-46.60"),
@@ -21,6 +22,15 @@ SAMPLE = [
 ]
 SCHEMA = ("NUM_BO string, ANO bigint, MES bigint, CIDADE string, RUBRICA string, "
           "BAIRRO string, LATITUDE string, LONGITUDE string")
+# What each row becomes: quarter, latitude, longitude | coordinates, category, district.
+LAYERS = {
+    "A1": ((1, -23.55, -46.63), (True, "Roubo", "JARDIM PAULISTA")),
+    "A2": ((1, None, -46.6), (False, "Furto", "VILA MARIANA")),
+    "A3": ((2, -23.6, None), (False, "Perda", "SAO JOAO CLIMACO")),
+    "A4": ((3, 10.0, -46.0), (False, "Perda", None)),
+    "A5": ((4, -23.7, -46.7), (True, "Outros", "")),
+    "A6": ((4, None, None), (False, "Outros", "CENTRO")),
+}
 
 
 @pytest.fixture()
@@ -28,39 +38,99 @@ def sample(spark):
     return spark.createDataFrame(SAMPLE, SCHEMA)
 
 
-def test_raw_layer_quarter_and_casts(spark, sample, scratch):
-    raw_root = f"{scratch}/raw/parquet"
-    etl.run_raw(sample, raw_root)
-    out = lake.read_layer(spark, raw_root).orderBy(M.NUM_BO).collect()
-    assert len(out) == len(SAMPLE)  # no record lost
-    assert [r[M.TRIMESTRE] for r in out] == [1, 1, 2, 3, 4, 4]
-    assert [r[M.LATITUDE] for r in out] == [-23.55, None, -23.6, 10.0, -23.7, None]
-    assert dict(lake.read_layer(spark, raw_root).dtypes)[M.LATITUDE] == "double"
-    assert os.path.isdir(f"{raw_root}/ano=2026/trimestre=1")
-    assert os.path.isdir(f"{raw_root}/ano=2026/trimestre=4")
-
-
-def test_raw_layer_newer_column_names(spark, scratch):
-    df = spark.createDataFrame([("B1", 2025, 8)], "NUM_BO string, ANO_REGISTRO_BO bigint, MES_REGISTRO_BO bigint")
-    raw_root = f"{scratch}/raw/parquet"
-    etl.run_raw(df, raw_root)
-    assert os.path.isdir(f"{raw_root}/ano=2025/trimestre=3")
-    row = lake.read_layer(spark, raw_root).first()
-    assert (row[M.ANO], row[M.TRIMESTRE], row[M.MES]) == (2025, 3, 8)
-
-
-def test_transformed_layer_derivations(spark, sample, scratch):
-    raw_root, out_root = f"{scratch}/raw", f"{scratch}/transformed"
-    etl.run_raw(sample, raw_root)
-    etl.run_transformed(spark, raw_root, out_root)
-    out = lake.read_layer(spark, out_root).orderBy(M.NUM_BO).collect()
-    assert len(out) == len(SAMPLE)
-    assert [r[M.HAS_COORDINATES] for r in out] == [True, False, False, False, True, False]
-    assert [r[M.RUBRICA_MOD] for r in out] == ["Roubo", "Furto", "Perda", "Perda", "Outros", "Outros"]
-    assert [r[M.BAIRRO] for r in out] == [
-        "JARDIM PAULISTA", "VILA MARIANA", "SAO JOAO CLIMACO", None, "", "CENTRO"
-    ]
-    assert [r[M.BAIRRO_ORIGINAL] for r in out] == [s[5] for s in SAMPLE]
+def test_sample_through_both_layers(spark, sample, scratch):
+    """Each layer as one table: every input row and all that is derived from it."""
+    roots = [f"{scratch}/lake/{name}" for name in ("raw", "transformed")]
+    assert etl.run_raw(sample, roots[0]) == [(2026, q) for q in (1, 2, 3, 4)]
+    etl.run_transformed(spark, *roots)
+    raw, out = (lake.read_layer(spark, root) for root in roots)
+    given = {r[0]: r for r in SAMPLE}
+    derived = (M.TRIMESTRE, M.LATITUDE, M.LONGITUDE)
+    kept = raw.select(M.NUM_BO, M.ANO, M.MES, M.CIDADE, M.RUBRICA, M.BAIRRO, *derived).collect()
+    assert {r[0]: tuple(r) for r in kept} == {k: (*given[k][:6], *LAYERS[k][0]) for k in given} and len(kept) == 6
+    made = out.select(M.NUM_BO, M.BAIRRO_ORIGINAL, M.HAS_COORDINATES, M.RUBRICA_MOD, M.BAIRRO).collect()
+    assert {r[0]: tuple(r) for r in made} == {k: (k, given[k][5], *LAYERS[k][1]) for k in given} and len(made) == 6
+
+
+def test_newer_names_land_in_the_same_columns(spark):
+    newer = spark.createDataFrame([("Z", "2023", "10", "x")], "NUM_BO string, ANO_REGISTRO_BO string, MES_REGISTRO_BO string, EXTRA string")
+    both = spark.createDataFrame([("Z", 2023, 10, 1999)], "NUM_BO string, ANO int, MES int, ANO_REGISTRO_BO int")
+    row = lake.harmonise(newer).first()
+    assert (row[M.ANO], row[M.MES], row[M.TRIMESTRE], row["EXTRA"], row[M.UNREAD]) == (2023, 10, 4, "x", None)
+    assert lake.harmonise(both).first()[M.ANO] == 2023 and lake.harmonise(both).first()["ANO_REGISTRO_BO"] == "1999"
+
+
+def _file(path, *lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("\n".join(lines) + "\n")
+    return path
+
+
+def test_landing_text_is_kept(spark, scratch):
+    """Leading zeros, day-first dates, a month in words, an undeclared column, an empty text."""
+    path = _file(
+        f"{scratch}/l/2024.csv",
+        "NUM_BO,ANO,MES,DATA_OCORRENCIA_BO,LATITUDE,BAIRRO,SALA",
+        '000123,2024,jan,05/01/2024,"-23,5",,7',
+        '000124,,3,2024-03-09 10:11:12,n/d,"",007',
+        "000125,2024, 4 ,ontem,,Centro,",
+    )
+    rows = {r[M.NUM_BO]: r for r in lake.read_landing(spark, [path]).collect()}
+    assert set(rows) == {"000123", "000124", "000125"}
+    assert [rows[k]["SALA"] for k in sorted(rows)] == ["7", "007", None]
+    assert [rows[k][M.BAIRRO] for k in sorted(rows)] == [None, "", "Centro"]
+    assert [rows[k][M.MES] for k in sorted(rows)] == [None, 3, 4]
+    assert [rows[k][M.ANO] for k in sorted(rows)] == [2024, None, 2024]
+    assert [str(rows[k][M.DATA_OCORRENCIA_BO]) for k in sorted(rows)] == ["2024-01-05 00:00:00", "2024-03-09 10:11:12", "None"]
+    assert [rows[k][M.UNREAD] for k in sorted(rows)] == ['{"MES":"jan"}', '{"LATITUDE":"n/d"}', '{"DATA_OCORRENCIA_BO":"ontem"}']
+
+
+def test_bad_year_fails_the_job(spark, scratch):
+    path = _file(f"{scratch}/l/x.csv", "NUM_BO,ANO,MES", "1,20x4,1")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        lake.read_landing(spark, [path]).collect()
+
+
+def test_undeclared_column_may_change_its_kind_between_runs(spark, scratch):
+    from quadra.plans import jobs
+
+    head = "NUM_BO,ANO,MES,CIDADE,RUBRICA,BAIRRO,LATITUDE,LONGITUDE,SALA"
+    first = _file(f"{scratch}/l/2023.csv", head, "01,2023,1,S.PAULO,Roubo,A,,,12")
+    second = _file(f"{scratch}/l/2024.csv", head, "02,2024,1,S.PAULO,Roubo,A,,,S/N")
+    jobs.run(spark, [first], f"{scratch}/lake")
+    jobs.run(spark, [second], f"{scratch}/lake")
+    for root in jobs.layer_roots(f"{scratch}/lake")[:2]:
+        rows = {r[M.NUM_BO]: r["SALA"] for r in lake.read_layer(spark, root).collect()}
+        assert rows == {"01": "12", "02": "S/N"}
+    jobs.run(spark, [first, second], f"{scratch}/both")
+    assert lake.read_layer(spark, jobs.layer_roots(f"{scratch}/both")[1]).count() == 2
+
+
+def test_job_opens_only_what_it_wrote(spark, scratch):
+    """A broken file in another partition is never opened, and the run takes few Spark jobs."""
+    from quadra.plans import jobs
+
+    base = f"{scratch}/lake"
+    head = "NUM_BO,ANO,MES,CIDADE,RUBRICA,BAIRRO,LATITUDE,LONGITUDE,ANO_BO,VERSAO,DESCR_PERIODO,MARCA_OBJETO"
+    path = _file(f"{scratch}/l/a.csv", head, 'A,2024,2,S.PAULO,Roubo,VL X,"-23,5","-46,6",2024,1,A noite,M', "B,2024,,CAMPINAS,,,,,2024,1,,")
+    for root in jobs.layer_roots(base)[:2]:
+        _file(f"{root}/ano=2020/trimestre=1/part-0.parquet", "this is no parquet file")
+    spark.sparkContext.setJobGroup("one-run", "")
+    manifest = jobs.run(spark, [path], base, tag="t")
+    count = len(spark.sparkContext.statusTracker().getJobIdsForGroup("one-run"))
+    spark.sparkContext.setJobGroup("tests", "")
+    assert manifest["partitions"] == [{"ano": 2024, "trimestre": 1, "rows": 1}, {"ano": 2024, "trimestre": None, "rows": 1}]
+    assert (manifest["source"], manifest["total_rows"]) == ("t", 2)
+    assert count <= 21, count  # every shuffle of the seven small writes counts as a job
+
+
+def test_landing_without_rows_fails_the_health_check(spark, scratch):
+    from quadra.plans import jobs
+
+    path = _file(f"{scratch}/l/empty.csv", "NUM_BO,ANO,MES")
+    with pytest.raises(RuntimeError, match="health check"):
+        jobs.run(spark, [path], f"{scratch}/lake")
 
 
 def test_transformed_without_coordinate_columns(spark):

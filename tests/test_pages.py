@@ -94,7 +94,13 @@ def test_comparison_and_coverage_from_stats(spark, inc, tmp_path):
     root = str(tmp_path / "stats2")
     lake.write_layer(Q.partition_stats(inc), root)
     stats = lake.read_layer(spark, root)
-    assert R.resolve_comparison(inc, stats=stats) == R.resolve_comparison(inc)
+    chosen = R.resolve_comparison(R.partition_counts_from_stats(stats))
+    assert chosen == R.resolve_comparison(R.partition_counts(inc))
+    for city in (M.CITY, "CAMPINAS"):
+        pages_of = [pages.comparison_page(inc, stats=s, city=city) for s in (None, stats)]
+        assert len({str(p["kpis"].first()) for p in pages_of}) == 1
+        cov = [pages.map_page(inc, M.Scope(year=2000, quarters=(1,), city=city), s)["coverage"].first() for s in (None, stats)]
+        assert cov[0] == cov[1]
     direct = R.coverage(inc, 2000, (1, 3)).first().asDict()
     assert R.coverage_from_stats(stats, 2000, (1, 3)).first().asDict() == direct
 

@@ -64,14 +64,33 @@ def test_default_years_fallback(spark):
     assert R.default_years(one).first()["ano_anterior"] is None
 
 
+def test_a_given_year_stays_and_the_other_is_defaulted(spark):
+    parts = spark.createDataFrame(
+        [(2022, 1), (2022, 2), (2023, 2), (2023, None), (2025, 1), (2025, 2), (None, 1)], "ANO int, TRIMESTRE int"
+    )
+    pick = lambda **years: tuple(R.comparison(parts, **years).first())
+    assert pick() == (2025, 2023, [2])  # a gap: the newest other year
+    assert pick(year_a=2023) == (2023, 2022, [2])
+    assert pick(year_a=2022) == (2022, 2025, [1, 2])
+    assert pick(year_b=2022) == (2025, 2022, [1, 2])
+    assert pick(year_a=2023, year_b=2025) == (2023, 2025, [2])
+    assert R.resolve_comparison(parts, year_a=2023) == R.Comparison(2023, 2022, (2,))
+    assert R.resolve_comparison(parts.where("ANO = 2023")) is None
+    assert R.resolve_comparison(parts.where("ANO = 1900")) is None
+    assert [r[0] for r in R.comparable_quarters(parts, 2025, 2022).collect()] == [1, 2]
+
+
 def test_comparison_and_variation(spark):
     rows = (_inc(40, 2023, 1, 1, "A") + _inc(50, 2024, 1, 2, "A")
             + _inc(30, 2023, 2, 4, "B") + _inc(10, 2024, 1, 3, "B")
             + _inc(29, 2023, 1, 1, "C") + _inc(90, 2024, 1, 1, "C")
             + _inc(5, 2024, 3, 7, "D"))
     df = _rows(spark, rows)
-    cmp = R.resolve_comparison(df)
+    cmp = R.resolve_comparison(R.partition_counts(df))
     assert cmp == R.Comparison(2024, 2023, (1,))
+    lazy = R.comparison(R.partition_counts(df))
+    assert R.district_year_counts(df, lazy).collect() == R.district_year_counts(df, cmp).collect()
+    assert R.year_kpis(df, lazy).first() == R.year_kpis(df, cmp).first()
     counts = {r[M.BAIRRO]: (r["total_atual"], r["total_anterior"])
               for r in R.district_year_counts(df, cmp).collect()}
     assert counts == {"A": (50, 40), "B": (10, 0), "C": (90, 29)}
@@ -84,7 +103,7 @@ def test_comparison_and_variation(spark):
 def test_year_kpis_without_previous_year(spark):
     df = _rows(spark, _inc(4, 2024, 1, 1, "A", geo=False) + _inc(4, 2024, 1, 1, "A", cat="Furto"))
     cmp = R.Comparison(2024, 2023, (1,))
-    k = R.year_kpis(R.monthly_comparison(df, cmp), cmp).first()
+    k = R.year_kpis(df, cmp).first()
     assert (k["total_atual"], k["total_anterior"], k["roubos_atual"], k["furtos_atual"]) == (8, 0, 4, 4)
     assert k["delta_total_pct"] is None
     assert (k["pct_geo_atual"], k["pct_geo_anterior"], k["delta_geo_pp"]) == (50.0, 0.0, 50.0)
@@ -108,7 +127,8 @@ def test_filter_options(spark):
 def test_map_tiles_counts_points(spark):
     df = spark.createDataFrame(
         [("S.PAULO", 2024, 1, True, -23.55, -46.63), ("S.PAULO", 2024, 1, True, -23.551, -46.631),
-         ("S.PAULO", 2024, 1, False, None, None)],
+         ("S.PAULO", 2024, 1, False, None, None), ("S.PAULO", 2024, 1, True, -23.5, -1e12),
+         ("S.PAULO", 2024, 1, True, -1e300, 2.0), ("S.PAULO", 2024, 1, True, -89.0, 2.0)],
         "CIDADE string, ANO int, TRIMESTRE int, HAS_COORDINATES boolean, LATITUDE double, LONGITUDE double",
     )
     for c in ("RUBRICA_MOD", "BAIRRO", "DESCR_PERIODO", "LOGRADOURO", "NUM_BO", "DATA_OCORRENCIA_BO",
@@ -116,6 +136,9 @@ def test_map_tiles_counts_points(spark):
         from pyspark.sql import functions as F
         df = df.withColumn(c, F.lit(None).cast("string"))
     rows = X.map_tiles(df, M.Scope(year=2024, quarters=(1,)), zoom=11).collect()
+    off = [r for r in rows if r["tile_x"] is None]
+    assert [(r["points"], r["tile_y"], r["mean_lat"]) for r in off] == [(3, None, None)]
+    rows = [r for r in rows if r["tile_x"] is not None]
     assert len(rows) == 1 and rows[0]["points"] == 2
     assert (rows[0]["tile_x"], rows[0]["tile_y"]) == (758, 1161)
     assert rows[0]["mean_lat"] == -23.5505
