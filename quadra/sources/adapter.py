@@ -190,15 +190,20 @@ def landing_incidents(spark: SparkSession, sf_dir: str, columns: set[str] | None
 NEW_FORMAT_FROM = 1999
 # A column no layer declares: digits in the older file, text in the newer one.
 REMARK = "OBSERVACAO"
+# Columns of the landing files that the checks read.
+LANDED = frozenset(
+    (M.NUM_BO, M.VERSAO, M.ANO_BO, M.ANO, M.MES, M.BAIRRO, M.LATITUDE, M.LONGITUDE, M.DATA_OCORRENCIA_BO)
+)
 
 
-def write_landing_files(spark: SparkSession, sf_dir: str, root: str) -> list[str]:
-    """Two drifting CSV file groups that together hold every landing row.
+def write_landing_files(
+    spark: SparkSession, sf_dir: str, root: str, columns: frozenset[str] | None = LANDED
+) -> list[str]:
+    """Two drifting CSV file groups that together hold every landing row (``columns`` None: whole).
 
     Dates are day first in a third of the rows and unreadable in some, some
     months are words, report numbers have leading zeros.
     """
-    columns = {M.NUM_BO, M.VERSAO, M.ANO_BO, M.ANO, M.MES, M.BAIRRO, M.LATITUDE, M.LONGITUDE, M.DATA_OCORRENCIA_BO}
     rows = landing_incidents(spark, sf_dir, columns)
     key, date = F.col(M.NUM_BO).cast("bigint"), F.col(M.DATA_OCORRENCIA_BO)
     rows = rows.withColumns(
