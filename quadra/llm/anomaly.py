@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadra.llm import textstats as T
-from quadra.llm.common import documents, fraction_of, written
+from quadra.llm.common import bounded_batches, documents, fraction_of, written
 
 SAMPLE, TREES, TREE_ROWS, SEED = 20_000, 200, 256, 5
 # Statistics of a text's make-up. Repetition is left to the base rules: clean
@@ -90,7 +90,7 @@ def rule_table(docs: DataFrame, *keep: str) -> DataFrame:
         for pdf in batches:
             yield pd.concat([pdf[list(keep)], T.table(pdf["text"])], axis=1)
 
-    return docs.select(*keep, "text").mapInPandas(measure, schema)
+    return bounded_batches(docs).select(*keep, "text").mapInPandas(measure, schema)
 
 
 def base_failed() -> Column:

@@ -17,6 +17,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 find_words = re.compile(WORD).findall
 
 
+# Bytes of text that go to a Python worker at once; texts may be long.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session told to send Python workers at most ``BATCH_BYTES`` at once."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadra.llm.common import documents
+from quadra.llm.common import bounded_batches, documents
 
 ENTRY, BLOCK = 64, 16
 K1, B = 1.2, 0.75
@@ -35,7 +35,7 @@ RUN, OVERLAP = 5, 0.5
 # Items of an index; a larger benchmark is searched index by index.
 INDEX_ITEMS = 2000
 # Words of a text batch that is scored at once.
-BATCH_WORDS = 1 << 18
+BATCH_WORDS = 1 << 16
 
 words_of = re.compile(r"\w+").findall
 _sentence = re.compile(r"(?<=[.?!])\s+")
@@ -179,7 +179,7 @@ def indexes(benchmark: DataFrame) -> list[Index]:
     Statistics of the terms are counted over the whole benchmark by Spark;
     the driver holds one index's items at a time.
     """
-    items = benchmark.where("text is not null").select("item_id", "text")
+    items = bounded_batches(benchmark).where("text is not null").select("item_id", "text")
 
     def entries(batches):
         for pdf in batches:

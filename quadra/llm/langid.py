@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadra.llm.common import crc_mod, documents, fraction_of
+from quadra.llm.common import bounded_batches, crc_mod, documents, fraction_of
 
 # Labelled documents to learn from, in equal parts from the languages, at most.
 TRAIN_ROWS = 3000
@@ -145,7 +145,7 @@ def unit(codes: np.ndarray) -> float:
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Identifier:
     """Learn from about ``rows`` rows with lang, text and doc_id (it picks the sample), as many for each language."""
-    known = labelled.where("lang is not null and text is not null")
+    known = bounded_batches(labelled).where("lang is not null and text is not null")
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return Identifier(Votes([]), {})

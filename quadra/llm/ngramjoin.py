@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadra.llm.common import WORD, documents, find_words, frozen, groups_of, packed, text_key, written
+from quadra.llm.common import WORD, bounded_batches, documents, find_words, frozen, groups_of, packed, text_key, written
 from quadra.llm.components import components
 
 
@@ -56,7 +56,7 @@ class WordCodes(dict):
     """64-bit codes of words, remembered while there is room."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         code = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
         return code
@@ -120,7 +120,7 @@ def sketched(docs: DataFrame, paths: Paths) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "k1": pdf["k1"], "k2": pdf["k2"], "sig": signatures(pdf["text"], paths)})
 
-    rows = docs.select("doc_id", "text", *text_key(F.col("text")))
+    rows = bounded_batches(docs).select("doc_id", "text", *text_key(F.col("text")))
     return written(rows.mapInPandas(sketch, f"doc_id {kind}, k1 long, k2 long, sig array<int>"), "sketches")
 
 
