@@ -2,13 +2,13 @@
 
 A document is the set of its 5-word shingles. A sampled shared token is the
 minimum of the set under a random hash: two sets share it with a probability
-equal to their similarity. Every set goes down one path for each of ``RUNS``
+equal to their similarity. Every set goes down one path for each of ``runs``
 tokens; sets that meet on a path are in one bucket. A small bucket is compared
-by brute force. A large one whose sets differ otherwise (a passage many
-documents share) is split again on the next ``RUNS`` tokens; a large one whose
-sets agree otherwise (a group of near copies) cannot be split and is compared
-in blocks, spread over tasks. A link is lost only if none of ``RUNS`` tokens
-agrees on a level, 0.2 ** 8 = 0.0003 % at similarity 0.8.
+by brute force. A large one (a passage many documents share) is split again on
+the next ``runs`` tokens, if that at least halves the pairs to compare; else
+(a group of near copies, which no token parts) it is compared in blocks,
+spread over tasks. A link is lost only if none of the 8 tokens agrees on a
+level, 0.2 ** 8 = 0.0003 % at similarity 0.8.
 
 A pair belongs to the first path on which it meets, so it is compared exactly
 once and links are counted where they are found: no pair is ever a row.
@@ -36,8 +36,9 @@ class Paths:
     similarity: float = 0.8
     recall: float = 0.99999
     hashes: int = 64
-    # Sets a bucket may hold to be compared in one piece.
+    # Sets a bucket may hold to be compared in one piece, and to be compared without a look at a split.
     block: int = 512
+    split: int = 2048
     seed: int = 9
 
     @property
@@ -143,21 +144,19 @@ def blocks(texts: DataFrame, paths: Paths) -> DataFrame:
     first = texts.select("row", _tokens(0, paths).alias("k", "token"))
     rows = _met(first.select("row", F.xxhash64("k", "token").alias("bucket"), F.array("k").alias("path")))
     rows = frozen(rows)
-    out, level = [rows.where(F.col("n") <= paths.block)], 1
+    out, whole, level = [rows.where(F.col("n") <= paths.block)], [], 1
     large = rows.where(F.col("n") > paths.block)
-    whole = []
     while not large.isEmpty():
-        deeper = (level + 1) * paths.runs <= paths.hashes
-        sets = large.join(texts.select(F.col("row").alias("of"), "sig"), F.col("row") == F.col("of")).drop("of")
-        if not deeper:
+        if (level + 1) * paths.runs > paths.hashes:
             whole.append(large)
             break
-        other = sets.groupBy("bucket").agg(F.approx_count_distinct(F.get("sig", F.lit(level * paths.runs))).alias("others"))
-        other = frozen(other.withColumnRenamed("bucket", "in"))
-        judged = sets.join(other, F.col("bucket") == F.col("in"))
-        alike = F.col("others") * 2 < F.col("n")
-        whole.append(frozen(judged.where(alike).select("row", "bucket", "path", "n")))
-        split = judged.where(~alike).select("row", "bucket", "path", _tokens(level, paths).alias("k", "token"))
+        sets = large.where(F.col("n") > paths.split).join(texts.select(F.col("row").alias("of"), "sig"), F.col("row") == F.col("of"))
+        # Pairs that the next token leaves together, against all pairs of the bucket.
+        left = sets.groupBy("bucket", "n", F.get("sig", F.lit(level * paths.runs)).alias("token")).agg(F.count("*").alias("same"))
+        left = left.groupBy("bucket", "n").agg(F.sum(F.col("same") * F.col("same")).alias("pairs"))
+        gain = frozen(left.where(2 * paths.runs * F.col("pairs") < F.col("n") * F.col("n")).select(F.col("bucket").alias("in")))
+        whole.append(large.join(gain, F.col("bucket") == F.col("in"), "left_anti"))
+        split = sets.join(gain, F.col("bucket") == F.col("in")).select("row", "bucket", "path", _tokens(level, paths).alias("k", "token"))
         split = split.select("row", F.xxhash64("bucket", "k", "token").alias("bucket"), F.array_append("path", F.col("k")).alias("path"))
         rows = frozen(_met(split))
         out.append(rows.where(F.col("n") <= paths.block))
@@ -165,13 +164,13 @@ def blocks(texts: DataFrame, paths: Paths) -> DataFrame:
         level += 1
     small = [r.select(F.col("bucket").alias("block"), F.lit(0).alias("part"), F.lit(False).alias("cross"), "path", "row") for r in out]
     for r in whole:
+        # A row is in one block with each part: with its own, and crossed with every other.
         parts = F.ceil(F.col("n") / paths.block).cast("int")
         r = r.withColumn("part", F.pmod(F.xxhash64("row"), parts).cast("int"))
         r = r.withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
         pair = F.xxhash64("bucket", F.least("part", "with"), F.greatest("part", "with"))
         cross = F.col("part") != F.col("with")
         small.append(r.select(pair.alias("block"), "part", cross.alias("cross"), "path", "row"))
-        # A part of a crossed block meets the other one; the row is there for either.
     return reduce(DataFrame.unionByName, small)
 
 

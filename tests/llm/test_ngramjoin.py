@@ -65,11 +65,11 @@ def corpus(seed=6, singles=60, group=40):
     return [(k, " ".join(t)) for k, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("block", [512, 12])
-def test_join_equals_all_against_all(spark, block):
-    """A small block makes buckets split and near copies meet in crossed blocks."""
+@pytest.mark.parametrize(("block", "split"), [(512, 2048), (12, 14)])
+def test_join_equals_all_against_all(spark, block, split):
+    """Small blocks make buckets split and near copies meet in crossed blocks."""
     rows = corpus()
-    got = N.join(spark.createDataFrame(rows, "doc_id long, text string"), replace(N.Paths(), block=block)).collect()
+    got = N.join(spark.createDataFrame(rows, "doc_id long, text string"), replace(N.Paths(), block=block, split=split)).collect()
     assert sorted(map(tuple, got)) == sorted(plain_join(rows))
 
 
