@@ -37,8 +37,8 @@ class Paths:
     recall: float = 0.99999
     hashes: int = 64
     # Sets a bucket may hold to be compared in one piece, and to be compared without a look at a split.
-    block: int = 512
-    split: int = 2048
+    block: int = 1024
+    split: int = 16 * 1024
     seed: int = 9
 
     @property

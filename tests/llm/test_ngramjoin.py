@@ -65,7 +65,7 @@ def corpus(seed=6, singles=60, group=40):
     return [(k, " ".join(t)) for k, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize(("block", "split"), [(512, 2048), (12, 14)])
+@pytest.mark.parametrize(("block", "split"), [(1024, 16384), (12, 14)])
 def test_join_equals_all_against_all(spark, block, split):
     """Small blocks make buckets split and near copies meet in crossed blocks."""
     rows = corpus()
