@@ -10,9 +10,11 @@ term: a passage visits a block only if the maxima of its terms reach the
 threshold, and every entry above the threshold is found. The passages of a
 batch are scored together, in numpy.
 
-What is found is verified on the words: of the item's question (all sentences
-but the last) and of its answer (the last one), enough runs of five words have
-to stand in the text.
+What is found is verified on the words: of the runs of the item's question (all
+sentences but the last) and of its answer (the last one), taken together, half
+have to stand in the text. A part's runs are so short that one changed word
+leaves half of them (five words at most). Where the item asks a question, an
+answer of ``RUN`` words or more has to stand there by itself too.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ BATCH_WORDS = 1 << 16
 
 words_of = re.compile(r"\w+").findall
 _sentence = re.compile(r"(?<=[.?!])\s+")
+_asks = re.compile(r"\?\s").search
 
 
 def parts(text: str) -> tuple[list[str], list[str]]:
@@ -55,15 +58,24 @@ def runs(words: list[str], n: int) -> list[tuple[str, ...]]:
     return list(zip(*[words[k:] for k in range(n)], strict=False))
 
 
-def share(part: list[str], text: list[str], known: dict[int, set]) -> float:
-    """Share of the part's runs of five words (fewer, if it is shorter) that stand in the text."""
-    n = min(RUN, len(part))
+def run_length(words: int) -> int:
+    """Words of a run: one changed word leaves half of a part's runs; a part of fewer than ``RUN`` words is one run."""
+    return words if words < RUN else min(RUN, (words + 1) // 3)
+
+
+def held(part: list[str], text: list[str], known: dict[int, set]) -> tuple[int, int]:
+    """How many of the part's runs stand in the text, and how many it has."""
+    n = run_length(len(part))
     if not n:
-        return 1.0
+        return 0, 0
     if n not in known:
         known[n] = set(runs(text, n))
     own = runs(part, n)
-    return sum(r in known[n] for r in own) / len(own)
+    return sum(r in known[n] for r in own), len(own)
+
+
+def share(count: int, of: int) -> float:
+    return count / of if of else 1.0
 
 
 @dataclass
@@ -73,6 +85,7 @@ class Index:
     items: list
     questions: list[list[str]]
     answers: list[list[str]]
+    asks: list[bool]  # whether the item's question is one
     terms: dict[str, int]
     owner: np.ndarray  # item of each entry
     most: np.ndarray  # term x block: largest impact
@@ -107,7 +120,7 @@ class Index:
                 table[local[b, ids_of], e] = value / value.sum()
             most[ids, b] = table[1:].max(axis=1)
             impacts.append(table)
-        return cls(items, [q for q, _ in split], [a for _, a in split], terms, np.array(owner, dtype=np.int64), most, local, impacts)
+        return cls(items, [q for q, _ in split], [a for _, a in split], [bool(_asks(t)) for t in texts], terms, np.array(owner, dtype=np.int64), most, local, impacts)
 
     def search(self, texts: list[list[str]], threshold: float = THRESHOLD) -> list[tuple[int, int, int, float]]:
         """(text, item, first word of the passage, score) of every passage and entry at or above the threshold."""
@@ -161,10 +174,19 @@ class Index:
         known: dict[int, dict[int, set]] = {}
         for (text, item), (score, at) in sorted(best.items()):
             runs_of = known.setdefault(text, {})
-            question = share(self.questions[item], texts[text], runs_of)
-            answer = share(self.answers[item], texts[text], runs_of)
-            if question >= OVERLAP and answer >= OVERLAP:
-                yield text, item, -at, score, question, answer
+            question, answer = held(self.questions[item], texts[text], runs_of), held(self.answers[item], texts[text], runs_of)
+            if self.is_held(item, question, answer):
+                yield text, item, -at, score, share(*question), share(*answer)
+
+    def is_held(self, item: int, question: tuple[int, int], answer: tuple[int, int]) -> bool:
+        """Whether enough of the runs of both parts together are held."""
+        both = share(question[0] + answer[0], question[1] + answer[1])
+        words = len(self.questions[item]) + len(self.answers[item])
+        if words < RUN:
+            return both == 1
+        if self.asks[item] and len(self.answers[item]) >= RUN and share(*answer) < OVERLAP:
+            return False
+        return both >= OVERLAP
 
 
 def chunked(words: list[str]) -> list[list[str]]:

@@ -89,3 +89,45 @@ def test_many_items_are_searched_index_by_index(spark, monkeypatch):
     assert len(D.indexes(bench)) > 1
     found = D.find_items(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), bench).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == set(planted.items())
+
+
+def edited(words, rate, rng):
+    """Words of which a share (one at least) is replaced."""
+    out = list(words)
+    for k in rng.sample(range(len(out)), max(1, round(rate * len(out)))):
+        out[k] = f"changed{k}"
+    return out
+
+
+def test_an_edit_in_a_short_sentence_does_not_hide_a_leak(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    item = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [(item(rng.randrange(14, 50)), item(n)) for n in (1, 2, 3, 4, 5, 8, 12, 13) * 4]
+    bench = spark.createDataFrame([(k, f"{' '.join(q)}. {' '.join(a)}.") for k, (q, a) in enumerate(items)], "item_id long, text string")
+    docs = []
+    for k, (q, a) in enumerate(items):
+        for at in range(len(q), len(q + a)):  # every word of the last sentence, by turns
+            words = q + a
+            docs.append((k, " ".join([*item(50), *words[:at], "changed", *words[at + 1 :], *item(50)])))
+        docs.append((k, " ".join([*item(50), *edited(q + a, 0, rng), *item(50)])))
+        if len(q) >= 2 * len(a):  # no question is asked, so the rest is most of the item
+            docs.append((k, " ".join([*item(50), *q, *item(50)])))
+    found = D.find_items(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert len(docs) > 200 and sorted((r["doc_id"], r["item_id"]) for r in found) == sorted((k, k) for k, _ in docs)
+
+
+def test_one_changed_word_leaves_half_of_a_part():
+    for n in range(D.RUN, 80):
+        words = [f"w{k}" for k in range(n)]
+        for at in range(n):
+            count, of = D.held(words, [*words[:at], "changed", *words[at + 1 :]], {})
+            assert count >= D.OVERLAP * of
+
+
+def test_an_asked_item_needs_a_long_answer_only(spark):
+    question = "which of the seven rivers in the north carries the most water in the spring of a wet year"
+    bench = spark.createDataFrame([(1, f"{question}? the long grey river below the glacier."), (2, f"tell {question}? blue.")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {question} the long grey stream below the glacier"), (2, f"x {question} y z"), (3, f"tell {question} green")], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in D.find_items(docs, bench).collect()}
+    assert (1, 1) in found and (2, 1) not in found and (3, 1) not in found and (3, 2) in found
