@@ -15,10 +15,16 @@ from quadra.llm.common import documents, packed, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; null texts and texts without a letter go."""
+    """Documents in one of the labelled languages, as surely as nearly all labelled ones.
+
+    Null texts, texts without a letter and those below a cut go: other
+    languages, code and garbled texts.
+    """
     model = langid.train(docs.select("doc_id", "text", "lang"))
-    judged = docs.select(packed(docs), langid.identify(F.col("text"), model).alias("found"))
-    return judged.where(F.col("found.lang_pred") != langid.UNKNOWN).select("body.*")
+    score, likeness = langid.cuts(docs.select("text", "lang"), model)
+    judged = docs.select(packed(docs), langid.judge(F.col("text"), model).alias("found"))
+    sure = (F.col("found.score") >= score) & (F.col("found.likeness") >= likeness)
+    return judged.where((F.col("found.lang_pred") != langid.UNKNOWN) & sure).select("body.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ trigrams of the UTF-8 bytes are counted. Linear support vector machines, one
 for each pair of classes, vote: first the pairs of families, then the pairs of
 languages of the family that won. A pair's margin is the mean weight over a
 text's trigrams, so a whole text is scored by look-ups in one weight table,
-whatever its length.
+whatever its length. The vote always has a winner; whether a text is in a known
+language at all is judged by the certainty and by how usual its trigrams are
+in the winner (``judge``), with cuts from all labelled rows (``cuts``).
 """
 
 from __future__ import annotations
@@ -25,6 +27,10 @@ TRAIN_ROWS = 1600
 BITS = 13
 UNKNOWN = "und"
 EPOCHS, COST, SEED = 20, 10.0, 1
+# Share of the correctly identified labelled rows that the cuts may reject at most; steps of their histograms.
+MAX_LOSS, STEPS = 0.002, 1024
+# Weight of equally likely trigrams, for those that a language's training rows lack.
+SMOOTH = 1 / 16
 # Language families (fixed values); a language that is not listed is a family of its own.
 FAMILIES = {
     "romance": ("ca", "es", "fr", "gl", "it", "la", "oc", "pt", "ro"),
@@ -120,11 +126,16 @@ class Votes:
 class Identifier:
     families: Votes
     languages: dict[str, Votes]
+    usual: dict[str, np.ndarray] = field(default_factory=dict)  # of each language: bits by which a trigram is likelier than by chance
 
     @classmethod
     def fit(cls, x: np.ndarray, langs: np.ndarray) -> Identifier:
         of = np.array([family(lang) for lang in langs], dtype=object)
-        return cls(Votes.fit(x, of), {f: Votes.fit(x[of == f], langs[of == f]) for f in sorted(set(of))})
+        usual = {}
+        for lang in sorted(set(langs)):
+            total = x[langs == lang].sum(axis=0, dtype=np.float64)
+            usual[lang] = np.log2((total / (total.sum() or 1.0) * len(total) + SMOOTH) / (1 + SMOOTH))
+        return cls(Votes.fit(x, of), {f: Votes.fit(x[of == f], langs[of == f]) for f in sorted(set(of))}, usual)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and certainty (0 to 1); ``und`` and 0 for null, for texts without a letter, or if nothing was learned."""
@@ -137,6 +148,11 @@ class Identifier:
         return lang, min(first, second)
 
 
+    def likeness(self, text: str | None, lang: str) -> float:
+        """Bits by which a trigram of the text is likelier in the language than by chance, on average."""
+        return float(self.usual[lang][trigrams(text)].mean()) if lang in self.usual else 0.0
+
+
 def unit(codes: np.ndarray) -> float:
     """Length of a text's trigram count vector."""
     counts = np.bincount(codes, minlength=1 << BITS).astype(np.float64)
@@ -177,6 +193,37 @@ def identify(text: Column, model: Identifier) -> Column:
     return predict(text)
 
 
+def judge(text: Column, model: Identifier) -> Column:
+    """lang_pred, score and likeness of a text column, as a struct."""
+
+    @F.pandas_udf("lang_pred string, score double, likeness double")
+    def judged(texts: pd.Series) -> pd.DataFrame:
+        found = [(t, *model.predict(t)) for t in texts]
+        return pd.DataFrame([(lang, score, model.likeness(t, lang)) for t, lang, score in found], columns=["lang_pred", "score", "likeness"])
+
+    return judged(text)
+
+
+def cuts(labelled: DataFrame, model: Identifier, max_loss: float = MAX_LOSS) -> tuple[float, float]:
+    """Least score and least likeness, that together reject at most ``max_loss`` of the correctly identified rows.
+
+    The highest, in steps of 1 / ``STEPS``, that each reject at most half of
+    that. All rows with lang and text count; if none is identified correctly
+    nothing is rejected.
+    """
+    known = bounded_batches(labelled).where("lang is not null and text is not null")
+    right = known.select("lang", judge(F.col("text"), model).alias("p")).where(F.col("p.lang_pred") == F.col("lang"))
+    either = right.select(F.posexplode(F.array("p.score", "p.likeness")).alias("kind", "value"))
+    found = either.groupBy("kind", F.floor(F.col("value") * STEPS).alias("step")).count().toPandas().sort_values("step")
+
+    def least(own: pd.DataFrame) -> float:
+        below = own["count"].cumsum() - own["count"]
+        allowed = below <= max_loss / 2 * own["count"].sum()
+        return float(own["step"][allowed].iloc[-1]) / STEPS if len(own) else -np.inf
+
+    return least(found[found["kind"] == 0]), least(found[found["kind"] == 1])
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from those whose id's crc32 modulo 4 is not 2.
 

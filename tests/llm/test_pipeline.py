@@ -4,7 +4,7 @@ import corpus_pipeline as P
 import pytest
 from pyspark.sql import functions as F
 
-from quadra.llm import registry
+from quadra.llm import langid, registry
 
 QUESTION = "which of the seven rivers in the north carries the most water in the spring of a wet year? the long grey one below the glacier."
 
@@ -62,3 +62,42 @@ def test_every_operator_has_one_query():
     numbers = sorted(int(q[2:].split("_")[0]) for q in registry.QUERIES)
     assert numbers == list(range(1, 11)) and set(registry.ORACLE_SQL) <= set(registry.QUERIES)
     assert len(P.STAGES) == 5
+
+
+FOREIGN = [
+    "os meninos correm pela rua enquanto a chuva cai sobre as casas velhas da cidade e ninguem quer sair de casa hoje",
+    "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem",
+    "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью",
+    "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待",
+    "bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana sahiptirler",
+]
+GARBLED = ["for(int i=0;i<n;i++){x[i]+=y[j]*z;} if(!p)return NULL; while(k--){q->n=q;}", "@@## a $$%% ^^&& ** (( )) x !! ~~ == ++", "x" * 500]
+
+
+def test_language_stage_rejects_what_it_never_learned(spark):
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(60)) for _ in range(5)]
+    planted = [t for text in (*FOREIGN, *GARBLED, *noise) for t in (text, " ".join([text] * 20))]
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    own = spark.createDataFrame([(-k - 1, t, None) for k, t in enumerate(planted)], known.schema)
+    kept = {r["doc_id"] for r in P.language(spark, known.unionAll(own), "").select("doc_id").collect()}
+    assert not [planted[-k - 1][:40] for k in kept if k < 0]
+    judged = known.select("doc_id", "lang", langid.identify(known["text"], langid.train(known)).alias("p")).collect()
+    right = [r["doc_id"] in kept for r in judged if r["lang"] == r["p"]["lang_pred"]]
+    assert right.count(False) <= langid.MAX_LOSS * len(right)
+
+
+def test_cuts_lose_no_more_than_they_may(spark):
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.train(known)
+    judged = [(r["lang"], r["text"], *model.predict(r["text"])) for r in known.collect()]
+    right = [(score, model.likeness(t, lang)) for lang, t, found, score in judged if found == lang]
+    for loss in (0.0, 0.002, 0.05, 0.5):
+        for least, values in zip(langid.cuts(known, model, loss), zip(*right, strict=True), strict=True):
+            assert sum(v < least for v in values) <= loss / 2 * len(values) < sum(v < least + 1 / langid.STEPS for v in values)
+    assert langid.cuts(known.limit(0), model) == (-float("inf"), -float("inf"))
+    french = known.where("lang = 'fr'")
+    alone = langid.train(french)
+    least = langid.cuts(french, alone)
+    assert least[0] == 1 and all(alone.likeness(t, "fr") < least[1] for t in (*FOREIGN, *GARBLED))
