@@ -2,15 +2,9 @@
 
 from __future__ import annotations
 
-import sys
-from pathlib import Path
-
 import pytest
 
-ROOT = Path(__file__).resolve().parent.parent
-sys.path.insert(0, str(ROOT))
-
-from quadra.session import local_session  # noqa: E402
+from quadra.session import local_session
 
 
 @pytest.fixture(scope="session")
