@@ -1,6 +1,6 @@
 """The queries of the training-data operators and their DuckDB SQL, where SQL can express them."""
 
-from quadra.llm import anomaly, chat, decontaminate, langid, linededup, mixing, ngramjoin, quality, secrets, sharding
+from quadra.llm import anomaly, chat, decontaminate, langid, linededup, mixing, ngramjoin, prefixtrie, quality, secrets, sharding
 
 QUERIES = {
     "op1_bounded_ring": sharding.op1_bounded_ring,
@@ -13,10 +13,12 @@ QUERIES = {
     "op8_language": langid.op8_language,
     "op9_ngram_join": ngramjoin.op9_ngram_join,
     "op10_bradley_terry": quality.op10_bradley_terry,
+    "op11_prefix_trie": prefixtrie.op11_prefix_trie,
 }
 ORACLE_SQL = {
     "op3_secrets": secrets.OP3_SQL,
     "op4_chat": chat.OP4_SQL,
     "op6_line_dedup": linededup.OP6_SQL,
     "op7_mixed": mixing.OP7_SQL,
+    "op11_prefix_trie": prefixtrie.OP11_SQL,
 }
