@@ -1,6 +1,6 @@
 """The queries of the training-data operators and their DuckDB SQL, where SQL can express them."""
 
-from quadra.llm import anomaly, chat, decontaminate, langid, linededup, mixing, ngramjoin, prefixtrie, quality, secrets, sharding
+from quadra.llm import anomaly, chat, decontaminate, langid, linededup, mixing, ngramjoin, prefixtrie, quality, secrets, sharding, whitening
 
 QUERIES = {
     "op1_bounded_ring": sharding.op1_bounded_ring,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_ngram_join": ngramjoin.op9_ngram_join,
     "op10_bradley_terry": quality.op10_bradley_terry,
     "op11_prefix_trie": prefixtrie.op11_prefix_trie,
+    "op12_whitened": whitening.op12_whitened,
 }
 ORACLE_SQL = {
     "op3_secrets": secrets.OP3_SQL,
