@@ -1,6 +1,6 @@
 """The queries of the training-data operators and their DuckDB SQL, where SQL can express them."""
 
-from quadra.llm import anomaly, chat, decontaminate, langid, linededup, mixing, ngramjoin, prefixtrie, quality, secrets, sharding, whitening
+from quadra.llm import anomaly, chat, decontaminate, htmltree, langid, linededup, mixing, ngramjoin, prefixtrie, quality, secrets, sharding, whitening
 
 QUERIES = {
     "op1_bounded_ring": sharding.op1_bounded_ring,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_bradley_terry": quality.op10_bradley_terry,
     "op11_prefix_trie": prefixtrie.op11_prefix_trie,
     "op12_whitened": whitening.op12_whitened,
+    "op13_html": htmltree.op13_html,
 }
 ORACLE_SQL = {
     "op3_secrets": secrets.OP3_SQL,
