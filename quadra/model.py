@@ -42,6 +42,8 @@ PARTITION_COLUMNS = (ANO, TRIMESTRE)
 # Texts of typed columns that could not be read, as a JSON object by column
 # (null where all could); so no landing value is lost.
 UNREAD = "VALORES_NAO_LIDOS"
+# Its entry for the whole text of a record with more or fewer fields than its header.
+UNREAD_RECORD = "REGISTRO"
 
 # Types forced at raw write; a column that is not listed is a string in every
 # layer, so a year that holds only digits never clashes with the next one.

@@ -52,6 +52,21 @@ def landing_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_landing(spark, _landed(spark, sf_dir))
 
 
+def landing_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder that holds the files of both formats side by side, every row."""
+    return lake.read_landing(spark, adapter.write_landing_files(spark, sf_dir, fresh_path(spark, "landing"), together=True))
+
+
+def landing_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records over several lines, with fields to spare and with missing ones, every record."""
+    return lake.read_landing(spark, [adapter.write_malformed_files(spark, sf_dir, fresh_path(spark, "malformed"))])
+
+
+def malformed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed records counted by year with the other unread texts."""
+    return Q.unread_values(landing_malformed(spark, sf_dir))
+
+
 def harmonise_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 + P4 (+P3): both file groups' year, month and quarter after renaming and casting."""
     raw = lake.read_landing(spark, _landed(spark, sf_dir))
@@ -269,6 +284,9 @@ def _from_tables(name: str, report: Callable[[DataFrame], DataFrame]) -> Callabl
 # Queries that exercise the landing scan, the lake and the derivations.
 SOURCE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_union": landing_union,
+    "landing_directory": landing_directory,
+    "landing_malformed": landing_malformed,
+    "malformed_records": malformed_records,
     "harmonise_columns": harmonise_columns,
     "lake_roundtrip": lake_roundtrip,
     "schema_merge_scan": schema_merge_scan,

@@ -110,6 +110,25 @@ files AS (
     FROM raw
 )"""
 
+# Records written out as text: remarks over two lines, fields to spare, missing ones.
+MALFORMED = """
+records AS (
+    SELECT NUM_BO, VERSAO, ANO, CAST(NUM_BO AS BIGINT) % 17 = 0 AS more,
+      CAST(NUM_BO AS BIGINT) % 17 <> 0 AND CAST(NUM_BO AS BIGINT) % 19 = 0 AS less, MES, TRIMESTRE, BAIRRO,
+      CASE WHEN CAST(NUM_BO AS BIGINT) % 11 = 0
+           THEN 'linha 1' || chr(10) || 'disse "' || CAST(CAST(NUM_BO AS BIGINT) % 10 AS VARCHAR) || '", fim' ELSE 'ok' END AS remark,
+      NUM_BO || ',' || VERSAO || ',' || coalesce(CAST(ANO AS VARCHAR), '') AS head
+    FROM raw
+),
+malformed AS (
+    SELECT NUM_BO, VERSAO, ANO, CASE WHEN NOT less THEN MES END AS MES, CASE WHEN NOT less THEN TRIMESTRE END AS TRIMESTRE,
+      CASE WHEN NOT less THEN BAIRRO END AS BAIRRO, CASE WHEN NOT less THEN remark END AS OBSERVACAO,
+      CASE WHEN less THEN CAST(json_object('REGISTRO', head) AS VARCHAR)
+           WHEN more THEN CAST(json_object('REGISTRO', head || ',' || coalesce(CAST(MES AS VARCHAR), '') || ','
+             || coalesce('"' || BAIRRO || '"', '') || ',"' || replace(remark, '"', '""') || '",sobra,"x, y"') AS VARCHAR) END AS VALORES_NAO_LIDOS
+    FROM records
+)"""
+
 _NORMALISED = f"""array_to_string(list_transform(string_split(trim(regexp_replace(regexp_replace(
           strip_accents(upper(trim(replace(replace(BAIRRO, 'Ⅷ', 'VIII'), 'ＪＤ ＰＡＺ', 'JD PAZ')))), '[^A-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g')), ' '),
           lambda t: coalesce({_ABBREV_MAP}[t], t)), ' ')"""
@@ -227,6 +246,14 @@ ORACLE_SQL: dict[str, str] = {
        DATA_OCORRENCIA_BO, OBSERVACAO,
        CASE WHEN len(lost) > 0 THEN '{' || array_to_string(lost, ',') || '}' END AS VALORES_NAO_LIDOS
 FROM files""",
+    "landing_directory": _with(FILES)
+    + """SELECT NUM_BO, VERSAO, CAST(ANO_BO AS VARCHAR) AS ANO_BO, ANO, MES, TRIMESTRE, BAIRRO, LATITUDE, LONGITUDE,
+       DATA_OCORRENCIA_BO, OBSERVACAO,
+       CASE WHEN len(lost) > 0 THEN '{' || array_to_string(lost, ',') || '}' END AS VALORES_NAO_LIDOS
+FROM files""",
+    "landing_malformed": _with(MALFORMED) + "SELECT * FROM malformed",
+    "malformed_records": _with(MALFORMED)
+    + "SELECT ANO, 'REGISTRO' AS coluna, count(*) AS linhas FROM malformed WHERE VALORES_NAO_LIDOS IS NOT NULL GROUP BY ANO",
     "harmonise_columns": _with(FILES) + "SELECT NUM_BO, VERSAO, ANO, MES, TRIMESTRE FROM files",
     "unread_values": _with(FILES)
     + """SELECT ANO, split_part(item, '"', 2) AS coluna, count(*) AS linhas

@@ -197,12 +197,13 @@ LANDED = frozenset(
 
 
 def write_landing_files(
-    spark: SparkSession, sf_dir: str, root: str, columns: frozenset[str] | None = LANDED
+    spark: SparkSession, sf_dir: str, root: str, columns: frozenset[str] | None = LANDED, together: bool = False
 ) -> list[str]:
     """Two drifting CSV file groups that together hold every landing row (``columns`` None: whole).
 
     Dates are day first in a third of the rows and unreadable in some, some
-    months are words, report numbers have leading zeros.
+    months are words, report numbers have leading zeros. Each group has a folder
+    of its own, or the files of both lie side by side in one.
     """
     rows = landing_incidents(spark, sf_dir, columns)
     key, date = F.col(M.NUM_BO).cast("bigint"), F.col(M.DATA_OCORRENCIA_BO)
@@ -223,5 +224,27 @@ def write_landing_files(
     }
     options = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     for name, group in groups.items():
-        group.write.options(**options).csv(f"{root}/{name}")
-    return [f"{root}/{name}" for name in groups]
+        group.write.mode("append").options(**options).csv(root if together else f"{root}/{name}")
+    return [root] if together else [f"{root}/{name}" for name in groups]
+
+
+# Files that the malformed records are dealt to.
+MALFORMED_FILES = 32
+MALFORMED_HEADER = (M.NUM_BO, M.VERSAO, M.ANO, M.MES, M.BAIRRO, REMARK)
+
+
+def write_malformed_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Every landing row as a CSV record written out as text: in some a remark with quotes goes
+    over two lines, some have fields to spare, some end after the year."""
+    rows = landing_incidents(spark, sf_dir, {M.NUM_BO, M.VERSAO, M.ANO, M.MES, M.BAIRRO})
+    key = F.col(M.NUM_BO).cast("bigint")
+    remark = F.when(key % 11 == 0, F.concat(F.lit('linha 1\ndisse ""'), (key % 10).cast("string"), F.lit('"", fim'))).otherwise(F.lit("ok"))
+    head = F.concat_ws(",", M.NUM_BO, M.VERSAO, F.coalesce(F.col(M.ANO).cast("string"), F.lit("")))
+    district = F.when(F.col(M.BAIRRO).isNull(), F.lit("")).otherwise(F.concat(F.lit('"'), M.BAIRRO, F.lit('"')))
+    whole = F.concat_ws(",", head, F.coalesce(F.col(M.MES).cast("string"), F.lit("")), district, F.concat(F.lit('"'), remark, F.lit('"')))
+    record = F.when(key % 17 == 0, F.concat(whole, F.lit(',sobra,"x, y"'))).when(key % 19 == 0, head).otherwise(whole)
+    dealt = rows.select(F.pmod(F.xxhash64(M.NUM_BO), F.lit(MALFORMED_FILES)).alias("file"), F.lit(1).alias("place"), record.alias("value"))
+    headers = spark.range(MALFORMED_FILES).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit(",".join(MALFORMED_HEADER)).alias("value"))
+    files = dealt.unionByName(headers).repartition(MALFORMED_FILES, "file").sortWithinPartitions("file", "place").select("file", "value")
+    files.write.partitionBy("file").text(root)
+    return root

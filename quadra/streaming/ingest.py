@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quadra import model as M
 from quadra.plans import etl, jobs
-from quadra.sources import lake
+from quadra.sources import lake, landing
 
 
 def read_raw(spark: SparkSession, raw_root: str) -> DataFrame:
@@ -59,14 +59,16 @@ def start_ingest(
 ) -> StreamingQuery:
     """Ingest every landing file not seen before, then stop (``availableNow``).
 
-    ``schema`` is the landing files' schema (streams need it declared).
+    ``schema`` is the landing files' schema (streams need it declared; of CSV its
+    names, which are read as text).
     Partition keys of the batch are collected (bounded by the number of
     partitions) to restrict the transformed rebuild — and, given the lake's
     ``side_base``, the refresh of the side tables — to those partitions.
     """
     reader = spark.readStream.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        # Read as the batch job reads them: text, records over lines, malformed ones kept.
+        reader = spark.readStream.schema(landing.csv_schema(schema.names)).options(**landing.CSV_OPTIONS, multiLine="true")
     stream = reader.format(fmt).load(landing_dir)
 
     return (

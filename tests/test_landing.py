@@ -1,0 +1,101 @@
+"""Landing folders: drifting headers, records over lines, malformed records, one reader for batch and stream."""
+
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql.types import StructType
+
+from quadra import model as M
+from quadra.operators import quality as Q
+from quadra.plans import etl
+from quadra.sources import lake, landing
+from quadra.streaming.ingest import start_ingest
+
+OLD = "NUM_BO,ANO,MES,BAIRRO\nA1,2024,1,CENTRO\nA2,2024,4,\"JD, SUL\"\n"
+NEW = "BAIRRO,MES_REGISTRO_BO,ANO_REGISTRO_BO,NUM_BO\nMOEMA,8,2025,B1\n"
+MESSY = (
+    'NUM_BO,ANO,MES,BAIRRO\nC1,2024,1,"A\nB"\nC2,2024,2,"say ""hi"" now"\nC3,2024,3,""\nC4,2024,4,\nC5,2024,5,X,more,"y, z"\n'
+    "C6,2024\nC7,rua x,2024,7,CENTRO\n\nC8,2024,12,12\" W\n"
+)
+
+
+def _folder(scratch, **files) -> str:
+    folder = Path(scratch) / "landing"
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+def _rows(df):
+    return {r[M.NUM_BO]: r for r in df.collect()}
+
+
+def test_folder_of_drifting_files_equals_separate_reads(spark, scratch):
+    folder = _folder(scratch, a2024=OLD, b2025="﻿" + NEW, c=NEW.replace("B1", "B2"), empty="", header="NUM_BO,ANO,OUTRA\n")
+    whole = lake.read_landing(spark, [folder])
+    apart = lake.read_landing(spark, [f"{folder}/a2024.csv", f"{folder}/b2025.csv", f"{folder}/c.csv", f"{folder}/header.csv"])
+    assert sorted(map(repr, whole.select(sorted(whole.columns)).collect())) == sorted(map(repr, apart.select(sorted(apart.columns)).collect()))
+    got = {k: (r[M.ANO], r[M.MES], r[M.TRIMESTRE], r[M.BAIRRO]) for k, r in _rows(whole).items()}
+    assert got == {"A1": (2024, 1, 1, "CENTRO"), "A2": (2024, 4, 2, "JD, SUL"), "B1": (2025, 8, 3, "MOEMA"), "B2": (2025, 8, 3, "MOEMA")}
+    assert {r[M.UNREAD] for r in whole.collect()} == {None}
+
+
+@pytest.mark.parametrize("split", ["128m", "64b"])
+def test_messy_records_survive(spark, scratch, split):
+    folder = _folder(scratch, messy=MESSY, plain=OLD * 1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = _rows(lake.read_landing(spark, [folder]))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 10
+    assert rows["C1"][M.BAIRRO] == "A\nB" and rows["C2"][M.BAIRRO] == 'say "hi" now' and rows["C8"][M.BAIRRO] == '12" W'
+    assert rows["C3"][M.BAIRRO] == "" and rows["C4"][M.BAIRRO] is None and rows["A2"][M.BAIRRO] == "JD, SUL"
+    kept = {k: json.loads(r[M.UNREAD])[M.UNREAD_RECORD] for k, r in rows.items() if r[M.UNREAD]}
+    assert kept == {"C5": 'C5,2024,5,X,more,"y, z"', "C6": "C6,2024", "C7": "C7,rua x,2024,7,CENTRO"}
+    assert rows["C5"][M.ANO] == 2024 and rows["C6"][M.MES] is None and rows["C7"][M.ANO] is None
+
+
+def test_only_large_files_with_open_quotes_are_read_whole(spark, scratch):
+    folder = _folder(scratch, messy=MESSY, plain=OLD)
+    files = landing.listed(spark, folder)
+    assert [Path(p).name for p, _, _ in files] == ["messy.csv", "plain.csv"] and landing.over_lines(spark, files) == set()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32")
+    try:
+        assert {Path(p).name for p in landing.over_lines(spark, files)} == {"messy.csv"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_malformed_records_are_counted(spark, scratch):
+    counts = Q.unread_values(lake.read_landing(spark, [_folder(scratch, messy=MESSY)]))
+    assert {(r[M.ANO], r["coluna"]): r["linhas"] for r in counts.collect()} == {(2024, M.UNREAD_RECORD): 2, (None, M.UNREAD_RECORD): 1}
+
+
+def test_a_bad_year_in_a_well_formed_record_still_fails(spark, scratch):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        lake.read_landing(spark, [_folder(scratch, bad="NUM_BO,ANO,MES\nA1,dois mil,1\n")]).collect()
+
+
+def test_parquet_files_of_different_schemas(spark, scratch):
+    one = spark.createDataFrame([("P1", 2024, 5)], "NUM_BO string, ANO long, MES int")
+    two = spark.createDataFrame([("7", "2025", "x")], "MES_REGISTRO_BO string, ANO_REGISTRO_BO string, NUM_BO string")
+    folder = f"{scratch}/parquet"
+    one.write.parquet(folder)
+    two.write.mode("append").parquet(folder)
+    got = {(r[M.NUM_BO], r[M.ANO], r[M.TRIMESTRE]) for r in lake.read_landing(spark, [folder], "parquet").collect()}
+    assert got == {("P1", 2024, 2), ("x", 2025, 3)}
+
+
+def test_the_stream_reads_as_the_batch_does(spark, scratch):
+    folder = _folder(scratch, messy=MESSY)
+    schema = "NUM_BO string, ANO int, MES int, BAIRRO string"
+    start_ingest(spark, folder, StructType.fromDDL(schema), f"{scratch}/raw", f"{scratch}/out", f"{scratch}/ckpt").awaitTermination()
+    streamed = lake.read_layer(spark, f"{scratch}/out")
+    batch = etl.transformed_layer(lake.read_landing(spark, [folder]))
+    columns = [M.NUM_BO, M.ANO, M.MES, M.BAIRRO, M.BAIRRO_ORIGINAL, M.UNREAD]
+    assert sorted(map(repr, streamed.select(columns).collect())) == sorted(map(repr, batch.select(columns).collect()))
