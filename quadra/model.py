@@ -93,6 +93,9 @@ ALIAS_SCHEMA = T.StructType(
     ]
 )
 
+# Optional column of an alias table: the number of the line.
+ALIAS_LINE = "linha"
+
 # --- fixed values (must equal the reference's) ------------------------------
 # City kept by every dashboard query.
 CITY = "S.PAULO"

@@ -136,12 +136,15 @@ def spelling_pairs(df: DataFrame) -> DataFrame | None:
     """A8 kept incrementally: rows per (year, quarter, city, name, spelling).
 
     One row per distinct spelling of a name in a partition — small next to
-    the lake — stored by the batch job for the partitions it rewrote.
+    the lake — stored by the batch job for the partitions it rewrote. Rows without
+    a name are counted under null, so that every partition has a row that
+    replaces what it held.
     """
     if not _has(df, M.BAIRRO, M.BAIRRO_ORIGINAL):
         return None
+    named = {c: F.when(X.non_blank(M.BAIRRO), F.col(c)) for c in (M.BAIRRO, M.BAIRRO_ORIGINAL)}
     return (
-        df.where(X.non_blank(M.BAIRRO))
+        df.select(M.ANO, M.TRIMESTRE, M.CIDADE, *[c.alias(name) for name, c in named.items()])
         .groupBy(M.ANO, M.TRIMESTRE, M.CIDADE, M.BAIRRO, M.BAIRRO_ORIGINAL)
         .agg(F.count(F.lit(1)).alias("rows"))
     )
@@ -151,7 +154,7 @@ def district_variants_from_pairs(pairs: DataFrame, city: str = M.CITY,
                                  n: int = M.TOP_VARIANTS) -> DataFrame:
     """A8 from the spelling-pairs table; same result as :func:`district_variants`."""
     merged = (
-        pairs.where(F.col(M.CIDADE) == city)
+        pairs.where((F.col(M.CIDADE) == city) & F.col(M.BAIRRO).isNotNull())
         .groupBy(M.BAIRRO, M.BAIRRO_ORIGINAL)
         .agg(F.sum("rows").alias("_rows"))
     )
@@ -160,22 +163,14 @@ def district_variants_from_pairs(pairs: DataFrame, city: str = M.CITY,
 
 def _variants(pairs: DataFrame, n: int) -> DataFrame:
     """The ``n`` names with most spellings are picked first, from counts alone;
-    only their spellings (a broadcast of ``n`` names) are then listed."""
-    top = (
-        pairs.groupBy(M.BAIRRO)
-        .agg(F.count(M.BAIRRO_ORIGINAL).alias("variantes"), F.sum("_rows").cast("bigint").alias("total_bos"))
-        .where(F.col("variantes") > 1)
-        .orderBy(F.col("variantes").desc(), F.col("total_bos").desc(), F.col(M.BAIRRO).asc())
-        .limit(n)
-    )
-    listed = (
-        pairs.join(F.broadcast(top), M.BAIRRO)
-        .groupBy(M.BAIRRO, "variantes", "total_bos")
-        .agg(F.array_join(F.sort_array(F.collect_list(M.BAIRRO_ORIGINAL)), " | ").alias("exemplos"))
-    )
-    return listed.select(M.BAIRRO, "variantes", "exemplos", "total_bos").orderBy(
-        F.col("variantes").desc(), F.col("total_bos").desc(), F.col(M.BAIRRO).asc()
-    )
+    only their spellings (a broadcast of ``n`` names) are then listed. Both
+    steps need the same columns of ``pairs``, so its exchange is made once."""
+    counts = (F.count(M.BAIRRO_ORIGINAL).alias("variantes"), F.sum("_rows").cast("bigint").alias("total_bos"))
+    order = (F.col("variantes").desc(), F.col("total_bos").desc(), F.col(M.BAIRRO).asc())
+    top = pairs.groupBy(M.BAIRRO).agg(*counts).where(F.col("variantes") > 1).orderBy(*order).limit(n)
+    spellings = F.array_join(F.sort_array(F.collect_list(M.BAIRRO_ORIGINAL)), " | ").alias("exemplos")
+    listed = pairs.join(F.broadcast(top.select(M.BAIRRO)), M.BAIRRO, "left_semi").groupBy(M.BAIRRO).agg(*counts, spellings)
+    return listed.select(M.BAIRRO, "variantes", "exemplos", "total_bos").orderBy(*order)
 
 
 def unread_values(df: DataFrame) -> DataFrame | None:

@@ -58,8 +58,19 @@ def partition_counts(df: DataFrame, city: str = M.CITY) -> DataFrame:
     )
 
 
+def partition_keys(df: DataFrame) -> DataFrame:
+    """The key table: rows and geolocated rows per (year, quarter, city).
+
+    Kept by the batch job for the partitions it rewrote, a few rows each; the
+    choice of years and quarters (U2, U3) and A2 are read from it.
+    """
+    return df.groupBy(M.ANO, M.TRIMESTRE, M.CIDADE).agg(
+        _count().alias("linhas"), F.count_if(F.col(M.HAS_COORDINATES)).alias("com_coordenadas")
+    )
+
+
 def partition_counts_from_stats(stats: DataFrame, city: str = M.CITY) -> DataFrame:
-    """A2 from the partition-statistics table (see ``quality.partition_stats``)."""
+    """A2 from the key table, or from the statistics table (see ``quality.partition_stats``)."""
     return (
         stats.where(F.col(M.CIDADE) == city)
         .select(M.ANO, M.TRIMESTRE, F.col("linhas").alias("total"), "com_coordenadas")
@@ -151,14 +162,17 @@ def resolve_comparison(parts: DataFrame, year_a: int | None = None, year_b: int
 ROLE = "papel"
 
 
-def compared_rows(df: DataFrame, cmp: Comparison | DataFrame, city: str = M.CITY) -> DataFrame:
+def compared_rows(df: DataFrame, cmp: Comparison | DataFrame | None, city: str = M.CITY) -> DataFrame:
     """F1 + F3: the city's rows of both years and the common quarters, with their ``ROLE``.
 
-    ``cmp`` is a :class:`Comparison` (static filters) or the one-row frame of
-    :func:`comparison`: then the rows are joined to its (year, quarter) pairs,
-    eight at most, on the partition columns, so that partitions are pruned at
-    run time and nothing runs before the report does.
+    ``cmp`` is what :func:`resolve_comparison` read from the key table: static
+    filters on the partition columns (None: no two years share a quarter, no
+    rows). Without that table it is the one-row frame of :func:`comparison`: then
+    the rows are joined to its (year, quarter) pairs, eight at most, so that
+    partitions are pruned at run time and nothing runs before the report does.
     """
+    if cmp is None:
+        return X.city(df, city).where(F.lit(False)).withColumn(ROLE, F.lit("base"))
     if isinstance(cmp, Comparison):
         rows = X.year_scope(df, (cmp.year_a, cmp.year_b), cmp.quarters, city)
         return rows.withColumn(ROLE, F.when(F.col(M.ANO) == cmp.year_a, "base").otherwise("anterior"))
@@ -171,7 +185,7 @@ def compared_rows(df: DataFrame, cmp: Comparison | DataFrame, city: str = M.CITY
 
 
 # --- A4 / A5 and what is derived from them -------------------------------------------
-def _monthly(df: DataFrame, cmp: Comparison | DataFrame, city: str) -> DataFrame:
+def _monthly(df: DataFrame, cmp: Comparison | DataFrame | None, city: str) -> DataFrame:
     return (
         compared_rows(df, cmp, city)
         .groupBy(ROLE, M.ANO, M.MES, M.RUBRICA_MOD)
@@ -182,12 +196,12 @@ def _monthly(df: DataFrame, cmp: Comparison | DataFrame, city: str) -> DataFrame
     )
 
 
-def monthly_comparison(df: DataFrame, cmp: Comparison | DataFrame, city: str = M.CITY) -> DataFrame:
+def monthly_comparison(df: DataFrame, cmp: Comparison | DataFrame | None, city: str = M.CITY) -> DataFrame:
     """A4: rows and geolocated rows per (year, month, category) of both years."""
     return _monthly(df, cmp, city).drop(ROLE).orderBy(M.ANO, M.MES)
 
 
-def district_year_counts(df: DataFrame, cmp: Comparison | DataFrame, city: str = M.CITY) -> DataFrame:
+def district_year_counts(df: DataFrame, cmp: Comparison | DataFrame | None, city: str = M.CITY) -> DataFrame:
     """A5: per district, rows in the base year and in the compared year."""
     return (
         compared_rows(df, cmp, city)
@@ -219,7 +233,7 @@ def category_by_year(monthly: DataFrame) -> DataFrame:
     )
 
 
-def year_kpis(df: DataFrame, cmp: Comparison | DataFrame, city: str = M.CITY) -> DataFrame:
+def year_kpis(df: DataFrame, cmp: Comparison | DataFrame | None, city: str = M.CITY) -> DataFrame:
     """Totals, robberies, thefts and coverage of both years, with deltas.
 
     One row. Percent changes are null when the compared year has none; the

@@ -19,7 +19,7 @@ from quadra.functions import columns as C
 from quadra.operators import extracts as X
 from quadra.operators import quality as Q
 from quadra.operators import reports as R
-from quadra.plans import etl
+from quadra.plans import etl, jobs
 from quadra.session import fresh_path
 from quadra.sources import adapter, lake
 
@@ -109,14 +109,60 @@ def manifest_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alias_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The alias table written as CSV, every variant twice, and read: the later line wins."""
+    """An alias table of all normalised districts, every variant twice, written by many tasks and read: the later line wins."""
     path = fresh_path(spark, "aliases")
-    table = nation_aliases(spark, sf_dir)
-    twice = table.withColumn("bairro_canonico", F.lit("ANTIGO")).withColumn("n", F.lit(0)).unionByName(table.withColumn("n", F.lit(1)))
-    twice.repartition(1).sortWithinPartitions("n").drop("n").write.option("header", "true").csv(path)
+    names = _incidents(spark, sf_dir, M.BAIRRO).where(X.non_blank(M.BAIRRO)).select(F.col(M.BAIRRO).alias("bairro_variante")).distinct()
+    line = lambda n, target: F.struct(F.lit(n).alias(M.ALIAS_LINE), target.alias("bairro_canonico"))
+    variant = F.col("bairro_variante")
+    target = F.when(~variant.startswith("VILA"), F.concat(variant, F.lit(" UNIFICADO")))
+    table = names.select("bairro_variante", F.inline(F.array(line(2, target), line(1, F.lit("ANTIGO")))))
+    table.write.option("header", "true").csv(path)
     return lake.read_aliases(spark, path)
 
 
+# --- the batch job -------------------------------------------------------------------
+# The first run lands every row; the second lands some again and so replaces the partitions they are in.
+SECOND_RUN_FROM = 1997
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> str:
+    """A lake that the batch job published in two runs which share partitions."""
+    base, key = fresh_path(spark, "lake"), F.col(M.NUM_BO).cast("bigint")
+    rows = adapter.landing_incidents(spark, sf_dir)
+    again = (F.col(M.ANO) >= SECOND_RUN_FROM) & (key % 3 == 0)
+    for name, part in (("first", rows), ("second", rows.where(again))):
+        landing = f"{base}/landing/{name}"
+        part.write.parquet(landing)
+        jobs.run(spark, [landing], base, fmt="parquet", tag=name)
+    return base
+
+
+def publish_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + S2: the transformed layer after both runs of the batch job, every row."""
+    return lake.read_layer(spark, jobs.layer_roots(_two_runs(spark, sf_dir))[1])
+
+
+def kept_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + A6 + A9 kept incrementally: the statistics table after both runs."""
+    return lake.read_layer(spark, jobs.stats_root(_two_runs(spark, sf_dir)))
+
+
+def kept_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A17 kept incrementally: the widget options after both runs."""
+    return R.filter_options_from_values(lake.read_layer(spark, jobs.options_root(_two_runs(spark, sf_dir))))
+
+
+def kept_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 kept incrementally: spelling variants after both runs."""
+    return Q.district_variants_from_pairs(lake.read_layer(spark, jobs.pairs_root(_two_runs(spark, sf_dir))))
+
+
+def kept_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + S8: the manifest that the second run of the batch job left, a row per partition it wrote."""
+    stored = lake.manifest_rows(spark, jobs.layer_roots(_two_runs(spark, sf_dir))[2])
+    return stored.select("schema_version", "source", "total_rows", F.inline("partitions"))
+
+
 # --- derivations -----------------------------------------------------------------------
 def coord_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 on every landing row: text in, double out."""
@@ -179,17 +225,13 @@ def district_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- dashboard reports: functions of the transformed rows ----------------------------------
-def _cmp(inc: DataFrame) -> DataFrame:
-    return R.comparison(R.partition_counts(inc))
-
-
 def _stats_of(inc: DataFrame, scope: M.Scope = STATS_SCOPE) -> DataFrame:
     return X.stats_extract(inc, scope)
 
 
-def _base_year_given(inc: DataFrame) -> DataFrame:
+def _base_year_given(parts: DataFrame) -> DataFrame:
     """U2 + U3 with a base year that the user picked; the compared year is defaulted."""
-    return R.comparison(R.partition_counts(inc), year_a=GIVEN_BASE_YEAR).withColumn("trimestres", F.to_json("trimestres"))
+    return R.comparison(parts, year_a=GIVEN_BASE_YEAR).withColumn("trimestres", F.to_json("trimestres"))
 
 
 # Each report takes the transformed incident rows — derived lazily from the
@@ -206,16 +248,6 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "coverage": lambda inc: R.coverage(inc, STATS_SCOPE.year, STATS_SCOPE.quarters),
     "partition_counts": R.partition_counts,
     "partition_coverage": R.partition_coverage,
-    "default_years": lambda inc: R.default_years(R.partition_counts(inc)),
-    "comparable_quarters": lambda inc: R.comparable_quarters(R.partition_counts(inc)),
-    "comparison_base_year": _base_year_given,
-    "monthly_comparison": lambda inc: R.monthly_comparison(inc, _cmp(inc)),
-    "district_year_counts": lambda inc: R.district_year_counts(inc, _cmp(inc)),
-    "monthly_overlay": lambda inc: R.monthly_overlay(R.monthly_comparison(inc, _cmp(inc))),
-    "category_by_year": lambda inc: R.category_by_year(R.monthly_comparison(inc, _cmp(inc))),
-    "year_kpis": lambda inc: R.year_kpis(inc, _cmp(inc)),
-    "district_variation": lambda inc: R.district_variation(R.district_year_counts(inc, _cmp(inc))),
-    "district_comparison": lambda inc: R.district_comparison(R.district_year_counts(inc, _cmp(inc))),
     "period_distribution": lambda inc: R.period_distribution(_stats_of(inc)),
     "category_distribution": lambda inc: R.category_distribution(_stats_of(inc)),
     "monthly_series": lambda inc: R.monthly_series(_stats_of(inc)),
@@ -236,6 +268,24 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+# Reports on the key table's partition counts alone: the lake is not read.
+KEY_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "default_years": R.default_years,
+    "comparable_quarters": R.comparable_quarters,
+    "comparison_base_year": _base_year_given,
+}
+# Reports of two years: the transformed rows and the comparison read from the key table.
+COMPARED_REPORTS: dict[str, Callable[[DataFrame, R.Comparison | None], DataFrame]] = {
+    "monthly_comparison": R.monthly_comparison,
+    "district_year_counts": R.district_year_counts,
+    "monthly_overlay": lambda inc, cmp: R.monthly_overlay(R.monthly_comparison(inc, cmp)),
+    "category_by_year": lambda inc, cmp: R.category_by_year(R.monthly_comparison(inc, cmp)),
+    "year_kpis": R.year_kpis,
+    "district_variation": lambda inc, cmp: R.district_variation(R.district_year_counts(inc, cmp)),
+    "district_comparison": lambda inc, cmp: R.district_comparison(R.district_year_counts(inc, cmp)),
+}
+
+
 # Columns of the transformed rows that each report reads; those derived from
 # the tables join only what holds them.
 _PLACE = (M.CIDADE, M.ANO, M.TRIMESTRE)
@@ -281,6 +331,33 @@ def _from_tables(name: str, report: Callable[[DataFrame], DataFrame]) -> Callabl
     return run
 
 
+def _kept_lake(spark: SparkSession, sf_dir: str, columns: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The transformed rows as a partitioned lake, and the key table kept beside it."""
+    rows = _incidents(spark, sf_dir, *columns)
+    root, keys = fresh_path(spark, "transformed"), fresh_path(spark, "keys")
+    lake.write_layer(rows, root)
+    stored = lake.read_layer(spark, root, schema=lake.stored_schema(rows))
+    lake.write_layer(R.partition_keys(stored), keys)
+    return stored, R.partition_counts_from_stats(lake.read_layer(spark, keys))
+
+
+def _from_keys(name: str, report: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return report(_kept_lake(spark, sf_dir, REPORT_COLUMNS[name])[1])
+
+    run.__doc__ = report.__doc__
+    return run
+
+
+def _from_lake(name: str, report: Callable[[DataFrame, R.Comparison | None], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, parts = _kept_lake(spark, sf_dir, REPORT_COLUMNS[name])
+        return report(rows, R.resolve_comparison(parts))
+
+    run.__doc__ = report.__doc__
+    return run
+
+
 # Queries that exercise the landing scan, the lake and the derivations.
 SOURCE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_union": landing_union,
@@ -293,6 +370,11 @@ SOURCE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unread_values": unread_values,
     "manifest_read": manifest_read,
     "alias_source": alias_source,
+    "publish_two_runs": publish_two_runs,
+    "kept_statistics": kept_statistics,
+    "kept_options": kept_options,
+    "kept_variants": kept_variants,
+    "kept_manifest": kept_manifest,
     "coord_parse": coord_parse,
     "quarter_derive": quarter_derive,
     "has_coordinates": has_coordinates,
@@ -304,4 +386,6 @@ SOURCE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **SOURCE_QUERIES,
     **{name: _from_tables(name, report) for name, report in REPORTS.items()},
+    **{name: _from_keys(name, report) for name, report in KEY_REPORTS.items()},
+    **{name: _from_lake(name, report) for name, report in COMPARED_REPORTS.items()},
 }

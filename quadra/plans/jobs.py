@@ -4,9 +4,9 @@
         --landing s3a://b/landing/2025.csv --lake s3a://b --layer all
 
 Runs the raw and/or transformed job, writes the run manifest, the
-per-partition option values (filter widgets), counts and quality metrics,
+per-partition keys, option values (filter widgets), counts and quality metrics,
 and district spellings next to the transformed layer, and fails the run when the
-transformed layer is empty.
+transformed layer is empty. Everything is staged before anything is published.
 Layer roots: ``<lake>/raw/parquet`` and ``<lake>/transformed/parquet``;
 manifest: ``<lake>/transformed/_meta/manifest.json``.
 """
@@ -23,6 +23,7 @@ from quadra import model as M
 from quadra.operators import quality as Q
 from quadra.operators import reports as R
 from quadra.plans import etl
+from quadra.session import fresh_path
 from quadra.sources import lake
 
 
@@ -46,51 +47,80 @@ def pairs_root(base: str) -> str:
     return f"{base.rstrip('/')}/transformed/_spellings"
 
 
+def keys_root(base: str) -> str:
+    """The key table: counts per partition and city."""
+    return f"{base.rstrip('/')}/transformed/_keys"
+
+
+def side_tables(rows: DataFrame, base: str) -> dict[str, DataFrame]:
+    """The side tables of transformed rows by their folder; one whose columns no file has is left out."""
+    if M.CIDADE not in rows.columns:
+        return {}
+    found = {
+        keys_root(base): R.partition_keys(rows), options_root(base): R.option_values(rows),
+        stats_root(base): Q.partition_stats(rows), pairs_root(base): Q.spelling_pairs(rows),
+    }
+    return {root: table for root, table in found.items() if table is not None}
+
+
 def write_side_tables(rows: DataFrame, base: str) -> None:
     """Refresh the side tables for the partitions present in ``rows``
     (dynamic overwrite: other partitions keep their rows)."""
-    lake.write_layer(R.option_values(rows), options_root(base))
-    stats = Q.partition_stats(rows)
-    if stats is not None:
-        lake.write_layer(stats, stats_root(base))
-    pairs = Q.spelling_pairs(rows)
-    if pairs is not None:
-        lake.write_layer(pairs, pairs_root(base))
+    for root, table in side_tables(rows, base).items():
+        lake.write_layer(table, root)
 
 
 def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all", fmt: str = "csv",
         aliases_csv: str | None = None, tag: str | None = None) -> dict | None:
     """Raw and/or transformed job. The landing files are read once; after that
     only the partitions this run wrote are opened, with the schema they were
-    written with (no footers are merged)."""
+    written with (no footers are merged).
+
+    Every layer is first written to a staging folder and checked; only when all
+    that the run makes is there are the partitions it touched put in place. A run
+    that fails before leaves the published layers as they were; one that fails
+    while publishing is mended by running it again.
+    """
     raw_root, out_root, manifest_path = layer_roots(base)
-    keys = schema = None
+    stage = fresh_path(spark, "stage")
+    publish = []
+    raw_from, keys, schema = raw_root, None, None
     if layer in ("raw", "all"):
         raw = lake.read_landing(spark, landing, fmt)
         if raw.isEmpty():
             raise RuntimeError("health check failed: the landing files hold no records")
-        keys, schema = lake.write_layer(raw, raw_root, cluster=False, observe=True), lake.stored_schema(raw)
-    if layer not in ("transformed", "all"):
+        raw_from, schema = f"{stage}/raw", lake.stored_schema(raw)
+        keys = lake.write_layer(raw, raw_from, cluster=False, observe=True)
+        publish.append((raw_from, raw_root, schema, keys))
+    rows = None
+    if layer in ("transformed", "all"):
+        aliases = lake.read_aliases(spark, aliases_csv) if aliases_csv else None
+        rows = etl.transformed_layer(lake.read_layer(spark, raw_from, schema=schema, keys=keys), aliases)
+        if keys is None:
+            etl.assert_healthy(rows)
+        keys = lake.write_layer(rows, f"{stage}/transformed", observe=True)
+        schema = lake.stored_schema(rows)
+        publish.append((f"{stage}/transformed", out_root, schema, keys))
+        rows = lake.read_layer(spark, f"{stage}/transformed", schema=schema, keys=keys)
+        for root, table in side_tables(rows, base).items():
+            staged = f"{stage}/{root.rsplit('/', 1)[-1]}"
+            lake.write_layer(table, staged)
+            publish.append((staged, root, lake.stored_schema(table), keys))
+        document = lake.manifest_document(manifest_table(spark, rows, f"{stage}/{keys_root(base).rsplit('/', 1)[-1]}", keys), tag or lake.run_tag())
+    for staged, root, stored, touched in publish:
+        lake.publish_layer(spark, staged, root, stored, touched)
+    if rows is None:
         return None
-    aliases = lake.read_aliases(spark, aliases_csv) if aliases_csv else None
-    rows = etl.transformed_layer(lake.read_layer(spark, raw_root, schema=schema, keys=keys), aliases)
-    if keys is None:
-        etl.assert_healthy(rows)
-    keys = lake.write_layer(rows, out_root, observe=True)
-    rows = lake.read_layer(spark, out_root, schema=lake.stored_schema(rows), keys=keys)
-    write_side_tables(rows, base)
-    document = lake.manifest_document(manifest_table(spark, rows, base, keys), tag or lake.run_tag())
     lake.write_manifest(document, manifest_path)
     return json.loads(document)
 
 
-def manifest_table(spark: SparkSession, rows: DataFrame, base: str, keys: list[tuple]) -> DataFrame:
-    """Rows per partition: from the statistics table just written (a row per
+def manifest_table(spark: SparkSession, rows: DataFrame, counted: str, keys: list[tuple]) -> DataFrame:
+    """Rows per partition: from the key table at ``counted`` (a row per
     partition and city), or counted where the layer has no such table."""
-    if Q.partition_stats(rows) is None:
+    if M.CIDADE not in rows.columns:
         return lake.manifest_partitions(rows)
-    stats = lake.read_layer(spark, stats_root(base), keys=keys)
-    return stats.groupBy(M.ANO, M.TRIMESTRE).agg(F.sum("linhas").alias("rows"))
+    return lake.read_layer(spark, counted, keys=keys).groupBy(M.ANO, M.TRIMESTRE).agg(F.sum("linhas").alias("rows"))
 
 
 def main(argv: list[str] | None = None) -> None:

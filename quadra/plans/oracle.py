@@ -110,6 +110,16 @@ files AS (
     FROM raw
 )"""
 
+# The batch job's two runs: the second replaces every partition it has a row of.
+TWO_RUNS = """
+second_run AS (SELECT * FROM incidents WHERE ANO >= 1997 AND CAST(NUM_BO AS BIGINT) % 3 = 0),
+touched AS (SELECT DISTINCT ANO, TRIMESTRE FROM second_run),
+published AS (
+    SELECT * FROM second_run
+    UNION ALL
+    SELECT * FROM incidents i
+    WHERE NOT EXISTS (SELECT 1 FROM touched t WHERE t.ANO = i.ANO AND t.TRIMESTRE IS NOT DISTINCT FROM i.TRIMESTRE)
+)"""
 # Records written out as text: remarks over two lines, fields to spare, missing ones.
 MALFORMED = """
 records AS (
@@ -265,7 +275,38 @@ FROM (SELECT ANO, unnest(lost) AS item FROM files) GROUP BY ANO, coluna""",
        (SELECT CAST(to_json(list(DISTINCT ANO ORDER BY ANO) FILTER (WHERE ANO IS NOT NULL)) AS VARCHAR) FROM mp) AS anos_processados,
        (SELECT CAST(sum(rows) AS BIGINT) FROM mp) AS total_rows, ANO AS ano, TRIMESTRE AS trimestre, rows
 FROM mp""",
-    "alias_source": f"WITH {_ALIASES.strip()} SELECT * FROM aliases",
+    "alias_source": _with()
+    + """SELECT DISTINCT BAIRRO AS bairro_variante, CASE WHEN NOT starts_with(BAIRRO, 'VILA') THEN BAIRRO || ' UNIFICADO' END AS bairro_canonico
+FROM incidents WHERE BAIRRO IS NOT NULL AND BAIRRO <> ''""",
+    "publish_two_runs": _with(TWO_RUNS) + "SELECT * FROM published",
+    "kept_statistics": _with(TWO_RUNS)
+    + """SELECT ANO, TRIMESTRE, CIDADE, count(*) AS linhas,
+       count(DISTINCT coalesce(CAST(ANO_BO AS VARCHAR), '') || '/' || coalesce(NUM_BO, '')) AS bos_unicos,
+       count(*) FILTER (WHERE TRY_CAST(VERSAO AS INTEGER) > 1) AS linhas_versao_maior_1,
+       count(*) FILTER (WHERE HAS_COORDINATES) AS com_coordenadas,
+       count(*) FILTER (WHERE BAIRRO IS NULL OR BAIRRO = '') AS bairro_vazio,
+       count(*) FILTER (WHERE DESCR_PERIODO IS NULL OR DESCR_PERIODO = 'NULL') AS periodo_nulo,
+       count(*) FILTER (WHERE MARCA_OBJETO IS NULL OR MARCA_OBJETO = '' OR MARCA_OBJETO = 'NULL') AS marca_vazia,
+       max(TRY_CAST(DATAHORA_REGISTRO_BO AS DATE)) AS ultima
+FROM published GROUP BY ANO, TRIMESTRE, CIDADE""",
+    "kept_options": _with(TWO_RUNS)
+    + f"""SELECT DISTINCT option, value FROM (
+    SELECT 'anos' AS option, CAST(ANO AS VARCHAR) AS value FROM published WHERE {CITY}
+    UNION ALL SELECT 'trimestres', CAST(TRIMESTRE AS VARCHAR) FROM published WHERE {CITY}
+    UNION ALL SELECT 'bairros', BAIRRO FROM published WHERE {CITY}
+    UNION ALL SELECT 'tipos_crime', RUBRICA_MOD FROM published WHERE {CITY}
+    UNION ALL SELECT 'periodos', DESCR_PERIODO FROM published WHERE {CITY} AND DESCR_PERIODO <> 'NULL'
+) WHERE value IS NOT NULL""",
+    "kept_variants": _with(TWO_RUNS)
+    + f"""SELECT BAIRRO, count(DISTINCT BAIRRO_ORIGINAL) AS variantes,
+       string_agg(DISTINCT BAIRRO_ORIGINAL, ' | ' ORDER BY BAIRRO_ORIGINAL) AS exemplos,
+       count(*) AS total_bos
+FROM published WHERE {CITY} AND BAIRRO IS NOT NULL AND BAIRRO <> ''
+GROUP BY BAIRRO HAVING count(DISTINCT BAIRRO_ORIGINAL) > 1
+ORDER BY variantes DESC, total_bos DESC, BAIRRO ASC LIMIT 100""",
+    "kept_manifest": _with(TWO_RUNS)
+    + """SELECT 1 AS schema_version, 'second' AS source, (SELECT count(*) FROM second_run) AS total_rows,
+       ANO AS ano, TRIMESTRE AS trimestre, count(*) AS rows FROM second_run GROUP BY ANO, TRIMESTRE""",
     "lake_roundtrip": _with() + "SELECT * FROM incidents",
     "schema_merge_scan": _with(FILES)
     + "SELECT NUM_BO, VERSAO, CAST(ANO_BO AS VARCHAR) AS ANO_BO, ANO, TRIMESTRE, MES, BAIRRO, OBSERVACAO FROM files",

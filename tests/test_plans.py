@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import pytest
 
+from quadra.operators import reports as R
 from quadra.plans import catalog, etl
 from quadra.sources import lake
 
@@ -24,7 +25,7 @@ FORBIDDEN = (
 SCOPED = {
     "map_points", "stats_extract", "stats_extract_filtered", "detail_table", "detail_table_page",
     "map_tiles", "coverage", "period_distribution", "category_distribution", "monthly_series",
-    "top_districts", "top_brands", "top_one", "monthly_comparison", "district_year_counts",
+    "top_districts", "top_brands", "top_one", *catalog.COMPARED_REPORTS,
 }
 
 
@@ -43,9 +44,28 @@ def lake_rows(spark, tmp_path_factory):
     return lake.read_layer(spark, root)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.REPORTS))
-def test_report_plan_shape(lake_rows, name):
-    plan = _plan(catalog.REPORTS[name](lake_rows))
+@pytest.fixture(scope="module")
+def parts(spark, lake_rows, tmp_path_factory):
+    """Partition counts as the key table holds them."""
+    root = str(tmp_path_factory.mktemp("plans") / "keys")
+    lake.write_layer(R.partition_keys(lake_rows), root)
+    return R.partition_counts_from_stats(lake.read_layer(spark, root))
+
+
+def _report(name, lake_rows, parts):
+    if name in catalog.KEY_REPORTS:
+        return catalog.KEY_REPORTS[name](parts)
+    if name in catalog.COMPARED_REPORTS:
+        return catalog.COMPARED_REPORTS[name](lake_rows, R.resolve_comparison(parts))
+    return catalog.REPORTS[name](lake_rows)
+
+
+ALL = sorted([*catalog.REPORTS, *catalog.KEY_REPORTS, *catalog.COMPARED_REPORTS])
+
+
+@pytest.mark.parametrize("name", ALL)
+def test_report_plan_shape(lake_rows, parts, name):
+    plan = _plan(_report(name, lake_rows, parts))
     for node in FORBIDDEN:
         assert node not in plan, f"{name}: {node}"
     if name not in TOP_K:
@@ -55,6 +75,27 @@ def test_report_plan_shape(lake_rows, name):
         assert "EqualTo(CIDADE,S.PAULO)" in plan, name
 
 
+@pytest.mark.parametrize("name", sorted(catalog.COMPARED_REPORTS))
+def test_comparison_is_one_scan_with_static_filters(lake_rows, parts, name):
+    plan = _plan(_report(name, lake_rows, parts))
+    assert plan.count("FileScan") == 1 and "dynamicpruning" not in plan and "Join" not in plan
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "ano#" in filters and "trimestre#" in filters
+
+
+@pytest.mark.parametrize("name", sorted(catalog.KEY_REPORTS))
+def test_years_and_quarters_are_read_from_the_key_table(lake_rows, parts, name):
+    plan = _plan(_report(name, lake_rows, parts))
+    assert plan.count("FileScan") == 1 and "/keys" in plan and "transformed" not in plan
+
+
+def test_spellings_are_scanned_and_paired_once(lake_rows):
+    report = catalog.REPORTS["district_variants"](lake_rows)
+    report.collect()
+    final = _plan(report).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 @pytest.mark.parametrize("name", sorted(catalog.SOURCE_QUERIES))
 def test_table_query_plan_shape(spark, name):
     plan = _plan(catalog.QUERIES[name](spark, SF_DIR))
@@ -70,7 +111,7 @@ def test_top_k_is_limited_before_the_shuffle_and_scans_once(lake_rows, name):
 
 # Queries that need nothing but the fact table's own columns.
 NO_JOIN = ("health_check", "manifest_partitions", "manifest_summary", "quarter_derive", "coord_parse",
-           "has_coordinates", "coverage", "partition_counts", "default_years", "comparable_quarters")
+           "has_coordinates", "coverage", "partition_counts")
 
 
 @pytest.mark.parametrize("name", NO_JOIN)

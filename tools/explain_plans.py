@@ -15,6 +15,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from quadra import model as M  # noqa: E402
+from quadra.operators import reports as R
 from quadra.plans import catalog, etl  # noqa: E402
 from quadra.session import fresh_path, local_session  # noqa: E402
 from quadra.sources import adapter, lake  # noqa: E402
@@ -58,9 +59,16 @@ def main() -> None:
     root = fresh_path(spark, "plans-lake")
     lake.write_layer(etl.incidents(spark, sf_dir), root)
     inc = lake.read_layer(spark, root, schema=M.layer_schema())
-    for name, report in catalog.REPORTS.items():
+    keys = fresh_path(spark, "plans-keys")
+    lake.write_layer(R.partition_keys(inc), keys)
+    parts = R.partition_counts_from_stats(lake.read_layer(spark, keys))
+    cmp = R.resolve_comparison(parts)
+    reports = {name: report(inc) for name, report in catalog.REPORTS.items()}
+    reports |= {name: report(parts) for name, report in catalog.KEY_REPORTS.items()}
+    reports |= {name: report(inc, cmp) for name, report in catalog.COMPARED_REPORTS.items()}
+    for name, report in reports.items():
         print(f"## {name}\n\n```")
-        print(plan_text(report(inc)))
+        print(plan_text(report))
         print("```\n")
 
 
