@@ -16,16 +16,16 @@ def _star(links: DataFrame, low: DataFrame) -> DataFrame:
     return links.join(low.withColumnRenamed("u", "of"), F.col("u") == F.col("of"))
 
 
-def components(links: DataFrame, rounds: int = 50) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """u, v: every node but a component's least with that least node.
 
     ``links`` has long columns u and v. Each round points the neighbours of
     every node to its least neighbour; links never grow in number, so a hot
-    node costs as many rows as it has links. Rounds end when nothing changes.
+    node costs as many rows as it has links. Rounds go on until one changes nothing.
     """
     links = frozen(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = _mark(links)
-    for _ in range(rounds):
+    while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("low"))
         large = _star(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
@@ -34,5 +34,4 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         links = frozen(small.select("l.*").where("u != v").distinct())
         before, mark = mark, _mark(links)
         if mark == before:
-            break
-    return links
+            return links

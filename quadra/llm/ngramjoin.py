@@ -4,9 +4,9 @@ A document is the set of its 5-word shingles. A sampled shared token is the
 minimum of the set under a random hash: two sets share it with a probability
 equal to their similarity. Every set goes down one path for each of ``runs``
 tokens; sets that meet on a path are in one bucket. A small bucket is compared
-by brute force. A large one (a passage many documents share) is split again on
-the next ``runs`` tokens, if that at least halves the pairs to compare; else
-(a group of near copies, which no token parts) it is compared in blocks,
+by brute force. A larger one (a passage many documents share) is split again on
+the next ``runs`` tokens, if that at least halves the pairs to compare; else (a
+group of near copies, which no token parts) it is compared in blocks,
 spread over tasks. A link is lost only if none of the 8 tokens agrees on a
 level, 0.2 ** 8 = 0.0003 % at similarity 0.8.
 
@@ -36,9 +36,8 @@ class Paths:
     similarity: float = 0.8
     recall: float = 0.99999
     hashes: int = 64
-    # Sets a bucket may hold to be compared in one piece, and to be compared without a look at a split.
+    # Sets a bucket may hold to be compared in one piece.
     block: int = 1024
-    split: int = 16 * 1024
     seed: int = 9
 
     @property
@@ -150,11 +149,11 @@ def blocks(texts: DataFrame, paths: Paths) -> DataFrame:
         if (level + 1) * paths.runs > paths.hashes:
             whole.append(large)
             break
-        sets = large.where(F.col("n") > paths.split).join(texts.select(F.col("row").alias("of"), "sig"), F.col("row") == F.col("of"))
-        # Pairs that the next token leaves together, against all pairs of the bucket.
-        left = sets.groupBy("bucket", "n", F.get("sig", F.lit(level * paths.runs)).alias("token")).agg(F.count("*").alias("same"))
+        sets = large.join(texts.select(F.col("row").alias("of"), "sig"), F.col("row") == F.col("of"))
+        # Pairs that the next tokens leave together, against all pairs of the bucket.
+        left = sets.select("bucket", "n", _tokens(level, paths).alias("k", "token")).groupBy("bucket", "n", "k", "token").agg(F.count("*").alias("same"))
         left = left.groupBy("bucket", "n").agg(F.sum(F.col("same") * F.col("same")).alias("pairs"))
-        gain = frozen(left.where(2 * paths.runs * F.col("pairs") < F.col("n") * F.col("n")).select(F.col("bucket").alias("in")))
+        gain = frozen(left.where(2 * F.col("pairs") < F.col("n") * F.col("n")).select(F.col("bucket").alias("in")))
         whole.append(large.join(gain, F.col("bucket") == F.col("in"), "left_anti"))
         split = sets.join(gain, F.col("bucket") == F.col("in")).select("row", "bucket", "path", _tokens(level, paths).alias("k", "token"))
         split = split.select("row", F.xxhash64("bucket", "k", "token").alias("bucket"), F.array_append("path", F.col("k")).alias("path"))
@@ -348,8 +347,9 @@ def join(docs: DataFrame, paths: Paths = Paths()) -> DataFrame:
 def one_of_each(docs: DataFrame, paths: Paths = Paths()) -> DataFrame:
     """``docs`` with one row of every class of :func:`join`: the one with the least id (nulls last).
 
-    Texts without words all stay. Of equal rows one stays. Columns keep their
-    names, whatever they are; ``docs`` is evaluated several times.
+    Texts without words all stay. Of rows equal in id and text one stays, the
+    one whose columns have the least hash. Columns keep their names, whatever
+    they are; ``docs`` is evaluated several times.
     """
     texts = docs.select("doc_id", "text")
     sketches = sketched(texts, paths)
@@ -361,10 +361,30 @@ def one_of_each(docs: DataFrame, paths: Paths = Paths()) -> DataFrame:
     # The key holds the id, so copies of a hot text do not meet.
     same = (F.col("key") == F.col("own")) & (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2"))
     kept = rows.where("words").join(keep.withColumnRenamed("key", "own"), same)
-    kept = kept.groupBy("key", "k1", "k2").agg(F.first("body").alias("body")).select("body.*")
+    kept = kept.groupBy("key", "k1", "k2").agg(F.min_by("body", F.xxhash64("body")).alias("body")).select("body.*")
     return kept.unionByName(rows.where("words is null or not words").select("body.*"))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the class and the number of their links (5-word shingles, 0.8 or more)."""
     return join(documents(spark, sf_dir))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE rows AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+texts AS (
+  SELECT t, min(doc_id) AS rep, count(*) AS copies, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM rows GROUP BY t),
+sized AS (SELECT row_number() OVER () AS id, rep, copies, t, words FROM texts WHERE len(words) > 0),
+shingles AS (
+  SELECT DISTINCT id, CASE WHEN len(words) < 5 THEN md5(array_to_string(words, chr(1))) ELSE md5(array_to_string(words[k:k + 4], chr(1))) END AS s
+  FROM (SELECT id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS k FROM sized)),
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+common AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.id <> b.id GROUP BY a.id, b.id),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE 5 * c >= 4 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT id, id FROM sized UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+classes AS (SELECT r.a AS id, min(s.rep) AS class_id FROM reach r JOIN sized s ON s.id = r.b GROUP BY r.a),
+counts AS (SELECT l.a AS id, count(*) AS texts, sum(s.copies) AS documents FROM links l JOIN sized s ON s.id = l.b GROUP BY l.a)
+SELECT r.doc_id, CASE WHEN s.id IS NULL THEN r.doc_id ELSE c.class_id END AS class_id,
+  CAST(coalesce(n.documents, 0) + coalesce(s.copies, 1) - 1 AS BIGINT) AS n_links, coalesce(n.texts, 0) AS n_text_links, coalesce(s.copies, 1) AS n_copies
+FROM rows r LEFT JOIN sized s ON s.t = r.t LEFT JOIN classes c ON c.id = s.id LEFT JOIN counts n ON n.id = s.id
+"""

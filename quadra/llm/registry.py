@@ -22,5 +22,6 @@ ORACLE_SQL = {
     "op4_chat": chat.OP4_SQL,
     "op6_line_dedup": linededup.OP6_SQL,
     "op7_mixed": mixing.OP7_SQL,
+    "op9_ngram_join": ngramjoin.OP9_SQL,
     "op11_prefix_trie": prefixtrie.OP11_SQL,
 }

@@ -1,8 +1,10 @@
+import itertools
 import random
 import re
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from quadra.llm import ngramjoin as N
 from quadra.llm.components import components
@@ -65,14 +67,43 @@ def corpus(seed=6, singles=60, group=40):
     return [(k, " ".join(t)) for k, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize(("block", "split"), [(1024, 16384), (12, 14)])
-def test_join_equals_all_against_all(spark, block, split):
+@pytest.mark.parametrize("block", [1024, 12])
+def test_join_equals_all_against_all(spark, block):
     """Small blocks make buckets split and near copies meet in crossed blocks."""
     rows = corpus()
-    got = N.join(spark.createDataFrame(rows, "doc_id long, text string"), replace(N.Paths(), block=block, split=split)).collect()
+    got = N.join(spark.createDataFrame(rows, "doc_id long, text string"), replace(N.Paths(), block=block)).collect()
     assert sorted(map(tuple, got)) == sorted(plain_join(rows))
 
 
+def test_buckets_are_split_by_their_gain_alone(spark):
+    """Default parameters: sets that share one token are parted by further ones, near copies stay whole."""
+    rng = random.Random(8)
+    paths = N.Paths()
+    unique = itertools.count(1000)
+    rows, twin = [], []
+    for k in range(3000):
+        # One hot token; a pair of rows in ten also agrees on the next level.
+        twin = twin if k % 20 == 1 else [next(unique) for _ in range(paths.hashes - paths.runs)]
+        rows.append((k, [7, *(next(unique) for _ in range(paths.runs - 1)), *twin]))
+    rows += [(k, [9 if rng.random() < 0.97 else next(unique) for _ in range(paths.hashes)]) for k in range(5000, 6500)]
+    places = N.blocks(spark.createDataFrame(rows, "row long, sig array<int>"), paths).cache()
+    deep = places.where(F.size("path") > 1)
+    pairs = {tuple(sorted(r["rows"])) for r in deep.groupBy("block").agg(F.collect_list("row").alias("rows")).collect()}
+    assert pairs == {(k, k + 1) for k in range(0, 3000, 20)}
+    assert places.where("row < 5000 AND size(path) = 1").count() == 0
+    near = places.where("row >= 5000")
+    assert near.where("cross").count() > 0 and near.where("size(path) > 1").count() == 0
+    assert places.groupBy("block", "part").count().agg(F.max("count")).first()[0] <= paths.block
+
+
+def test_a_long_chain_in_any_order(spark):
+    order = list(range(1500))
+    random.Random(2).shuffle(order)
+    links = [(order[k], order[k + 1]) for k in range(len(order) - 1)]
+    got = components(spark.createDataFrame(links, "u long, v long"))
+    assert got.where("v = 0").count() == 1499 and got.count() == 1499
+
+
 def test_paths_follow_from_the_recall():
     paths = N.Paths()
     assert paths.runs == 8 and 0.2**paths.runs <= 1 - paths.recall and paths.agreeing == 32
