@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadra.llm import textstats as T
-from quadra.llm.common import bounded_batches, documents, fraction_of, written
+from quadra.llm.common import bounded_batches, documents, labels_of, sampled, text_key, written
 
 SAMPLE, TREES, TREE_ROWS, SEED = 20_000, 200, 256, 5
 # Statistics of a text's make-up. Repetition is left to the base rules: clean
@@ -97,11 +97,12 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def fit_forest(stats: DataFrame, key: str, sample: int = SAMPLE) -> Forest:
-    """A forest from about ``sample`` rows, chosen by a hash of ``key``, that pass the base rules."""
+def fit_forest(stats: DataFrame, sample: int = SAMPLE) -> Forest:
+    """A forest from at most ``sample`` distinct rows (by ``doc_id`` and the text's key ``k1``) that pass the base rules."""
     passed = stats.where(~base_failed())
-    share = min(1.0, sample / max(passed.count(), 1))
-    rows = passed.where(fraction_of(F.col(key), 11) < share).select(*FEATURES).limit(2 * sample).toPandas()
+    chosen = sampled(passed.select("doc_id", "k1"), sample, 11)
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc_id")) & (F.col("k1") == F.col("of_k1"))
+    rows = passed.join(F.broadcast(chosen), same).dropDuplicates(["doc_id", "k1"]).select(*FEATURES).toPandas()
     return Forest(rows.sort_values(list(FEATURES)).to_numpy(dtype=np.float64))
 
 
@@ -119,10 +120,9 @@ def threshold(scores: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS)
     Of the cuts that reject at most ``max_loss`` of the good labelled rows,
     the one that rejects most bad rows less good ones (in shares).
     """
-    known = labels.where("quality is not null").select(F.col("doc_id").alias("of"), "quality")
-    labelled = scores.where(~base_failed()).join(known, F.col("doc_id") == F.col("of"))
-    found = labelled.groupBy(F.floor(F.col("anomaly") * BINS).cast("int").alias("bin"), "quality").count().toPandas()
-    counts = {q: np.bincount(g["bin"], weights=g["count"], minlength=BINS + 1) for q, g in found.groupby(found["quality"] > 0)}
+    labelled = scores.where(~base_failed()).join(labels_of(labels), F.col("doc_id") == F.col("of"))
+    found = labelled.groupBy(F.floor(F.col("anomaly") * BINS).cast("int").alias("bin"), "good").count().toPandas()
+    counts = {q: np.bincount(g["bin"], weights=g["count"], minlength=BINS + 1) for q, g in found.groupby("good")}
     if len(counts) < 2:
         return DEFAULT_THRESHOLD
     over = {q: (c.sum() - np.cumsum(c)) / c.sum() for q, c in counts.items()}
@@ -134,12 +134,14 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document its key doc_id, the counts, base_failed, anomaly, threshold and kept.
 
     A null or empty text has no words and fails the base rules. Repeated rows
-    are judged alike. Without labelled rows of both kinds the threshold is
+    are judged alike; labels are read as :func:`labels_of` says. A very long text
+    is measured whole; other columns are ignored. Without labelled rows of both kinds the threshold is
     ``DEFAULT_THRESHOLD``; without documents that pass the base rules there is
     no forest and no anomaly. No rows give no rows.
     """
-    stats = written(rule_table(docs, "doc_id"), "rules")
-    scores = scored(stats, fit_forest(stats, "doc_id"))
+    keyed = docs.select("doc_id", "text", text_key(F.col("text"))[0])
+    stats = written(rule_table(keyed, "doc_id", "k1"), "rules")
+    scores = scored(stats, fit_forest(stats))
     cut = threshold(scores, labels)
     verdict = ~F.col("base_failed") & (F.col("anomaly") < cut)
     return scores.withColumn("base_failed", base_failed()).withColumns({"threshold": F.lit(cut), "kept": verdict})

@@ -69,6 +69,24 @@ def fraction_of(column: Column, salt: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(salt), column), F.lit(1 << 40)) / float(1 << 40)
 
 
+def labels_of(labels: DataFrame) -> DataFrame:
+    """of, good: one row for every labelled id; good where most of its labels are above 0.
+
+    Null ids and null labels are no labels; an id with as many good as bad ones is bad.
+    """
+    known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("of"))
+    return known.agg((F.avg((F.col("quality") > 0).cast("int")) > 0.5).alias("good"))
+
+
+def sampled(keys: DataFrame, rows: int, salt: int) -> DataFrame:
+    """At most ``rows`` of the distinct ``keys``: those with the least hashes, whatever the partitions.
+
+    One key however often it occurs is one row of the sample.
+    """
+    hashed = keys.distinct().select(*[F.col(c).alias(f"of_{c}") for c in keys.columns], F.xxhash64(F.lit(salt), *keys.columns).alias("_hash"))
+    return hashed.orderBy("_hash", *[f"of_{c}" for c in keys.columns]).limit(rows).drop("_hash")
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % n

@@ -4,6 +4,8 @@ from collections import Counter
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from quadra.llm import anomaly as A
 from quadra.llm import textstats as T
 
@@ -70,6 +72,15 @@ def test_threshold_from_labels_parts_good_from_bad(spark):
     assert sum(r["base_failed"] for r in rows) == 0
 
 
+def test_a_shared_or_null_id_is_sampled_by_its_texts(spark):
+    docs, labels = labelled(spark)
+    shared = docs.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")))
+    stats = A.rule_table(shared.select("doc_id", "text", F.xxhash64("text").alias("k1")), "doc_id", "k1")
+    assert len(A.fit_forest(stats).trees) > 0 and len(A.fit_forest(stats, 30).trees) > 0
+    rows = A.judge(shared, labels).collect()
+    assert sum(r["anomaly"] > 0 for r in rows) == 400
+
+
 def test_edges(spark, edge_docs, no_docs):
     _, labels = labelled(spark)
     rows = A.judge(edge_docs, labels).collect()
