@@ -3,7 +3,7 @@
 A source that is to give more than its own tokens first gives complete
 epochs; the rest of its target is a weighted sample without replacement: each
 document gets the exponential key -ln(u) / w (u uniform, from a hash of its
-id; w its quality weight), the documents of a source are taken in ascending
+id and text; w its quality weight), the documents of a source are taken in ascending
 order of the key, and a prefix sum of their sizes stops at the budget.
 
 The prefix sum first runs over a histogram of the keys on a logarithmic scale
@@ -38,9 +38,9 @@ def quality_weight(text: Column) -> Column:
     return F.when(length > 0, F.greatest(F.lit(0.05), 1 - 4 * noise / length)).otherwise(0.05)
 
 
-def uniform(doc_id: Column, seed: str = "mix") -> Column:
-    """A number in (0, 1) from the id: 48 bits of an md5, the same in every run."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def uniform(doc_id: Column, text: Column, seed: str = "mix") -> Column:
+    """A number in (0, 1) from the id and the text: 48 bits of an md5, the same in every run."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(text)))
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
@@ -51,7 +51,7 @@ def keyed(docs: DataFrame, *keep: Column) -> DataFrame:
         *keep,
         F.col("source").alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        (-F.log(uniform(F.col("doc_id"))) / quality_weight(text)).alias("key"),
+        (-F.log(uniform(F.col("doc_id"), text)) / quality_weight(text)).alias("key"),
         F.struct(F.col("doc_id").cast("string").alias("id"), F.xxhash64(text).alias("digest")).alias("tie"),
     )
     return rows.withColumn("class", F.floor(F.log2("key") * CLASSES).cast("int"))
@@ -130,8 +130,8 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[i
 
     The document in which a source's budget ends is taken if that brings the
     source nearer to its target. A null or empty text has size 0. A null
-    source is a source, the last one. Rows with the same id get the same u;
-    equal rows are taken or left together. No rows give no rows. Other
+    source is a source, the last one. Rows of one id, or of none, are told
+    apart by their texts; rows equal in both are taken or left together. No rows give no rows. Other
     columns, whatever their names, stay as they are.
     """
     cuts = source_cuts(frozen(keyed(docs)), share, most, weights)
@@ -151,7 +151,7 @@ _W = WORD.replace("'", "''")
 OP7_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_W}')) AS size,
-         -ln((CAST('0x' || md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:12] AS BIGINT) + 0.5) / 281474976710656.0)
+         -ln((CAST('0x' || md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')))[1:12] AS BIGINT) + 0.5) / 281474976710656.0)
            / CASE WHEN length(coalesce(text, '')) > 0
              THEN greatest(0.05, 1 - 4.0 * (length(text) - length(translate(text, '{NOISE}', ''))) / length(text))
              ELSE 0.05 END AS k

@@ -47,6 +47,14 @@ def test_sources_come_near_their_targets(spark):
     assert sorted((r["doc_id"], r["copies"]) for r in rows) == sorted((r["doc_id"], r["copies"]) for r in again)
 
 
+def test_null_ids_are_told_apart_by_their_texts(spark):
+    docs = spark.createDataFrame([(None, f"some words {k} here", "a") for k in range(2000)] + [(None, "copy", "b")] * 500 + [(1, "x " * 90_000, "b")], "doc_id long, text string, source string")
+    rows = M.keyed(docs, docs["doc_id"]).collect()
+    assert len({r["class"] for r in rows if r["source"] == "a"}) > 500 and len({r["key"] for r in rows if r["source"] == "a"}) == 2000
+    found = mixed(docs)
+    assert len(found) == docs.count() and len({r["copies"] for r in found if r["tie"]["digest"] == found[-1]["tie"]["digest"]}) == 1
+
+
 def test_fraction_is_a_prefix_by_key(spark):
     docs = spark.createDataFrame([(i, "a b c", "x" if i % 4 else "y") for i in range(400)], "doc_id long, text string, source string")
     for source in "xy":

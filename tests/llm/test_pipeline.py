@@ -58,9 +58,29 @@ def test_stages_take_an_empty_table(spark, folder):
         assert docs.count() == 0
 
 
+def test_null_and_repeated_ids_long_texts_and_ties(spark, folder, tmp_path):
+    """One source holds nearly all rows, half of them without an id; stages lose nobody but those they should."""
+    rng = random.Random(5)
+    said = [" ".join(rng.choice(("kar", "lond", "mist", "nelk", "sum", "tap")) + rng.choice(("ve", "ing", "ra", "lo")) for _ in range(60)) for _ in range(90)]
+    rows = [(None, said[k], "en", "hot") for k in range(60)] + [(None, said[0], "en", "hot")] * 3 + [(7, said[k], "en", "hot") for k in range(60, 89)]
+    rows += [(8, " ".join(said[k] for k in range(89)) * 3, "en", "long")]
+    path = str(tmp_path)
+    docs = spark.createDataFrame([(i, t, lang, s, len(t), "clash") for i, t, lang, s in rows], "doc_id long, text string, lang string, source string, n_chars long, shard string")
+    docs.repartition(4).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, QUESTION)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    one_each = P.written(P.near_duplicates(spark, P.documents(spark, path), path), "stage")
+    assert sorted(r["text"] for r in one_each.collect()) == sorted({t for _, t, _, _ in rows})
+    placed = P.shards(spark, one_each, path)
+    counts = [r["count"] for r in placed.groupBy("shard").count().collect()]
+    assert sum(counts) == one_each.count() and max(counts) - min(counts) <= 1
+    taken = P.mixture(spark, one_each, path)
+    assert {r["n"] for r in taken.groupBy("text").agg(F.count("*").alias("n")).collect()} <= {1, 2}
+    assert P.contamination(spark, one_each, path).count() == one_each.count()
+
+
 def test_every_operator_has_one_query():
     numbers = sorted(int(q[2:].split("_")[0]) for q in registry.QUERIES)
-    assert numbers == list(range(1, 11)) and set(registry.ORACLE_SQL) <= set(registry.QUERIES)
+    assert numbers == list(range(1, 14)) and set(registry.ORACLE_SQL) <= set(registry.QUERIES)
     assert len(P.STAGES) == 5
 
 
