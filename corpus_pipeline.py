@@ -18,7 +18,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the labelled languages, as surely as nearly all labelled ones.
 
     Null texts, texts without a letter and those below a cut go: other
-    languages, code and garbled texts.
+    languages, code and garbled texts. A text is judged by itself, so repeated
+    rows stay or go together; without labelled languages, or rows, none are kept.
     """
     model = langid.train(docs.select("doc_id", "text", "lang"))
     score, likeness = langid.cuts(docs.select("text", "lang"), model)
@@ -28,24 +29,40 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group that similarities of 0.8 or more connect."""
+    """One document of every group that similarities of 0.8 or more connect.
+
+    The one with the least id stays (nulls last); texts without words all stay;
+    repeated rows are copies; no rows give no rows.
+    """
     return ngramjoin.one_of_each(docs)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.
+
+    A null or empty text holds none and stays; a text is judged by itself,
+    whatever its length; without items all stay.
+    """
     found = decontaminate.indexes(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.where(~decontaminate.holds_item(F.col("text"), found))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    Null ids and null sources count as such; documents equal in id and text are
+    taken or left together; documents without words have size 0; no rows give no rows.
+    """
     return mixing.mix(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and their place in it."""
-    return sharding.bounded_ring(docs, "doc_id")
+    """Documents with their shard and their place in it.
+
+    Rows with a null or repeated id are dealt by their texts; equal rows are
+    interchangeable; no rows give no rows.
+    """
+    return sharding.bounded_ring(docs, "doc_id", spread=("text",))
 
 
 STAGES = [
