@@ -149,13 +149,14 @@ def blocks(texts: DataFrame, paths: Paths) -> DataFrame:
         if (level + 1) * paths.runs > paths.hashes:
             whole.append(large)
             break
-        sets = large.join(texts.select(F.col("row").alias("of"), "sig"), F.col("row") == F.col("of"))
-        # Pairs that the next tokens leave together, against all pairs of the bucket.
-        left = sets.select("bucket", "n", _tokens(level, paths).alias("k", "token")).groupBy("bucket", "n", "k", "token").agg(F.count("*").alias("same"))
-        left = left.groupBy("bucket", "n").agg(F.sum(F.col("same") * F.col("same")).alias("pairs"))
+        sets = large.join(texts.select(F.col("row").alias("of"), F.slice("sig", level * paths.runs + 1, paths.runs).alias("next")), F.col("row") == F.col("of"))
+        sets = frozen(sets.drop("of"))
+        # Pairs that each of the next tokens leaves together, against all pairs of the bucket.
+        left = [sets.groupBy("bucket", "n", F.get("next", F.lit(k)).alias("token")).agg(F.count("*").alias("same")) for k in range(paths.runs)]
+        left = reduce(DataFrame.unionByName, left).groupBy("bucket", "n").agg(F.sum(F.col("same") * F.col("same")).alias("pairs"))
         gain = frozen(left.where(2 * F.col("pairs") < F.col("n") * F.col("n")).select(F.col("bucket").alias("in")))
         whole.append(large.join(gain, F.col("bucket") == F.col("in"), "left_anti"))
-        split = sets.join(gain, F.col("bucket") == F.col("in")).select("row", "bucket", "path", _tokens(level, paths).alias("k", "token"))
+        split = sets.join(gain, F.col("bucket") == F.col("in")).select("row", "bucket", "path", F.posexplode("next").alias("k", "token"))
         split = split.select("row", F.xxhash64("bucket", "k", "token").alias("bucket"), F.array_append("path", F.col("k")).alias("path"))
         rows = frozen(_met(split))
         out.append(rows.where(F.col("n") <= paths.block))
