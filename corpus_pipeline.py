@@ -41,10 +41,10 @@ def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that hold no benchmark item.
 
     A null or empty text holds none and stays; a text is judged by itself,
-    whatever its length; without items all stay.
+    whatever its length; without items all stay. Items of fewer than
+    ``LEAST_WORDS`` words are not searched.
     """
-    found = decontaminate.indexes(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.where(~decontaminate.holds_item(F.col("text"), found))
+    return decontaminate.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

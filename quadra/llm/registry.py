@@ -20,6 +20,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_secrets": secrets.OP3_SQL,
     "op4_chat": chat.OP4_SQL,
+    "op5_decontaminate": decontaminate.OP5_SQL,
     "op6_line_dedup": linededup.OP6_SQL,
     "op7_mixed": mixing.OP7_SQL,
     "op9_ngram_join": ngramjoin.OP9_SQL,

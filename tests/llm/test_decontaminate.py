@@ -76,8 +76,12 @@ def test_edges(spark, edge_docs, no_docs):
     assert {(r["doc_id"], r["item_id"]) for r in rows} == {(9, None)}
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.find_items(edge_docs, none).count() == 0 and D.find_items(no_docs, bench).count() == 0
-    held = edge_docs.select("doc_id", D.holds_item(edge_docs["text"], D.indexes(bench)).alias("h")).collect()
+    (index,) = D.indexes(bench)
+    held = edge_docs.select("doc_id", D.holds_item(edge_docs["text"], index).alias("h")).collect()
     assert {r["doc_id"] for r in held if r["h"]} == {9} and len(held) == edge_docs.count()
+    kept = D.without_items(edge_docs, bench)
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, edge_docs.where("doc_id is null or doc_id <> 9").collect()))
+    assert D.without_items(edge_docs, none).count() == edge_docs.count() and D.without_items(no_docs, bench).count() == 0
     twice = D.find_items(edge_docs.where("doc_id = 9").unionAll(edge_docs.where("doc_id = 9")), bench)
     assert twice.count() == 2
 
@@ -86,9 +90,40 @@ def test_many_items_are_searched_index_by_index(spark, monkeypatch):
     items, docs, planted = made()
     monkeypatch.setattr(D, "INDEX_ITEMS", 10)
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    assert len(D.indexes(bench)) > 1
-    found = D.find_items(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), bench).collect()
+    assert len(list(D.indexes(bench))) > 1
+    texts = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = D.find_items(texts, bench).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == set(planted.items())
+    assert {r["doc_id"] for r in D.without_items(texts, bench).collect()} == set(range(len(docs))) - set(planted)
+
+
+def test_a_repeated_item_does_not_fill_one_index(spark, monkeypatch):
+    monkeypatch.setattr(D, "INDEX_ITEMS", 100)
+    text = "which of the rivers in the north carries the most water? the long grey one below the hill."
+    bench = spark.createDataFrame([(k % 3, text) for k in range(600)], "item_id long, text string")
+    assert max(len(index.items) for index in D.indexes(bench)) < 200
+    docs = spark.createDataFrame([(1, text), (2, "nothing of it")], "doc_id long, text string")
+    assert D.find_items(docs, bench).groupBy("doc_id", "item_id").count().count() == 3
+    assert D.find_items(docs, bench).count() == 600
+
+
+def test_short_items_are_not_searched_but_listed(spark):
+    bench = spark.createDataFrame([(1, "Yes."), (2, "one two three four five six seven"), (3, None), (4, " ".join("abcdefgh"))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "well yes I think so: one two three four five six seven"), (2, "x a b c d e f g h y")], "doc_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in D.find_items(docs, bench).collect()] == [(2, 4)]
+    assert {r["item_id"] for r in D.not_searched(bench).collect()} == {1, 2, 3}
+    assert D.find_items(docs, bench.where("item_id < 4")).count() == 0
+
+
+def test_lists_up_to_the_pivot_stay_closed_without_a_loss(spark, monkeypatch):
+    items, docs, _ = made(3)
+    (index,) = D.indexes(spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    texts = [D.words_of(t.lower()) for t in docs]
+    want = sorted(index.search(texts, 0.3))
+    for pivot, slots in ((0.0, 1 << 12), (1.0, 7), (0.3, 1)):
+        monkeypatch.setattr(D, "PIVOT", pivot)
+        monkeypatch.setattr(D, "OPEN_SLOTS", slots)
+        assert sorted(index.search(texts, 0.3)) == want and len(want) > 15
 
 
 def edited(words, rate, rng):
