@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadra.llm.common import bounded_batches, crc_mod, documents, fraction_of
+from quadra.llm.common import bounded_batches, crc_mod, documents, fraction_of, text_key
 
 # Labelled documents to learn from, in equal parts from the languages, at most.
 TRAIN_ROWS = 1600
@@ -160,14 +160,18 @@ def unit(codes: np.ndarray) -> float:
 
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Identifier:
-    """Learn from about ``rows`` rows with lang, text and doc_id (it picks the sample), as many for each language."""
-    known = bounded_batches(labelled).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    """Learn from about ``rows`` distinct texts with a lang, as many for each language, chosen by a hash of the text.
+
+    Ids do not matter; repeated rows count once; a text with several languages
+    is an example of each.
+    """
+    known = bounded_batches(labelled).where("lang is not null and text is not null").select("lang", "text", *text_key(F.col("text")))
+    counts = {r["lang"]: r["count"] for r in known.select("lang", "k1", "k2").distinct().groupBy("lang").count().collect()}
     if not counts:
         return Identifier(Votes([]), {})
     each = max(rows // len(counts), 1)
     share = F.create_map(*[F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(1.0, each / n))])
-    chosen = known.where(fraction_of(F.col("doc_id"), 31) < share[F.col("lang")]).select("lang", "text")
+    chosen = known.where(fraction_of(F.col("text"), 31) < share[F.col("lang")]).dropDuplicates(["lang", "k1", "k2"]).select("lang", "text")
 
     def profiles(batches):
         for pdf in batches:

@@ -1,4 +1,9 @@
+import math
+from collections import Counter
+from itertools import combinations
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from quadra.llm import langid as L
 
@@ -41,3 +46,42 @@ def test_edges(spark, edge_docs, no_docs):
     assert nothing.predict("some text") == (L.UNKNOWN, 0.0)
     one = L.train(edge_docs.where("doc_id = 1").select("doc_id", "text", "lang"))
     assert one.predict("some text") == ("en", 1.0)
+
+
+def plain_vote(votes, text):
+    """Winner and certainty of a set of machines by dot products over the text's trigrams, one at a time."""
+    if len(votes.classes) == 1:
+        return votes.classes[0], 1.0
+    counts = Counter(L.trigrams(text).tolist())
+    length = math.sqrt(sum(c * c for c in counts.values())) or 1.0
+    won, margin, sure = Counter(), {}, Counter()
+    for k, (a, b) in enumerate(combinations(votes.classes, 2)):
+        m = sum(c / length * float(votes.weights[t, k]) for t, c in counts.items()) + votes.bias[k]
+        won[a if m >= 0 else b] += 1
+        margin[a, b], margin[b, a] = m, -m
+        sure[a] += math.tanh(m)
+        sure[b] -= math.tanh(m)
+    best = max(votes.classes, key=lambda c: (won[c], sure[c]))
+    return best, 1 / (1 + math.exp(-3 * min(m for (a, _), m in margin.items() if a == best)))
+
+
+def test_prediction_equals_plain_dot_products(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = L.train(docs)
+    texts = [r["text"] for r in docs.orderBy("doc_id").collect()][:150]
+    texts += ["der die das und nicht the of", "la casa y le chat", "zzz qqq", "a"]
+    for text in texts:
+        group, first = plain_vote(model.families, text)
+        lang, second = plain_vote(model.languages[group], text)
+        got, score = model.predict(text)
+        assert got == lang and abs(score - min(first, second)) < 1e-4
+
+
+def test_the_sample_depends_on_texts_alone(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = L.train(docs, rows=200)
+    hot = docs.orderBy("doc_id").limit(1).crossJoin(spark.range(3000).select()).unionAll(docs)
+    for other in (docs.withColumn("doc_id", F.lit(7)), docs.withColumn("doc_id", F.lit(None).cast("long")).repartition(5), hot):
+        same = L.train(other, rows=200)
+        assert np.array_equal(same.families.weights, model.families.weights)
+        assert all(np.array_equal(same.languages[f].weights, v.weights) for f, v in model.languages.items())
