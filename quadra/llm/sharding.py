@@ -77,16 +77,19 @@ def allocate(cells: np.ndarray, counts: np.ndarray, ring: Ring, load: float) ->
 
 def on_ring(keyed: DataFrame, ring: Ring, spread: list[Column]) -> DataFrame:
     """``keyed`` with the cell of column ``key``; ``spread`` sets the priority among rows of an arc."""
-    points, _ = ring.points()
+    points = ring.points()[0].tolist()
 
-    @F.pandas_udf("long")
-    def arc_of(h: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(points, h.to_numpy()) % len(points))
+    def arc(lo: int, hi: int) -> Column:
+        """The first of the points lo..hi-1 at or after the hash, else hi (past the last point: the first arc)."""
+        if lo == hi:
+            return F.lit(lo % len(points))
+        mid = (lo + hi) // 2
+        return F.when(F.col("hash") <= points[mid], arc(lo, mid)).otherwise(arc(mid + 1, hi))
 
     priority = F.xxhash64(F.lit(ring.seed), F.col("key"), *spread)
-    return keyed.withColumn("priority", priority).withColumn(
-        "cell", arc_of(F.xxhash64(F.col("key"))) * ring.buckets + F.pmod(F.col("priority"), F.lit(ring.buckets))
-    )
+    hashed = keyed.withColumns({"hash": F.xxhash64(F.col("key")), "priority": priority})
+    cell = arc(0, len(points)).cast("long") * ring.buckets + F.pmod(F.col("priority"), F.lit(ring.buckets))
+    return hashed.withColumn("cell", cell).drop("hash")
 
 
 def bounded_ring(rows: DataFrame, key: str, ring: Ring = Ring(), load: float = 1.0, spread: tuple[str, ...] = ()) -> DataFrame:

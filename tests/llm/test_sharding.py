@@ -3,7 +3,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from quadra.llm.sharding import Ring, allocate, bounded_ring, capacities
+from quadra.llm.sharding import Ring, allocate, bounded_ring, capacities, on_ring
 
 
 def slots(rows):
@@ -74,3 +74,13 @@ def test_hot_key_spreads_over_its_priorities(spark):
     rows = spark.range(900).select(F.when(F.col("id") < 600, 7).otherwise(F.col("id")).alias("doc_id"), F.col("id").alias("other"))
     by = slots(bounded_ring(rows, "doc_id", spread=("other",)).collect())
     assert {len(s) for s in by.values()} == {112, 113}
+
+
+def test_arcs_are_found_without_python_workers(spark):
+    ring = Ring(shards=5, vnodes=7, buckets=4)
+    points, _ = ring.points()
+    found = on_ring(spark.range(3000).select(F.when(F.col("id") > 0, F.col("id")).alias("key")), ring, [])
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = found.select("cell", F.xxhash64("key").alias("h")).collect()
+    at = np.searchsorted(points, np.array([r["h"] for r in rows])) % len(points)
+    assert [r["cell"] // ring.buckets for r in rows] == at.tolist() and found.schema["cell"].dataType.simpleString() == "bigint"
