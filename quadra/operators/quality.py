@@ -164,12 +164,15 @@ def district_variants_from_pairs(pairs: DataFrame, city: str = M.CITY,
 def _variants(pairs: DataFrame, n: int) -> DataFrame:
     """The ``n`` names with most spellings are picked first, from counts alone;
     only their spellings (a broadcast of ``n`` names) are then listed. Both
-    steps need the same columns of ``pairs``, so its exchange is made once."""
+    steps need the same columns of ``pairs``, so its exchange is made once: an
+    inner join, for a semi join would be moved below the aggregate of the pairs
+    and that made twice; null-safe, so that no filter is added to one side."""
     counts = (F.count(M.BAIRRO_ORIGINAL).alias("variantes"), F.sum("_rows").cast("bigint").alias("total_bos"))
     order = (F.col("variantes").desc(), F.col("total_bos").desc(), F.col(M.BAIRRO).asc())
     top = pairs.groupBy(M.BAIRRO).agg(*counts).where(F.col("variantes") > 1).orderBy(*order).limit(n)
     spellings = F.array_join(F.sort_array(F.collect_list(M.BAIRRO_ORIGINAL)), " | ").alias("exemplos")
-    listed = pairs.join(F.broadcast(top.select(M.BAIRRO)), M.BAIRRO, "left_semi").groupBy(M.BAIRRO).agg(*counts, spellings)
+    names = F.broadcast(top.select(F.col(M.BAIRRO).alias("_top")))
+    listed = pairs.join(names, F.col(M.BAIRRO).eqNullSafe(F.col("_top"))).groupBy(M.BAIRRO).agg(*counts, spellings)
     return listed.select(M.BAIRRO, "variantes", "exemplos", "total_bos").orderBy(*order)
 
 

@@ -96,6 +96,18 @@ def test_spellings_are_scanned_and_paired_once(lake_rows):
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
+def test_spellings_of_the_tables_are_paired_once(spark):
+    report = catalog.QUERIES["district_variants"](spark, SF_DIR)
+    report.collect()
+    final = _plan(report).split("== Initial Plan ==")[0]
+    assert final.count("/lineitem.parquet") == 1 and "ReusedExchange" in final
+
+
+def test_names_are_normalised_without_lambdas_but_for_rare_letters(spark):
+    plan = catalog.QUERIES["district_normalise"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan and "JARDIM" in plan
+
+
 @pytest.mark.parametrize("name", sorted(catalog.SOURCE_QUERIES))
 def test_table_query_plan_shape(spark, name):
     plan = _plan(catalog.QUERIES[name](spark, SF_DIR))
