@@ -164,6 +164,10 @@ def _strip_marks(text: str) -> str:
     return "".join(ch for ch in decomposed if not unicodedata.category(ch).startswith("M"))
 
 
+# First code point after the Latin blocks with accents.
+_LATIN_END = "\u0250"
+
+
 @lru_cache(maxsize=1)
 def accent_table() -> tuple[str, str, dict[str, str]]:
     """What every code point with a decomposition becomes, from ``unicodedata``.
@@ -198,6 +202,13 @@ def accent_table() -> tuple[str, str, dict[str, str]]:
     return "".join(src + dropped), "".join(dst), expansions
 
 
+def latin_table() -> tuple[str, str]:
+    """The part of :func:`accent_table` that makes one character of a Latin one (below ``_LATIN_END``)."""
+    src, dst, _ = accent_table()
+    pairs = [(a, b) for a, b in zip(src, dst) if a < _LATIN_END]  # those dropped have no counterpart
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def strip_accents(c: Column) -> Column:
     """NFKD + removal of combining marks, restricted to the output alphabet.
 
@@ -213,10 +224,6 @@ def strip_accents(c: Column) -> Column:
     return F.when(F.length(out) == F.octet_length(out), out).otherwise(spread)
 
 
-def _abbreviation_map() -> Column:
-    return F.create_map(*[F.lit(x) for kv in ABBREVIATIONS.items() for x in kv])
-
-
 # ASCII characters outside the output alphabet ``[A-Z0-9 ]`` (generated).
 _ASCII_BLANKED = "".join(
     chr(i) for i in range(128) if not ("A" <= chr(i) <= "Z" or "0" <= chr(i) <= "9" or chr(i) == " ")
@@ -227,15 +234,24 @@ def normalise_district(c: Column) -> Column:
     """Trim, upper, strip accents, punctuation to space, collapse, expand.
 
     Null stays null and a blank name stays ``''``. Names that are pure ASCII
-    after upper-casing (the vast majority) skip the accent folding; blanks
-    are collapsed by dropping empty tokens, which also trims both ends.
+    after upper-casing (the vast majority) skip the accent folding, and those
+    whose other letters are Latin ones get by with a small table (Spark compares
+    the whole table with the last one's for every row). What follows
+    is plain substring replacement, for every row runs it: ``<`` and ``>``, which
+    are no longer in the text, mark the ends of a run of blanks, then every
+    word has a blank of its own on both sides, so one replacement per
+    abbreviation expands whole words only (no expansion is an abbreviation).
     """
     up = F.upper(c)
     ascii_only = F.length(up) == F.octet_length(up)
-    folded = F.when(ascii_only, up).otherwise(
+    src, dst = latin_table()
+    latin = F.translate(up, src, dst)
+    # One character for one: ASCII if there are as many bytes as characters.
+    folded = F.when(ascii_only, up).when(F.octet_length(latin) == F.length(up), latin).otherwise(
         F.regexp_replace(strip_accents(up), r"[^A-Z0-9 ]", " ")
     )
     cleaned = F.translate(folded, _ASCII_BLANKED, " " * len(_ASCII_BLANKED))
-    tokens = F.filter(F.split(cleaned, " "), lambda t: t != "")
-    abbrev = _abbreviation_map()
-    return F.array_join(F.transform(tokens, lambda t: F.coalesce(abbrev[t], t)), " ")
+    words = F.concat(F.lit(" "), cleaned, F.lit(" "))
+    for old, new in ((" ", "<>"), ("><", ""), ("<>", "  "), *((f" {k} ", f" {v} ") for k, v in ABBREVIATIONS.items()), ("  ", " ")):
+        words = F.replace(words, F.lit(old), F.lit(new))
+    return F.trim(words)
