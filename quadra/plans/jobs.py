@@ -98,7 +98,8 @@ def run(spark: SparkSession, landing: list[str], base: str, layer: str = "all",
         rows = etl.transformed_layer(lake.read_layer(spark, raw_from, schema=schema, keys=keys), aliases)
         if keys is None:
             etl.assert_healthy(rows)
-        keys = lake.write_layer(rows, f"{stage}/transformed", observe=True)
+        # Derived row by row from the raw layer's files; an alias join may shuffle.
+        keys = lake.write_layer(rows, f"{stage}/transformed", observe=True, split=aliases is None)
         schema = lake.stored_schema(rows)
         publish.append((f"{stage}/transformed", out_root, schema, keys))
         rows = lake.read_layer(spark, f"{stage}/transformed", schema=schema, keys=keys)

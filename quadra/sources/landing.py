@@ -38,7 +38,7 @@ def listed(spark: SparkSession, path: str) -> list[tuple[str, int, str]]:
     return sorted(tuple(r) for r in files.select("path", "length", F.col("_metadata.file_path")).where("length > 0").collect())
 
 
-def _split_bytes(spark: SparkSession) -> int:
+def split_bytes(spark: SparkSession) -> int:
     """Bytes of a scan split as the session sets them (128m, 134217728b, ...)."""
     number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
     return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
@@ -46,7 +46,7 @@ def _split_bytes(spark: SparkSession) -> int:
 
 def over_lines(spark: SparkSession, files: list[tuple[str, int, str]]) -> set[str]:
     """Of the files larger than a split, those with a line whose quotes do not balance."""
-    large = {uri: path for path, size, uri in files if size > _split_bytes(spark) and not path.endswith(_WHOLE_ONLY)}
+    large = {uri: path for path, size, uri in files if size > split_bytes(spark) and not path.endswith(_WHOLE_ONLY)}
     if not large:
         return set()
     lines = spark.read.text(list(large.values())).where(F.regexp_count("value", F.lit('"')) % 2 == 1)
@@ -59,7 +59,7 @@ def csv_schema(names: Iterable[str]) -> T.StructType:
 
 def _csv_frames(spark: SparkSession, path: str, schema: T.StructType | None) -> list[DataFrame]:
     files = listed(spark, path)
-    small = {p for p, size, _ in files if size <= _split_bytes(spark) or p.endswith(_WHOLE_ONLY)}
+    small = {p for p, size, _ in files if size <= split_bytes(spark) or p.endswith(_WHOLE_ONLY)}
     whole = small | over_lines(spark, files)
 
     def header(file: str) -> tuple[str, ...]:

@@ -71,3 +71,26 @@ def test_alias_lines_have_numbers(spark, scratch):
     (Path(scratch) / "wrong.csv").write_text("outra,coisa\na,b\n")
     with pytest.raises(ValueError, match="header"):
         lake.read_aliases(spark, f"{scratch}/wrong.csv")
+
+
+def test_files_split_by_partition_are_written_without_a_shuffle_and_moved(spark, scratch):
+    rows = spark.range(4000).selectExpr(
+        "if(id % 50 = 0, null, cast(2020 + id % 3 as int)) AS ANO", "if(id % 40 = 0, null, cast(id % 4 + 1 as int)) AS TRIMESTRE", "cast(id as string) AS NUM_BO"
+    )
+    keys = lake.write_layer(rows, f"{scratch}/raw", cluster=False, observe=True)
+    schema = lake.stored_schema(rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.sparkContext.setJobGroup("split", "")
+    assert lake.write_layer(lake.read_layer(spark, f"{scratch}/raw", schema=schema, keys=keys), f"{scratch}/staged", observe=True, split=True) == keys
+    tracker = spark.sparkContext.statusTracker()
+    assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("split")] == [1]
+    spark.sparkContext.setJobGroup("tests", "")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    # What is published: the partitions named are replaced, the others stay; the files are the staged ones.
+    old = spark.createDataFrame([(2020, 1, "old"), (1999, 1, "stays")], "ANO int, TRIMESTRE int, NUM_BO string")
+    lake.write_layer(old, f"{scratch}/out")
+    staged = {f.relative_to(f"{scratch}/staged") for f in Path(scratch, "staged").rglob("*.parquet")}
+    lake.publish_layer(spark, f"{scratch}/staged", f"{scratch}/out", schema, keys)
+    assert staged < {f.relative_to(f"{scratch}/out") for f in Path(scratch, "out").rglob("*.parquet")}
+    want = sorted(map(repr, [*rows.select("NUM_BO", "ANO", "TRIMESTRE").collect(), *old.where("ANO = 1999").select("NUM_BO", "ANO", "TRIMESTRE").collect()]))
+    assert sorted(map(repr, lake.read_layer(spark, f"{scratch}/out").select("NUM_BO", "ANO", "TRIMESTRE").collect())) == want
