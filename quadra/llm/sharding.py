@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -92,6 +93,11 @@ def on_ring(keyed: DataFrame, ring: Ring, spread: list[Column]) -> DataFrame:
     return hashed.withColumn("cell", cell).drop("hash")
 
 
+def piece_table(spark: SparkSession, pieces: pd.DataFrame) -> DataFrame:
+    """``pieces`` as a table, by way of Arrow: rows given as a list would be read by Python workers on the executors."""
+    return spark.createDataFrame(pa.table({c: pa.array(pieces[c].to_numpy(), pa.int64()) for c in pieces.columns}))
+
+
 def bounded_ring(rows: DataFrame, key: str, ring: Ring = Ring(), load: float = 1.0, spread: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` with ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard).
 
@@ -111,7 +117,7 @@ def bounded_ring(rows: DataFrame, key: str, ring: Ring = Ring(), load: float = 1
     found = placed.groupBy("cell").count().collect()
     cells = np.array([r["cell"] for r in found], dtype=np.int64)
     pieces = allocate(cells, np.array([r["count"] for r in found], dtype=np.int64), ring, load)
-    table = spark.createDataFrame([tuple(map(int, p)) for p in pieces.to_numpy()], "cell long, lo long, hi long, shard long, slot long")
+    table = piece_table(spark, pieces)
     ranked = placed.withColumn(
         "rank", F.row_number().over(W.partitionBy("cell").orderBy("priority", *[F.col(f"body.`{c}`") for c in spread])) - 1
     )

@@ -3,7 +3,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from quadra.llm.sharding import Ring, allocate, bounded_ring, capacities, on_ring
+from quadra.llm.sharding import Ring, allocate, bounded_ring, capacities, on_ring, piece_table
 
 
 def slots(rows):
@@ -84,3 +84,13 @@ def test_arcs_are_found_without_python_workers(spark):
     rows = found.select("cell", F.xxhash64("key").alias("h")).collect()
     at = np.searchsorted(points, np.array([r["h"] for r in rows])) % len(points)
     assert [r["cell"] // ring.buckets for r in rows] == at.tolist() and found.schema["cell"].dataType.simpleString() == "bigint"
+
+
+def test_pieces_are_read_without_python_workers(spark):
+    ring = Ring(shards=5, vnodes=7, buckets=4)
+    for counts in (np.arange(140) % 9, np.zeros(0, dtype=np.int64)):
+        pieces = allocate(np.arange(len(counts)), counts, ring, 1.0)
+        table = piece_table(spark, pieces)
+        assert "PythonRDD" not in table._jdf.queryExecution().toRdd().toDebugString()
+        assert table.dtypes == [(c, "bigint") for c in ("cell", "lo", "hi", "shard", "slot")]
+        assert sorted(map(tuple, table.collect())) == sorted(map(tuple, pieces.to_numpy().tolist()))
