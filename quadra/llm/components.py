@@ -26,7 +26,7 @@ def components(links: DataFrame) -> DataFrame:
     links = frozen(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = _mark(links)
     while True:
-        both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = links.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("l")).select("l.*")
         low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("low"))
         large = _star(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("low"))

@@ -25,6 +25,8 @@ from quadra.llm.common import bounded_batches, crc_mod, documents, fraction_of,
 # Labelled documents to learn from, in equal parts from the languages, at most.
 TRAIN_ROWS = 1600
 BITS = 13
+# An entry of a packed profile.
+ENTRY = np.dtype([("from_end", ">u2"), ("value", "<f2")])
 UNKNOWN = "und"
 EPOCHS, COST, SEED = 20, 10.0, 1
 # Share of the correctly identified labelled rows that the cuts may reject at most; steps of their histograms.
@@ -67,19 +69,77 @@ def profile(text: str) -> np.ndarray:
     return (np.bincount(codes, minlength=1 << BITS) / unit(codes)).astype(np.float16)
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, cost: float = COST, seed: int = SEED) -> np.ndarray:
+def packed_profile(text: str) -> bytes:
+    """The entries of a text's profile that are not 0; these bytes sort as those of the whole profile do."""
+    values = profile(text)
+    at = np.flatnonzero(values)
+    entries = np.empty(len(at), dtype=ENTRY)
+    entries["from_end"], entries["value"] = (1 << BITS) - 1 - at, values[at]
+    return entries.tobytes()
+
+
+@dataclass
+class Profiles:
+    """Rows of ``width`` numbers, kept without their zeros: some hundred of the 8192 trigrams occur in a text."""
+
+    codes: np.ndarray
+    values: np.ndarray
+    begins: np.ndarray  # of each row, and the end of the last one
+    width: int
+
+    @classmethod
+    def unpack(cls, rows: list[bytes]) -> Profiles:
+        entries = np.frombuffer(b"".join(rows), dtype=ENTRY)
+        begins = np.cumsum([0, *[len(r) // ENTRY.itemsize for r in rows]])
+        return cls((1 << BITS) - 1 - entries["from_end"].astype(np.int64), entries["value"].astype(np.float32), begins, 1 << BITS)
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> Profiles:
+        row, code = np.nonzero(x)
+        return cls(code, x[row, code], np.searchsorted(row, np.arange(len(x) + 1)), x.shape[1])
+
+    def __len__(self) -> int:
+        return len(self.begins) - 1
+
+    def row(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(self.begins[k], self.begins[k + 1])
+        return self.codes[own], self.values[own]
+
+    def take(self, own: np.ndarray) -> Profiles:
+        """The rows of a mask."""
+        sizes = np.diff(self.begins)
+        inside = np.repeat(own, sizes)
+        return Profiles(self.codes[inside], self.values[inside], np.cumsum([0, *sizes[own]]), self.width)
+
+    def squares(self) -> np.ndarray:
+        """Sums of the rows' squares, of some whole rows at a time."""
+        out = np.empty(len(self), dtype=self.values.dtype)
+        for k in range(0, len(self), 64):
+            x = np.zeros((min(64, len(self) - k), self.width), dtype=self.values.dtype)
+            for i, row in enumerate(x):
+                at, values = self.row(k + i)
+                row[at] = values
+            out[k : k + 64] = np.einsum("ij,ij->i", x, x)
+        return out
+
+
+def train_svm(x: np.ndarray | Profiles, y: np.ndarray, epochs: int = EPOCHS, cost: float = COST, seed: int = SEED) -> np.ndarray:
     """Weights and, last, the bias of a linear SVM (squared hinge loss, dual coordinate descent); y is -1 or 1."""
-    weights = np.zeros(x.shape[1] + 1, dtype=np.float64)
-    norms = np.einsum("ij,ij->i", x, x) + 1 + 0.5 / cost
+    x = x if isinstance(x, Profiles) else Profiles.of(x)
+    weights, row = np.zeros(x.width + 1, dtype=np.float64), np.zeros(x.width)
+    norms = x.squares() + 1 + 0.5 / cost
     alpha, rng = np.zeros(len(x)), np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(x)):
-            slope = y[i] * (x[i] @ weights[:-1] + weights[-1]) - 1 + alpha[i] * 0.5 / cost
+            at, values = x.row(i)
+            row[at] = values
+            slope = y[i] * (row @ weights[:-1] + weights[-1]) - 1 + alpha[i] * 0.5 / cost
+            row[at] = 0
             new = max(alpha[i] - slope / norms[i], 0.0)
             if new != alpha[i]:
                 step = (new - alpha[i]) * y[i]
-                weights[:-1] += step * x[i]
+                weights[at] += step * values
                 weights[-1] += step
                 moved, alpha[i] = max(moved, abs(step)), new
         if moved < 1e-3:
@@ -96,12 +156,12 @@ class Votes:
     bias: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     @classmethod
-    def fit(cls, x: np.ndarray, names: np.ndarray) -> Votes:
+    def fit(cls, x: Profiles, names: np.ndarray) -> Votes:
         classes = sorted(set(names))
         columns = []
         for a, b in combinations(classes, 2):
             own = (names == a) | (names == b)
-            columns.append(train_svm(x[own], np.where(names[own] == a, 1.0, -1.0)))
+            columns.append(train_svm(x.take(own), np.where(names[own] == a, 1.0, -1.0)))
         if not columns:
             return cls(classes)
         both = np.stack(columns, axis=1)
@@ -129,13 +189,14 @@ class Identifier:
     usual: dict[str, np.ndarray] = field(default_factory=dict)  # of each language: bits by which a trigram is likelier than by chance
 
     @classmethod
-    def fit(cls, x: np.ndarray, langs: np.ndarray) -> Identifier:
+    def fit(cls, x: Profiles, langs: np.ndarray) -> Identifier:
         of = np.array([family(lang) for lang in langs], dtype=object)
         usual = {}
         for lang in sorted(set(langs)):
-            total = x[langs == lang].sum(axis=0, dtype=np.float64)
+            own = x.take(langs == lang)
+            total = np.bincount(own.codes, own.values, x.width)
             usual[lang] = np.log2((total / (total.sum() or 1.0) * len(total) + SMOOTH) / (1 + SMOOTH))
-        return cls(Votes.fit(x, of), {f: Votes.fit(x[of == f], langs[of == f]) for f in sorted(set(of))}, usual)
+        return cls(Votes.fit(x, of), {f: Votes.fit(x.take(of == f), langs[of == f]) for f in sorted(set(of))}, usual)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and certainty (0 to 1); ``und`` and 0 for null, for texts without a letter, or if nothing was learned."""
@@ -176,15 +237,12 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Identifier:
     def profiles(batches):
         for pdf in batches:
             pdf = pdf[pdf["text"].map(has_letter)]
-            yield pd.DataFrame({"lang": pdf["lang"], "x": [profile(t).tobytes() for t in pdf["text"]]})
+            yield pd.DataFrame({"lang": pdf["lang"], "x": [packed_profile(t) for t in pdf["text"]]})
 
     found = chosen.mapInPandas(profiles, "lang string, x binary").limit(4 * rows).toPandas().sort_values(["lang", "x"])
     if not len(found):
         return Identifier(Votes([]), {})
-    x = np.empty((len(found), 1 << BITS), dtype=np.float32)
-    for row, values in enumerate(found["x"]):
-        x[row] = np.frombuffer(values, dtype=np.float16)
-    return Identifier.fit(x, found["lang"].to_numpy())
+    return Identifier.fit(Profiles.unpack(found["x"].tolist()), found["lang"].to_numpy())
 
 
 def identify(text: Column, model: Identifier) -> Column:

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
@@ -95,3 +96,23 @@ def test_a_verdict_that_is_filtered_on_and_read_is_made_once(spark):
     assert read._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
     right = [model.predict(r["text"])[0] == r["lang"] for r in known.collect()]
     assert read.count() == sum(right)
+
+
+def test_training_keeps_no_whole_profiles(spark):
+    """The driver holds the entries that are not 0, with the same order and weights as of whole profiles."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(k, " ".join(letters[(k * j + j) % 20 : (k * j + j) % 20 + 5] for j in range(1, 12)) + f" {letters[k % 26]}{letters[k // 26]}", ("en", "fr")[k % 2]) for k in range(500)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    L.train(known)
+    tracemalloc.start()
+    model = L.train(known)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = sorted((lang, L.profile(text).tobytes()) for _, text, lang in rows)
+    x = np.array([np.frombuffer(b, dtype=np.float16) for _, b in whole], dtype=np.float32)
+    y = np.array([1.0 if family_ == "germanic" else -1.0 for family_ in (L.family(lang) for lang, _ in whole)])
+    assert sorted(set(map(L.family, ("en", "fr")))) == ["germanic", "romance"] and len(x) == 500
+    assert np.array_equal(model.families.weights[:, 0], L.train_svm(x, y)[:-1].astype(np.float32))
+    assert peak < x.nbytes / 2
+    texts = [text for _, text, _ in rows]
+    assert sorted(texts, key=L.packed_profile) == sorted(texts, key=lambda t: L.profile(t).tobytes())

@@ -6,6 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from quadra.llm import components as C
 from quadra.llm import ngramjoin as N
 from quadra.llm.components import components
 
@@ -125,3 +126,29 @@ def test_components_of_a_long_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
     got = {r["u"]: r["v"] for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {k: 0 for k in range(1, 41)} | {k: 100 for k in range(101, 130)}
+
+
+def plans_of_frozen(monkeypatch, module):
+    """Gets the optimized plan of every table that the module freezes from now on."""
+    plans, freeze = [], module.frozen
+    monkeypatch.setattr(module, "frozen", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), freeze(df))[1])
+    return plans
+
+
+def test_a_level_counts_its_tokens_in_one_pass(spark, monkeypatch):
+    """One scan of the sets for all of the next tokens, not one for each: stages and tasks are what the driver keeps."""
+    plans = plans_of_frozen(monkeypatch, N)
+    paths = replace(N.Paths(), block=12)
+    rows = [(k, [7, *range(1000 * k + 1, 1000 * k + paths.runs), *([5] * (paths.hashes - paths.runs) if k < 2 else range(1000 * k + 100, 1000 * k + 100 + paths.hashes - paths.runs))]) for k in range(30)]
+    places = N.blocks(spark.createDataFrame(rows, "row long, sig array<int>"), paths)
+    deep = places.where(F.size("path") > 1).groupBy("block").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    assert {tuple(r["rows"]) for r in deep.collect()} == {(0, 1)}
+    gains = [p for p in plans if "pairs" in p]
+    assert gains and all(p.count("LogicalRDD") == 1 for p in gains)
+
+
+def test_a_round_reads_its_links_once_a_use(spark, monkeypatch):
+    plans = plans_of_frozen(monkeypatch, C)
+    got = components(spark.createDataFrame([(1, 2), (3, 2), (5, 4)], "u long, v long"))
+    assert sorted(map(tuple, got.collect())) == [(2, 1), (3, 1), (5, 4)]
+    assert len(plans) > 1 and all(p.count("LogicalRDD") <= 4 and "Union" not in p for p in plans[1:])
