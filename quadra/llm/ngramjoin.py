@@ -152,7 +152,9 @@ def blocks(texts: DataFrame, paths: Paths) -> DataFrame:
         sets = large.join(texts.select(F.col("row").alias("of"), F.slice("sig", level * paths.runs + 1, paths.runs).alias("next")), F.col("row") == F.col("of"))
         sets = frozen(sets.drop("of"))
         # Pairs that each of the next tokens leaves together, against all pairs of the bucket.
-        left = sets.select("bucket", "n", F.posexplode("next").alias("k", "token")).groupBy("bucket", "n", "k", "token").agg(F.count("*").alias("same"))
+        tokens = [f"token{k}" for k in range(paths.runs)]
+        left = sets.select("bucket", "n", *[F.get("next", F.lit(k)).alias(t) for k, t in enumerate(tokens)])
+        left = left.groupingSets([["bucket", "n", t] for t in tokens], "bucket", "n", *tokens).agg(F.count("*").alias("same"))
         left = left.groupBy("bucket", "n").agg(F.sum(F.col("same") * F.col("same")).alias("pairs"))
         gain = frozen(left.where(2 * F.col("pairs") < F.col("n") * F.col("n")).select(F.col("bucket").alias("in")))
         whole.append(large.join(gain, F.col("bucket") == F.col("in"), "left_anti"))
